@@ -8,28 +8,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substrings
+from . import bpe, secret_scan, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _joined(spans) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts of the base kinds, a digest of their spans and all spans as text."""
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+def op2_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secret_scan.find_secrets(_table(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
+
+
 def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_automaton": op2_secret_automaton,
     "op6_simhash_gray_index": op6_simhash_gray_index,
+    "op7_bpe_transducer": op7_bpe_transducer,
     "op9_seed_and_extend": op9_seed_and_extend,
 }
 

@@ -193,10 +193,11 @@ def hamming_links(fps: DataFrame, distance: int = 2, node_limit: int = NODE_LIMI
         masks = [(_signed(p), _signed(m)) for p in parents for m in node_masks(p, distance)]
         parents = sorted({m % (1 << 64) for _, m in masks})
         table = spark.createDataFrame(masks, "up long, mask long")
-        nodes = (
-            below.join(F.broadcast(table), "up")  # the table has (d + 2 over 2) ** level rows
-            .select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("pattern"), "fp")
-        )
+        if level:
+            nodes = below.join(F.broadcast(table), "up")  # the table has (d + 2 over 2) ** level rows
+        else:
+            nodes = below.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for _, m in masks])).alias("mask"))
+        nodes = nodes.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("pattern"), "fp")
         sizes = nodes.groupBy("mask", "pattern").count().where("count > 1")
         last = level == levels - 1
         sizes = sizes if last else settled(sizes)
