@@ -23,10 +23,14 @@ def _joined(spans) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """Counts of the base kinds, a digest of their spans and all spans as text."""
     base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
 
