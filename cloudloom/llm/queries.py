@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secret_scan, simhash, substrings
+from . import bpe, quality_rules, secret_scan, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def _joined(spans) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *base, "base_failed", "kept", "n_removed_words")
+
+
 def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
@@ -56,6 +62,7 @@ def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_frequency": op1_line_frequency,
     "op2_secret_automaton": op2_secret_automaton,
     "op6_simhash_gray_index": op6_simhash_gray_index,
     "op7_bpe_transducer": op7_bpe_transducer,
