@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, secret_scan, simhash, substrings
+from . import bpe, pii, quality_rules, secret_scan, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,15 +29,16 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *base, "base_failed", "kept", "n_removed_words")
 
 
-def _of_kind(kind: str):
-    return lambda span: span["kind"] == kind
+def _digest(found: DataFrame, kinds: tuple[str, ...], is_base=None) -> DataFrame:
+    """Counts of the base spans of each kind, a digest of them, and all spans as text."""
+    is_base = is_base or (lambda s: s["kind"].isin(*kinds))
+    base = found.select("doc_id", "spans", F.filter("spans", is_base).alias("base"))
 
+    def of(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    """Counts of the base kinds, a digest of their spans and all spans as text."""
-    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
-    counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
-    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+    digest = F.sha2(_joined("base"), 256).alias("base_sha256")
+    return base.select("doc_id", *map(of, kinds), digest, _joined("spans").alias("spans"))
 
 
 def op2_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,10 @@ def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find_personal_data(_table(spark, sf_dir, "documents")), pii.KINDS, lambda s: s["base"])
+
+
 def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_automaton": op2_secret_automaton,
     "op6_simhash_gray_index": op6_simhash_gray_index,
     "op7_bpe_transducer": op7_bpe_transducer,
+    "op8_crf_personal_data": op8_crf_personal_data,
     "op9_seed_and_extend": op9_seed_and_extend,
 }
 
