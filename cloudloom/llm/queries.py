@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, quality_rules, secret_scan, simhash, substrings
+from . import bpe, html_text, importance, pii, quality_rules, secret_scan, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op2_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(secret_scan.find_secrets(_table(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
 
 
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -66,13 +70,20 @@ def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": op1_line_frequency,
     "op2_secret_automaton": op2_secret_automaton,
+    "op5_importance_resampling": op5_importance_resampling,
     "op6_simhash_gray_index": op6_simhash_gray_index,
     "op7_bpe_transducer": op7_bpe_transducer,
     "op8_crf_personal_data": op8_crf_personal_data,
     "op9_seed_and_extend": op9_seed_and_extend,
+    "op10_layout_text": op10_layout_text,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables in reasonable time.
