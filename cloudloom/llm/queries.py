@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, importance, pii, quality_rules, secret_scan, simhash, substrings
+from . import bpe, decontaminate, html_text, importance, pii, quality_rules, secret_scan, simhash, substrings, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,14 @@ def op2_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(secret_scan.find_secrets(_table(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
 
 
+def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_boosted_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -78,6 +86,8 @@ def op10_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": op1_line_frequency,
     "op2_secret_automaton": op2_secret_automaton,
+    "op3_template_leaks": op3_template_leaks,
+    "op4_boosted_url_filter": op4_boosted_url_filter,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_simhash_gray_index": op6_simhash_gray_index,
     "op7_bpe_transducer": op7_bpe_transducer,
