@@ -137,18 +137,20 @@ def spherical_flip(x: Column, y: Column, z: Column, radius: float) -> tuple[Colu
     return x + scale * x, y + scale * y, z + scale * z
 
 
-def slerp(a: list[Column], b: list[Column], share: Column) -> list[Column]:
-    """Interpolated unit quaternion (x, y, z, w) on the shorter way; nearly equal ones are mixed linearly."""
+def slerp_weights(a: list[Column], b: list[Column], share: Column) -> tuple[Column, Column]:
+    """Weights of two unit quaternions (x, y, z, w) on the shorter way; nearly equal ones are mixed linearly.
+
+    The weighted sum still has to be normalised. Keep the weights in columns of
+    their own, so that the trigonometry is evaluated once.
+    """
     signed = sum((p * q for p, q in zip(a, b)), F.lit(0.0))
     sign = F.when(signed < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     dot = F.abs(signed)
     near = dot > 0.9995
     angle = F.acos(F.least(dot, F.lit(1.0)))
-    first = F.when(near, F.lit(1.0) - share).otherwise(F.sin((F.lit(1.0) - share) * angle) / F.sin(angle))
-    second = sign * F.when(near, share).otherwise(F.sin(share * angle) / F.sin(angle))
-    mixed = [first * p + second * q for p, q in zip(a, b)]
-    norm = F.sqrt(sum((m * m for m in mixed), F.lit(0.0)))
-    return [m / norm for m in mixed]
+    first = F.when(near, F.lit(1.0) - share).otherwise(F.try_divide(F.sin((F.lit(1.0) - share) * angle), F.sin(angle)))
+    second = F.when(near, share).otherwise(F.try_divide(F.sin(share * angle), F.sin(angle)))
+    return first, sign * second
 
 
 def rotation_to_quaternion(r: dict[str, Column]) -> list[Column]:

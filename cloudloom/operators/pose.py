@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import rotation, shift_time, slerp
+from ..functions.geometry import rotation, shift_time, slerp_weights
 
 _SAMPLE = ["odom_id", "t", "px", "py", "pz", "qx", "qy", "qz", "qw"]
 
@@ -63,13 +63,16 @@ def interpolated(brackets: DataFrame) -> DataFrame:
     """
     a, b = F.col("before"), F.col("after")
     span = b["t"] - a["t"]
-    share = F.when(span > 0, (F.col("t") - a["t"]) / span).otherwise(F.lit(0.0))
     axes, quaternion = ("px", "py", "pz"), ("qx", "qy", "qz", "qw")
-    turned = slerp([a[q] for q in quaternion], [b[q] for q in quaternion], share)
-    values = {p: a[p] + share * (b[p] - a[p]) for p in axes} | dict(zip(quaternion, turned))
-    inside = a.isNotNull() & b.isNotNull()
-    columns = [F.when(inside, v).otherwise(F.coalesce(b, a)[name]).alias(name) for name, v in values.items()]
-    return brackets.select(*[c for c in brackets.columns if c not in ("before", "after")], inside.alias("matched"), *columns)
+    others = [c for c in brackets.columns if c not in ("before", "after")]
+    rows = brackets.withColumn("__share", F.when(span > 0, (F.col("t") - a["t"]) / span).otherwise(F.lit(0.0)))
+    first, second = slerp_weights([a[q] for q in quaternion], [b[q] for q in quaternion], F.col("__share"))
+    rows = rows.withColumns({"__first": first, "__second": second, "matched": a.isNotNull() & b.isNotNull()})
+    rows = rows.withColumns({f"__{q}": F.col("__first") * a[q] + F.col("__second") * b[q] for q in quaternion})
+    rows = rows.withColumn("__norm", F.sqrt(sum((F.col(f"__{q}") * F.col(f"__{q}") for q in quaternion), F.lit(0.0))))
+    values = {p: a[p] + F.col("__share") * (b[p] - a[p]) for p in axes} | {q: F.col(f"__{q}") / F.col("__norm") for q in quaternion}
+    columns = [F.when(F.col("matched"), v).otherwise(F.coalesce(b, a)[name]).alias(name) for name, v in values.items()]
+    return rows.select(*others, "matched", *columns)
 
 
 def match_counts(brackets: DataFrame) -> DataFrame:
