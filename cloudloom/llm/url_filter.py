@@ -18,6 +18,7 @@ from .common import settled
 #: Most labelled URLs that the trees are fitted on: those with the least hashes.
 TRAIN_URLS = 20_000
 TREES, DEPTH, SEED = 12, 4, 11
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~:/?#&=%+@"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,12 +67,19 @@ def _count(text: Column, pattern: str) -> Column:
 
 
 def entropy(text: Column) -> Column:
-    """Bits per character of a text's own character distribution."""
-    letters = F.array_sort(F.split(text, ""))
-    ends = F.filter(F.transform(letters, lambda c, i: F.when(F.get(letters, i + 1).eqNullSafe(c), None).otherwise(i + 1)), lambda x: x.isNotNull())
-    counts = F.transform(ends, lambda e, i: (e - F.coalesce(F.get(ends, i - 1), F.lit(0))).cast("double"))
-    total = F.greatest(F.size(letters), F.lit(1)).cast("double")
-    return F.aggregate(counts, F.lit(0.0), lambda sum_, c: sum_ - c / total * F.log2(c / total))
+    """Bits per character over the characters of ``ALPHABET``, upper and lower case as one, all others as one more."""
+    lower = F.lower(text)
+    total = F.greatest(F.length(text), F.lit(1)).cast("double")
+    counts = F.transform(F.array(*[F.lit(c) for c in ALPHABET]), lambda c: F.length(text) - F.length(F.replace(lower, c, F.lit(""))))
+    bits = F.aggregate(
+        counts,
+        F.struct(F.lit(0.0).alias("bits"), F.length(text).alias("rest")),
+        lambda acc, n: F.struct(
+            F.when(n > 0, acc["bits"] - n / total * F.log2(n / total)).otherwise(acc["bits"]).alias("bits"), (acc["rest"] - n).alias("rest")
+        ),
+        lambda acc: F.when(acc["rest"] > 0, acc["bits"] - acc["rest"] / total * F.log2(acc["rest"] / total)).otherwise(acc["bits"]),
+    )
+    return bits
 
 
 FEATURES = (
@@ -106,7 +114,7 @@ class UrlModel:
 
     def __init__(self, labelled: DataFrame, most: int = TRAIN_URLS, trees: int = TREES, depth: int = DEPTH):
         """``labelled``: columns url, host, path and blocked (0 or 1); at most ``most`` rows are fitted."""
-        rows = settled(lexical(labelled).orderBy(F.xxhash64("url"), "url").limit(most))
+        rows = settled(lexical(labelled.orderBy(F.xxhash64("url"), "url").limit(most)))
         self.suffixes = settled(
             rows.groupBy("suffix").agg(
                 ((F.sum("blocked") + 1.0) / (F.count("*") + 2.0)).alias("suffix_block_rate"),
