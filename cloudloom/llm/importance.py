@@ -21,6 +21,8 @@ from .common import Memo, keys, mixed, raw, settled, slices
 
 #: Buckets of the hashed n-grams; the models are two arrays of this length.
 BUCKETS = 1 << 14
+#: Most labelled documents that the target model is fitted on: those with the least id hashes.
+TARGET_DOCS = 100_000
 #: Weight of the pseudo-count in each bucket.
 SMOOTHING = 1.0
 #: Bins of one refinement round of the exact top-k threshold.
@@ -116,11 +118,13 @@ def top_threshold(keyed: DataFrame, key: str, k: int) -> float | None:
 
 def resample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality",
-    share: float | None = None, seed: int = 7,
+    share: float | None = None, seed: int = 7, most: int = TARGET_DOCS,
 ) -> DataFrame:
     """(doc_id, log_weight, gumbel_key, kept) for every row of ``docs``.
 
-    The target are the documents that ``labels`` gives quality 1. ``kept`` marks
+    The target are documents that ``labels`` gives quality 1, at most ``most``
+    of them; their ids are broadcast, so no text is shuffled. The raw model
+    counts all documents. ``kept`` marks
     the ``share`` of rows with the largest keys; without ``share`` it is the
     share of good ones among the labelled. The noise is a function of seed, id
     and text, so a row that is computed again gets the same key, and repeated
@@ -131,7 +135,8 @@ def resample(
     good = good.groupBy("doc_id").agg(F.max("good").alias("good"))
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    marked = rows.join(good.where("good = 1"), "doc_id", "left").select("text", (F.col("good") == 1).alias("target"))
+    target = good.where("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    marked = rows.join(F.broadcast(target), "doc_id", "left").select("text", (F.col("good") == 1).alias("target"))
     counts = ngram_counts(marked, "text", "target")
     labelled = good.agg(F.avg((F.col("good") == 1).cast("double"))).first()[0]
     share = share if share is not None else labelled if labelled is not None else 1.0
