@@ -23,7 +23,7 @@ from .common import Memo, keys, mixed, raw, settled, slices
 BUCKETS = 1 << 14
 #: Most labelled documents that the target model is fitted on: those with the least id hashes.
 TARGET_DOCS = 100_000
-#: Weight of the pseudo-count in each bucket.
+#: Pseudo-counts, one such weight for each bucket.
 SMOOTHING = 1.0
 #: Bins of one refinement round of the exact top-k threshold.
 BINS = 1_000
@@ -58,12 +58,19 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", group_col: str | None
 
 
 def log_ratio(counts: DataFrame, count: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
-    """log p_target - log p_raw for each bucket; ``count`` numbers reach the driver whatever the input's size."""
-    raw_n, target_n = np.full(count, smoothing), np.full(count, smoothing)
+    """log p_target - log p_raw for each bucket; ``count`` numbers reach the driver whatever the input's size.
+
+    The raw model gets ``smoothing`` in each bucket. The target model is drawn
+    to the raw one by as many pseudo-counts, so that what a small target does
+    not show is not held against a document.
+    """
+    raw_n, target_n = np.full(count, smoothing), np.zeros(count)
     for row in counts.collect():
         raw_n[row.bucket] += row.n
         target_n[row.bucket] += row.n_target
-    return np.log(target_n / target_n.sum()) - np.log(raw_n / raw_n.sum())
+    p_raw = raw_n / raw_n.sum()
+    prior = smoothing * count
+    return np.log((target_n + prior * p_raw) / (target_n.sum() + prior)) - np.log(p_raw)
 
 
 def log_weights(docs: DataFrame, ratio: np.ndarray, text_col: str = "text") -> DataFrame:

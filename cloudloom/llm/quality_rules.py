@@ -11,6 +11,7 @@ copies is the near-duplicate operator's work.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,15 +33,19 @@ MAX_LOSS = 0.5
 #: Most (host, line) pairs that are broadcast; above it they are joined by a shuffle.
 BROADCAST_LINES = 500_000
 SYMBOLS = b"#*$%&|<>"
-
-#: A-Z to lower case, every digit to 0.
-_NORMAL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
-
+_DIGIT = re.compile(rb"[0-9]")
 
 def line_hash(line: bytes) -> int | None:
-    """Signed hash of a line in lower case, digits as 0, white space folded; None for a line without words."""
-    words = line.translate(_NORMAL).split()
-    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words))).view(np.int64)) if words else None
+    """Signed hash of a line in lower case (A-Z), numbers as 0, white space folded; None for a line without words.
+
+    Only words made of digits alone are numbers, so that names with digits stay apart.
+    """
+    words = line.lower().split()
+    if not words:
+        return None
+    if _DIGIT.search(line):
+        words = [b"0" if w.isdigit() else w for w in words]
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words))).view(np.int64))
 
 
 def signature(words: list[bytes], memo: Memo) -> int:
