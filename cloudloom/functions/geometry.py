@@ -65,10 +65,8 @@ def finite(*values: Column) -> Column:
     return out
 
 
-def rotation(qx: Column, qy: Column, qz: Column, qw: Column) -> dict[str, Column]:
-    """Entries r00..r22 of the rotation of a quaternion of any length."""
-    n = F.sqrt(qx * qx + qy * qy + qz * qz + qw * qw)
-    x, y, z, w = qx / n, qy / n, qz / n, qw / n
+def rotation(x: Column, y: Column, z: Column, w: Column) -> dict[str, Column]:
+    """Entries r00..r22 of the rotation of a unit quaternion."""
     two, one = F.lit(2.0), F.lit(1.0)
     return {
         "r00": one - two * (y * y + z * z), "r01": two * (x * y - z * w), "r02": two * (x * z + y * w),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +32,31 @@ def path_history(poses: DataFrame, most: int, order: list[str], id_col: str) ->
     numbered = dense_ids(poses, order, "seq").select("seq", id_col)
     held = last_rows(numbered, "seq", [id_col], most)
     return held.select(id_col, F.col("history")[0][id_col].alias("first_id"), F.size("history").alias("n_poses"))
+
+
+def accumulate(scans: DataFrame, max_points: int, every: int, drop_tail: bool = False) -> DataFrame:
+    """(session_id, batch, first_index, last_index, n_points, by_size): scans gathered into batches.
+
+    A batch closes at ``max_points`` points, tested first, or after ``every``
+    scans. The unfinished rest of a session is a last batch, unless
+    ``drop_tail``. Only the sizes of a session's scans meet in a task, not
+    their points.
+    """
+    if every < 1:
+        raise ValueError("every must be at least 1")
+
+    def gather(key, part: pd.DataFrame) -> pd.DataFrame:
+        out, first, count, points, last = [], None, 0, 0, None
+        ordered = part.sort_values("index")
+        for last, size in zip(ordered["index"].tolist(), ordered["n_points"].tolist()):
+            first = last if first is None else first
+            count, points = count + 1, points + size
+            if points >= max_points or count >= every:
+                out.append((key[0], len(out), first, last, points, points >= max_points))
+                first, count, points = None, 0, 0
+        if count and not drop_tail:
+            out.append((key[0], len(out), first, last, points, False))
+        return pd.DataFrame(out, columns=["session_id", "batch", "first_index", "last_index", "n_points", "by_size"])
+
+    kinds = "session_id long, batch long, first_index long, last_index long, n_points long, by_size boolean"
+    return scans.select("session_id", "index", "n_points").groupBy("session_id").applyInPandas(gather, kinds)

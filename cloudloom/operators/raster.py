@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.color import file_stem, inverse_depth
+from ..functions.color import file_stem, inverse_depth, quantize, rainbow
 
 
 def zbuffer(projected: DataFrame, id_col: str = "cam_id") -> DataFrame:
@@ -36,6 +36,21 @@ def depth_params(images: DataFrame, summary: DataFrame, id_col: str = "cam_id",
     return images.join(good, id_col, "left_semi").select(file_stem(F.col(name_col)).alias("stem"), F.lit(1.0).alias("scale"), F.lit(0.0).alias("offset"))
 
 
+def depth_params_json(params: DataFrame) -> DataFrame:
+    """One row: a JSON object from stem to scale and offset, in order of stems; its size is the number of images."""
+    entry = F.struct("stem", F.struct("scale", "offset").alias("value"))
+    rows = params.agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    return rows.select(F.to_json(F.map_from_entries("rows")).alias("json"))
+
+
+def overlay_colors(projected: DataFrame, id_col: str = "cam_id") -> DataFrame:
+    """(cam_id, iv, iu, r, g, b): each projected point's depth, scaled within its image, as a rainbow colour 0..255."""
+    ends = projected.groupBy(id_col).agg(F.min("cz").alias("lo"), F.max("cz").alias("hi"))
+    share = F.when(F.col("hi") > F.col("lo"), (F.col("cz") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(F.lit(0.0))
+    joined = projected.join(ends, id_col).withColumn("share", share)
+    return joined.select(id_col, "iv", "iu", *(quantize(c).alias(n) for c, n in zip(rainbow(F.col("share")), "rgb")))
+
+
 def normalized(depths: DataFrame, id_col: str = "cam_id") -> DataFrame:
     """Adds ``level``: depth spread over 0..255 between each image's extremes (0 where they are equal)."""
     ends = depths.where("depth > 0").groupBy(id_col).agg(F.min("depth").cast("double").alias("lo"), F.max("depth").cast("double").alias("hi"))

@@ -11,7 +11,9 @@ from .functions import color
 from .functions import geometry as geo
 from .functions.sequence import dense_ids
 from .operators import batches, camera, cloud, fusion, pose, raster, tracks, visibility
+from .plans import reconstruct
 from .plans.fixtures import CAMERA, duckdb_with, view
+from .sources import png
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -550,6 +552,44 @@ def path_history(spark, d):
     return batches.path_history(view(spark, d, "fx_odom"), 100, ["t", "odom_id"], "odom_id")
 
 
+@query()
+def accumulate_scans(spark, d):
+    """Events of a user as scans of a session, their values as sizes."""
+    scans = spark.read.parquet(f"{d}/events.parquet").select((F.col("user_id") % 50).alias("session_id"), F.col("event_id").alias("index"), F.floor("value").alias("n_points"))
+    return batches.accumulate(scans, 500, 20)
+
+
+_PAIRS = _PIXED + "select cam_id, iv, iu, cast(floor(greatest(least(r*255e0, 255e0), 0e0)) as integer) r, cast(floor(greatest(least(g*255e0, 255e0), 0e0)) as integer) g, cast(floor(greatest(least(b*255e0, 255e0), 0e0)) as integer) b from (select *, case when h<1 then 1e0 when h<2 then x when h<4 then 0e0 else x end r, case when h<1 then x when h<3 then 1e0 when h<4 then x else 0e0 end g, case when h<2 then 0e0 when h<3 then x else 1e0 end b from (select *, 1e0 - abs(h - floor(h/2e0)*2e0 - 1e0) x from (select *, (1e0 - greatest(least(case when hi > lo then (cz-lo)/(hi-lo) else 0e0 end, 1e0), 0e0))*27e1/6e1 h from (select *, min(cz) over (partition by cam_id) lo, max(cz) over (partition by cam_id) hi from pix) a) b) c) d"
+
+
+@query(_PAIRS)
+def depth_overlay(spark, d):
+    return raster.overlay_colors(_pixels(spark, d))
+
+
+@query()
+def colored_cloud(spark, d):
+    """End to end: views, colours from procedural images, medians, quantised and numbered."""
+    p = _pixels(spark, d)
+    pixels = _grey(p).withColumns({c: (F.col("grey") * k) % 256 for c, k in zip("rgb", (1, 3, 5))})
+    colors = raster.bilinear(p, pixels, CAMERA.width, CAMERA.height, ["r", "g", "b"])
+    return reconstruct.colored_cloud(view(spark, d, "fx_points"), colors)
+
+
+@query()
+def model_records(spark, d):
+    """End to end: image records of the exported model, by their sizes."""
+    cameras = view(spark, d, "fx_camera").withColumn("filename", color.frame_name("frame", F.col("cam_id")))
+    images, _ = reconstruct.export_records(colored_cloud(spark, d), cameras, CAMERA)
+    return images.select("image_id", "n_points", F.length("record").alias("n_bytes"))
+
+
+@query()
+def depth_png16(spark, d):
+    found = png.depth_pngs(raster.encoded(_depths(spark, d)), CAMERA.width, CAMERA.height)
+    return found.select("cam_id", F.length("png").alias("n_bytes"))
+
+
 # --- names and colours ---------------------------------------------------------------------------------------------
 
 
