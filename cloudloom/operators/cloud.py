@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import settled
 from ..functions.geometry import finite, voxel_index
 
 _CELL = ["ix", "iy", "iz"]
@@ -54,6 +55,23 @@ def budget_cap(sums: DataFrame, most: int) -> DataFrame:
     return coarsened(sums) if sums.count() > most else sums
 
 
+def replayed_map(batches: list[DataFrame], size: float, every: int) -> DataFrame:
+    """The map as unweighted refiltering makes it: batch centroids appended, all refiltered at every ``every``-th batch.
+
+    The result depends on the batching, unlike :func:`merge_sums`; it is there
+    to replay a recording as it was captured.
+    """
+    if every < 1:
+        raise ValueError("every must be at least 1")
+    held = None
+    for k, batch in enumerate(batches, 1):
+        part = voxel_downsample(batch, size).select("x", "y", "z")
+        held = part if held is None else held.unionByName(part)
+        if k % every == 0:
+            held = settled(voxel_downsample(held, size).select("x", "y", "z"))
+    return held
+
+
 def first_per_voxel(points: DataFrame, size: float, order: list[str]) -> DataFrame:
     """The first point of each voxel in ``order``, which should be total.
 
@@ -114,7 +132,8 @@ def knn(points: DataFrame, k: int, cell: float | None = None, id_col: str = "poi
         asked = asked.withColumns({f"i{a}": F.col(f"i{a}") + F.col(f"o.d{a}") for a in "xyz"})
         dist2 = sum(((F.col(a) - F.col(f"n{a}")) * (F.col(a) - F.col(f"n{a}")) for a in "xyz"), F.lit(0.0))
         pairs = asked.join(cells, _CELL).where("id <> neighbour").select("id", "neighbour", dist2.alias("dist2"))
-        ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("dist2", "neighbour"))).where(F.col("rank") <= k)
+        nearest = Window.partitionBy("id").orderBy("dist2", "neighbour")
+        ranked = settled(pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k))
         whole = size > span or turn == max_rounds - 1
         sure = ranked.groupBy("id").agg(F.count("*").alias("n"), F.max("dist2").alias("far"))
         sure = sure.where(F.lit(whole) | ((F.col("n") == k) & (F.col("far") <= size * size))).select("id")
@@ -122,7 +141,7 @@ def knn(points: DataFrame, k: int, cell: float | None = None, id_col: str = "poi
         found = good if found is None else found.unionByName(good)
         if whole:
             break
-        asking = asking.join(sure, "id", "left_anti")
+        asking = settled(asking.join(sure, "id", "left_anti"))
         if asking.isEmpty():
             break
         size *= 2

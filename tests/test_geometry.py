@@ -166,3 +166,12 @@ def test_bilinear_of_a_constant_is_constant(spark):
     p = spark.createDataFrame([(1, 1, 3.25, 4.75), (1, 2, 9.0, 9.0)], "cam_id long, point_id long, u double, v double")
     pixels = spark.createDataFrame([(1, y, x, 51) for y in range(10) for x in range(10)], "cam_id long, iv int, iu int, grey int")
     assert {r.grey for r in raster.bilinear(p, pixels, 10, 10, ["grey"]).collect()} == {0.2}
+
+
+def test_replayed_maps_are_unweighted(spark):
+    one = spark.createDataFrame([(0.0, 0.0, 0.0), (0.2, 0.0, 0.0), (0.4, 0.0, 0.0)], "x double, y double, z double")
+    two = spark.createDataFrame([(0.8, 0.0, 0.0)], "x double, y double, z double")
+    assert abs(cloud.replayed_map([one, two], 1.0, 2).first().x - 0.5) < 1e-12
+    assert cloud.replayed_map([one, two], 1.0, 3).count() == 2
+    exact = cloud.centroids(cloud.merge_sums(cloud.voxel_sums(one, 1.0), cloud.voxel_sums(two, 1.0)))
+    assert abs(exact.first().x - 0.35) < 1e-12
