@@ -28,7 +28,7 @@ from .common import Memo, keys, mixed, raw, settled, slices
 #: Most anchors that are sent to all executors (8 bytes each); above it anchors are joined by a shuffle.
 BROADCAST_ANCHORS = 4_000_000
 #: Occurrences from which an anchor's windows are dealt out by their own hashes.
-HOT = 5_000
+HOT = 256
 #: Words whose windows are settled together.
 CHUNK_WORDS = 1_000_000
 #: Windows in a row of the second pass.
