@@ -97,4 +97,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables in reasonable time.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_seed_and_extend": r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
+win as (select doc_id, i, array_to_string(ws[i:i+34], ' ') k from (select doc_id, ws, unnest(range(1, len(ws) - 33)) i from w) s),
+rep as (select k from win group by k having count(*) > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 35)) p from win where k in (select k from rep)),
+kept as (select w.doc_id, string_agg(ws[j], ' ' order by j) t
+  from (select doc_id, ws, unnest(range(1, len(ws) + 1)) j from w) w left join gone on w.doc_id = gone.doc_id and w.j = gone.p
+  where gone.p is null group by w.doc_id),
+n as (select doc_id, count(*) n from gone group by doc_id)
+select w.doc_id, len(ws)::bigint n_words, coalesce(n.n, 0)::bigint n_removed, sha256(coalesce(t, '')) kept_sha256
+from w left join kept on w.doc_id = kept.doc_id left join n on w.doc_id = n.doc_id""",
+}
