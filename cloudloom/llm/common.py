@@ -2,43 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import ensure_checkpoint_dir, settled
+
+__all__ = ["SLICE", "Memo", "ensure_checkpoint_dir", "hash_sample", "keys", "mixed", "raw", "settled", "slices"]
+
 #: Rows of a batch that are turned into Python objects at a time.
 SLICE = 512
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session.
+def hash_sample(df: DataFrame, most: int, *columns: Column) -> DataFrame:
+    """Rows of ``df`` with the least hashes of ``columns``: all if they are at most ``most``, else about that many.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    (tests) that names none gets a temporary folder of its own.
-    """
-    sc = spark.sparkContext
-    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from the shared checkpoint folder.
-
-    Cuts the lineage, so that a lost executor costs a re-read and loops do not
-    grow their plans.
+    The bound is a threshold on a uniform 64-bit hash (the expected number is
+    ``most``), so nothing is sorted and the same rows are taken however the
+    table is partitioned.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    n = df.count()
+    if n <= most:
+        return df
+    return df.where(F.xxhash64(*columns) <= F.lit(int((1 << 64) * most / n) - (1 << 63)))
 
 
 def raw(column: pa.Array) -> list[bytes]:

@@ -20,7 +20,7 @@ WINDOW = 8
 #: Tokens that an alignment must cover (all of them for a shorter item).
 COVER = 13
 #: Most benchmark windows that are broadcast (about 40 bytes each), and most matched documents (16 bytes each).
-BROADCAST_WINDOWS = 1_000_000
+BROADCAST_WINDOWS = 200_000
 BROADCAST_DOCS = 1_000_000
 #: Unit words after a number (fixed values).
 UNITS = (

@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, keys, mixed, raw, settled, slices
+from .common import Memo, hash_sample, keys, mixed, raw, settled, slices
 
 #: Buckets of the hashed n-grams; the models are two arrays of this length.
 BUCKETS = 1 << 14
-#: Most labelled documents that the target model is fitted on: those with the least id hashes.
+#: Labelled documents that the target model is fitted on, at most about: those with the least id hashes.
 TARGET_DOCS = 100_000
 #: Pseudo-counts, one such weight for each bucket.
 SMOOTHING = 1.0
@@ -142,7 +142,7 @@ def resample(
     good = good.groupBy("doc_id").agg(F.max("good").alias("good"))
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    target = good.where("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    target = hash_sample(good.where("good = 1"), most, F.col("doc_id"))
     marked = rows.join(F.broadcast(target), "doc_id", "left").select("text", (F.col("good") == 1).alias("target"))
     counts = ngram_counts(marked, "text", "target")
     labelled = good.agg(F.avg((F.col("good") == 1).cast("double"))).first()[0]

@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, slices
+from .common import hash_sample, raw, slices
 from .crf import Crf, fit
 from .secret_scan import code_points
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
-#: Most documents that the field is fitted on: those with the least id hashes.
+#: Documents that the field is fitted on, at most about: those with the least id hashes.
 TRAIN_DOCS = 4_000
 #: Most labelled runs of words that the field is fitted on.
 TRAIN_RUNS = 20_000
@@ -157,13 +157,12 @@ def labels(run: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> lis
 
 
 def labelled_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> DataFrame:
-    """(tokens, labels): a labelled table from the exact patterns over at most ``most`` documents.
+    """(tokens, labels): a labelled table from the exact patterns over about ``most`` documents at most.
 
     The documents with the least id hashes are taken, so the table does not
     depend on partitions; rows with null ids are left out of it.
     """
-    hashed = docs.where(F.col(id_col).isNotNull()).select(F.xxhash64(F.col(id_col).cast("long")).alias("h"), F.col(text_col).cast("string").alias("text"))
-    limit = hashed.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -177,7 +176,7 @@ def labelled_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             kinds = (pa.list_(pa.list_(pa.int32())), pa.list_(pa.int32()))
             yield pa.record_batch([pa.array(tokens, kinds[0]), pa.array(marks, kinds[1])], ["tokens", "labels"])
 
-    picked = hashed.where(F.col("h") <= F.lit(limit)).select("text")
+    picked = hash_sample(known, most, F.col("id")).select("text")
     return picked.mapInArrow(run, "tokens array<array<int>>, labels array<int>")
 
 

@@ -13,9 +13,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import hash_sample, settled
 
-#: Most labelled URLs that the trees are fitted on: those with the least hashes.
+#: Labelled URLs that the trees are fitted on, at most about: those with the least hashes.
 TRAIN_URLS = 20_000
 TREES, DEPTH, SEED = 12, 4, 11
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~:/?#&=%+@"
@@ -113,14 +113,14 @@ class UrlModel:
     """Suffix statistics and boosted trees; with one class among the labels it always gives that class."""
 
     def __init__(self, labelled: DataFrame, most: int = TRAIN_URLS, trees: int = TREES, depth: int = DEPTH):
-        """``labelled``: columns url, host, path and blocked (0 or 1); at most ``most`` rows are fitted."""
-        rows = settled(lexical(labelled.orderBy(F.xxhash64("url"), "url").limit(most)))
+        """``labelled``: columns url, host, path and blocked (0 or 1); about ``most`` rows are fitted at most."""
+        rows = settled(lexical(hash_sample(labelled, most, F.col("url"))))
         self.suffixes = settled(
             rows.groupBy("suffix").agg(
                 ((F.sum("blocked") + 1.0) / (F.count("*") + 2.0)).alias("suffix_block_rate"),
                 F.log1p(F.count("*").cast("double")).alias("suffix_log_count"),
             )
-        )  # at most ``most`` rows
+        )  # no more rows than are fitted
         classes = [r[0] for r in rows.select("blocked").distinct().collect()]
         self.always = (classes or [0])[0] if len(classes) < 2 else None
         self.assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
@@ -129,7 +129,7 @@ class UrlModel:
             self.model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=SEED).fit(fitted.select("features", "label"))
 
     def _suffixed(self, rows: DataFrame) -> DataFrame:
-        """Adds the suffix statistics; the table has at most TRAIN_URLS rows of two numbers."""
+        """Adds the suffix statistics; the table has no more rows than were fitted."""
         joined = rows.join(F.broadcast(self.suffixes), "suffix", "left")
         return joined.fillna({"suffix_block_rate": 0.5, "suffix_log_count": 0.0})
 
