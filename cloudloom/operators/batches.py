@@ -45,7 +45,7 @@ def accumulate(scans: DataFrame, max_points: int, every: int, drop_tail: bool =
     if every < 1:
         raise ValueError("every must be at least 1")
 
-    def gather(key, part: pd.DataFrame) -> pd.DataFrame:
+    def gather(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         out, first, count, points, last = [], None, 0, 0, None
         ordered = part.sort_values("index")
         for last, size in zip(ordered["index"].tolist(), ordered["n_points"].tolist()):

@@ -169,7 +169,7 @@ def _rows(image: np.ndarray, key, id_col: str, value: str) -> pd.DataFrame:
 def densify_morphological(depths: DataFrame, width: int, height: int, id_col: str = "cam_id") -> DataFrame:
     """Depth completed without a guide: two dilations, a wide closing, a blur; measured pixels stay. One image a group."""
 
-    def fill(key, part: pd.DataFrame) -> pd.DataFrame:
+    def fill(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         image = _image(part[part["depth"] > 0], width, height, "depth")
         for size in (5, 15):
             image = _window(image, ellipse_spans(size), np.maximum, 0.0)
@@ -184,7 +184,7 @@ def densify_morphological(depths: DataFrame, width: int, height: int, id_col: st
 def canny_edges(pixels: DataFrame, width: int, height: int, low: float = 50.0, high: float = 150.0, id_col: str = "cam_id") -> DataFrame:
     """(cam_id, iv, iu) of edge pixels of grey images (column ``grey``): gradient, thinning, hysteresis. One image a group."""
 
-    def edges(key, part: pd.DataFrame) -> pd.DataFrame:
+    def edges(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         grey = np.pad(_image(part, width, height, "grey"), 1, mode="edge")
         left, mid, right = (grey[:, k : k + width] for k in range(3))
         down = left + 2 * mid + right

@@ -94,7 +94,7 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 def depth_pngs(encoded: DataFrame, width: int, height: int, id_col: str = "cam_id") -> DataFrame:
     """(cam_id, png): a 16-bit image of each camera's codes (column ``code``); one image a group."""
 
-    def draw(key, part: pd.DataFrame) -> pd.DataFrame:
+    def draw(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         image = np.zeros((height, width), np.uint16)
         image[part["iv"].to_numpy(int), part["iu"].to_numpy(int)] = part["code"]
         return pd.DataFrame({id_col: [key[0]], "png": [encode_png(image)]})
