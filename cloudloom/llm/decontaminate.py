@@ -17,7 +17,8 @@ from .common import keys, settled
 
 #: Template tokens in a hashed window.
 WINDOW = 8
-#: Tokens that an alignment must cover (all of them for a shorter item).
+#: Tokens that an alignment must cover. A shorter item may lack two, as its first and last word can read
+#: differently in another sentence, but no fewer than a window; one shorter than a window must be whole.
 COVER = 13
 #: Most benchmark windows that are broadcast (about 40 bytes each), and most matched documents (16 bytes each).
 BROADCAST_WINDOWS = 200_000
@@ -127,7 +128,9 @@ def find_leaks(
     aligned = aligned.withColumn("n_tokens", _covered(F.col("places"), F.col("size")))
     tokens = bench.select("item_id", F.col("tokens").alias("theirs")).distinct()
     long = settled(
-        aligned.join(F.broadcast(tokens) if few else tokens, "item_id").where(F.col("n_tokens") >= F.least(F.lit(cover), F.size("theirs")))
+        aligned.join(F.broadcast(tokens) if few else tokens, "item_id").where(
+            F.col("n_tokens") >= F.least(F.lit(cover), F.greatest(F.col("size"), F.size("theirs") - 2))
+        )
     )
     met = long.select("k1", "k2").distinct()
     near = rows.join(F.broadcast(met) if long.count() <= broadcast_docs else met, ["k1", "k2"], "left_semi")

@@ -155,6 +155,10 @@ def test_reparameterised_questions_are_found_and_inconsistent_ones_not(spark, do
             (6, own(8) + " tiny item " + own(9)),
         ]
     )
+    # Inside another sentence the first word of an item reads like a name.
+    short = spark.createDataFrame([(1, "Pour one cup of water over twelve beans and stir until done")], "item_id long, text string")
+    inside = docs_of([(1, own(1) + " Pour one cup of water over twelve beans and stir until done " + own(2))])
+    assert decontaminate.contaminated(inside, short).first().n_tokens == 11
     for options in ({}, {"broadcast_windows": 0, "broadcast_docs": 0}):
         found = {(r.doc_id, r["items"]) for r in decontaminate.contaminated(docs, bench, **options).collect()}
         assert found == {(1, "1"), (2, "1"), (6, "2")}
