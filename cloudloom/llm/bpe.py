@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import Memo, raw, slices
 
 #: Most words whose tokens a task remembers.
-WORD_MEMO = 500_000
+WORD_MEMO = 250_000
 #: Words longer than this are streamed and not remembered.
 LONG_WORD = 200
 #: Code points of white space that count as one space (fixed values).

@@ -55,7 +55,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Memo(dict):
     """A dictionary that computes missing values, for at most ``most`` keys."""
 
-    def __init__(self, compute: Callable, most: int = 400_000):
+    def __init__(self, compute: Callable, most: int = 200_000):
         super().__init__()
         self.compute, self.most = compute, most
 
