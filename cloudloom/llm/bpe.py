@@ -27,6 +27,8 @@ from .common import Memo, raw, slices
 
 #: Most words whose tokens a task remembers.
 WORD_MEMO = 250_000
+#: Tokens that the decoder takes at a time.
+DECODE_TOKENS = 16_384
 #: Words longer than this are streamed and not remembered.
 LONG_WORD = 200
 #: Code points of white space that count as one space (fixed values).
@@ -108,6 +110,7 @@ class Vocabulary:
         self.longest = max(self.length)
         value = {c: b for b, c in enumerate(marks)}
         self.bytes = [self._bytes(t, value) for t in self.text]
+        self.names = [t.encode() for t in self.text]
 
         self._encoder: Encoder | None = None
 
@@ -221,18 +224,24 @@ class Encoder:
 
 
 class Decoder:
-    """An incremental machine from tokens to text.
+    """An incremental machine from tokens to text, in constant memory.
 
-    Bytes of an unfinished character are held until the next token completes
-    it; bytes that can be no character become U+FFFD.
+    ``table`` gives the bytes of each token, ``between`` stands between tokens.
+    Bytes of an unfinished character are held until later tokens complete it;
+    bytes that can be no character become U+FFFD.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.table = vocabulary.bytes
-        self.held = b""
-
-    def feed(self, token: int) -> str:
-        data = self.held + self.table[token]
+    def __init__(self, table: list[bytes], between: bytes = b""):
+        self.table, self.between = table, between
+        self.held, self.begun = b"", False
+
+    def feed(self, tokens: list[int]) -> str:
+        """The text that is certain after some more tokens."""
+        if not tokens:
+            return ""
+        data = self.between.join(map(self.table.__getitem__, tokens))
+        data = self.held + (self.between + data if self.begun else data)
+        self.begun = True
         cut = len(data)
         for back in range(1, min(4, len(data)) + 1):
             byte = data[-back]
@@ -244,20 +253,31 @@ class Decoder:
         return data[:cut].decode("utf-8", "replace")
 
     def finish(self) -> str:
-        rest, self.held = self.held.decode("utf-8", "replace"), ""
-        self.held = b""
+        rest, self.held, self.begun = self.held.decode("utf-8", "replace"), b"", False
         return rest
 
 
-def decode_text(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
+def _decoded(machine: Decoder, ids: bytes) -> Iterator[str]:
+    for at in range(0, len(ids), 4 * DECODE_TOKENS):
+        yield machine.feed(np.frombuffer(ids[at : at + 4 * DECODE_TOKENS], "<u4").tolist())
+    yield machine.finish()
+
+
+def decode_text(vocabulary: Vocabulary, ids: bytes) -> str:
     """The text that ids stand for: words in lower case, a space after each word."""
-    machine = Decoder(vocabulary)
-    return "".join([*map(machine.feed, ids), machine.finish()])
+    return "".join(_decoded(Decoder(vocabulary.bytes), ids))
+
+
+def decode_tokens(vocabulary: Vocabulary, ids: bytes) -> Iterator[str]:
+    """Pieces of what the library gives for a file that names no decoder: token strings joined by spaces."""
+    return _decoded(Decoder(vocabulary.names, b" "), ids)
 
 
-def decode_tokens(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
-    """What the library gives for a file that names no decoder: token strings joined by spaces."""
-    return " ".join(map(vocabulary.text.__getitem__, ids))
+def _digest(pieces: Iterable[str]) -> str:
+    found = hashlib.sha256()
+    for piece in pieces:
+        found.update(piece.encode())
+    return found.hexdigest()
 
 
 def encode_documents(
@@ -278,10 +298,7 @@ def encode_documents(
         encoder = vocabulary.encoder()
         for batch in slices(batches):
             ids = [encoder.encode(t.decode("utf-8", "replace")) for t in raw(batch.column(1))]
-            digests = [
-                hashlib.sha256(decode_tokens(vocabulary, np.frombuffer(x, "<u4").tolist()).encode()).hexdigest() if decoded else None
-                for x in ids
-            ]
+            digests = [_digest(decode_tokens(vocabulary, x)) if decoded else None for x in ids]
             yield pa.record_batch(
                 [
                     batch.column(0),
