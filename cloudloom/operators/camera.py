@@ -24,8 +24,7 @@ def frustum_join(points: DataFrame, cameras: DataFrame, camera: Camera = Camera(
     size = camera.reach / cells
     half = size * math.sqrt(3) / 2
     posed = with_rotation(cameras.select(id_col, "px", "py", "pz", "qx", "qy", "qz", "qw"))
-    # Generated rows are a border for inferred not-null filters, which would else repeat the whole pose arithmetic for each entry.
-    spread = posed.select(id_col, F.inline(F.array(F.struct(*_POSE))))
+    spread = posed.select(id_col, *_POSE)
     for a in "xyz":
         low, high = F.floor((F.col(f"p{a}") - camera.reach) / size), F.floor((F.col(f"p{a}") + camera.reach) / size)
         spread = spread.withColumn(f"i{a}", F.explode(F.sequence(low, high)))

@@ -86,9 +86,12 @@ def match_counts(brackets: DataFrame) -> DataFrame:
 def with_rotation(poses: DataFrame) -> DataFrame:
     """Adds r00..r22 of the pose's quaternion, which may have any length.
 
-    Step by step, so that each part is computed once and generated code stays small.
+    Step by step, so that each part is computed once. The entries come as generated
+    rows: not-null filters that Spark infers from them stop there, else each would
+    repeat the whole arithmetic down to the scan.
     """
     axes = ("qx", "qy", "qz", "qw")
     length = F.sqrt(sum((F.col(q) * F.col(q) for q in axes[1:]), F.col("qx") * F.col("qx")))
     unit = poses.withColumn("__n", length).withColumns({f"__{q}": F.col(q) / F.col("__n") for q in axes})
-    return unit.withColumns(rotation(*(F.col(f"__{q}") for q in axes))).drop("__n", *(f"__{q}" for q in axes))
+    entries = [c.alias(n) for n, c in rotation(*(F.col(f"__{q}") for q in axes)).items()]
+    return unit.select(*poses.columns, F.inline(F.array(F.struct(*entries))))
