@@ -2,11 +2,9 @@
 
 Lines are normalised and hashed. For each host the distinct documents that
 hold a line are counted, lines above the limit are removed, and documents that
-lose too much of their text are rejected. Copies of one document count once: a
-document is told apart by the least hash among its three-word shingles, which
-exact copies share always and near copies nearly always. So a page's own text
-does not become boilerplate because the page was crawled often; removing such
-copies is the near-duplicate operator's work.
+lose too much of their text are rejected. Exact copies of one document, but for
+case and white space, count once: a document is told apart by a 128-bit key of
+its whole text. Near copies are documents of their own.
 """
 
 from __future__ import annotations
@@ -21,8 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, keys, raw, settled, slices
-from .substrings import gram_hashes, word_hashes
+from .common import keys, raw, settled, slices
 
 #: A line is removed where at least this many documents of its host hold it ...
 MIN_DOCS = 5
@@ -48,11 +45,10 @@ def line_hash(line: bytes) -> int | None:
     return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words))).view(np.int64))
 
 
-def signature(words: list[bytes], memo: Memo) -> int:
-    """What exact and most near copies of a document share: its least shingle hash."""
-    if not words:
-        return 0
-    return int(gram_hashes(word_hashes(words, memo), min(3, len(words))).min().view(np.int64))
+def document_key(text: bytes) -> tuple[int, int]:
+    """128 bits, as two signed longs, that stand for the words of a text in lower case (A-Z)."""
+    key = xxhash.xxh3_128_digest(b" ".join(text.lower().split()))
+    return int.from_bytes(key[:8], "big", signed=True), int.from_bytes(key[8:], "big", signed=True)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -98,17 +94,14 @@ def without_lines(text: bytes, frequent) -> tuple[bytes, int]:
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (host, line, document signature)."""
-    memo = Memo(xxhash.xxh64_intdigest)
+    """Distinct (host, line, document key)."""
     for batch in slices(batches):
         found = set()
         for host, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
-            sign = signature(text.split(), memo)
-            found.update((host, h, sign) for h in map(line_hash, text.split(b"\n")) if h is not None)
-        host, line, sign = zip(*found) if found else ((), (), ())
-        yield pa.record_batch(
-            [pa.array(host, pa.string()), pa.array(line, pa.int64()), pa.array(sign, pa.int64())], ["host", "line", "sign"]
-        )
+            key = document_key(text)
+            found.update((host, h, *key) for h in map(line_hash, text.split(b"\n")) if h is not None)
+        columns, kinds = zip(*found) if found else ((), (), (), ()), (pa.string(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "line", "k1", "k2"])
 
 
 def _host(docs: DataFrame, host_col: str) -> Column:
@@ -126,7 +119,7 @@ def frequent_lines(
     lines.
     """
     picked = docs.select(_host(docs, host_col).alias("host"), F.col(text_col).cast("string").alias("text"))
-    rows = picked.mapInArrow(_line_rows, "host string, line long, sign long")
+    rows = picked.mapInArrow(_line_rows, "host string, line long, k1 long, k2 long")
     counts = rows.distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
     sizes = picked.groupBy("host").agg(F.count("*").alias("size"))
     return counts.join(sizes, "host").where(F.col("n_docs") >= max_share * F.col("size")).select("host", "line", "n_docs")

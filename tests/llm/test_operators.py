@@ -82,6 +82,14 @@ def test_frequent_lines_go_and_depleted_documents_too(docs_of):
         assert set(kept) == {k for k, r in found.items() if r.kept} and kept[3].text == own(3) and kept[3].n_chars == len(own(3))
 
 
+def test_documents_that_share_most_of_their_text_are_counted_apart(docs_of):
+    shared = "\n".join(own(j, 20) for j in range(1000, 1009))
+    docs = docs_of([(k, f"{shared}\n{own(k, 40)}") for k in range(20)] + [(100 + k, f"{shared}\n{own(0, 40).upper()}") for k in range(20)])
+    counts = {r.line: r.n_docs for r in quality_rules.frequent_lines(docs).collect()}
+    assert counts == {quality_rules.line_hash(own(j, 20).encode()): 20 for j in range(1000, 1009)}
+    assert all(r.n_removed_words == 180 and not r.kept for r in quality_rules.apply_rules(docs).collect())
+
+
 # --- 2: secrets
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
