@@ -23,7 +23,7 @@ from .common import keys, raw, settled, slices
 
 #: A line is removed where at least this many documents of its host hold it ...
 MIN_DOCS = 5
-#: ... and at least this share of the host's documents.
+#: ... and at least this share of the host's distinct documents.
 MAX_SHARE = 0.02
 #: A document that loses more than this share of its words is depleted.
 MAX_LOSS = 0.5
@@ -94,11 +94,12 @@ def without_lines(text: bytes, frequent) -> tuple[bytes, int]:
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (host, line, document key)."""
+    """Distinct (host, line, document key); each document also has a row with a null line, to count the host's documents."""
     for batch in slices(batches):
         found = set()
         for host, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
             key = document_key(text)
+            found.add((host, None, *key))
             found.update((host, h, *key) for h in map(line_hash, text.split(b"\n")) if h is not None)
         columns, kinds = zip(*found) if found else ((), (), (), ()), (pa.string(), pa.int64(), pa.int64(), pa.int64())
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "line", "k1", "k2"])
@@ -115,14 +116,17 @@ def frequent_lines(
 
     Counts are exact and cover all documents. Two aggregations spread the
     documents of a common line before they are counted, so that no line's
-    documents meet in one task. Null hosts are one host, null texts hold no
-    lines.
+    documents meet in one task. A host's size is counted likewise, in distinct
+    documents. Null hosts are one host; null texts hold no lines and count, like
+    all texts without words, as one document.
     """
     picked = docs.select(_host(docs, host_col).alias("host"), F.col(text_col).cast("string").alias("text"))
     rows = picked.mapInArrow(_line_rows, "host string, line long, k1 long, k2 long")
-    counts = rows.distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-    sizes = picked.groupBy("host").agg(F.count("*").alias("size"))
-    return counts.join(sizes, "host").where(F.col("n_docs") >= max_share * F.col("size")).select("host", "line", "n_docs")
+    counts = rows.distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
+    counts = settled(counts.where(F.col("line").isNull() | (F.col("n_docs") >= min_docs)))
+    sizes = counts.where("line is null").select("host", F.col("n_docs").alias("size"))
+    lines = counts.where("line is not null").join(sizes, "host")
+    return lines.where(F.col("n_docs") >= max_share * F.col("size")).select("host", "line", "n_docs")
 
 
 _VERDICT = (

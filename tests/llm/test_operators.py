@@ -90,6 +90,16 @@ def test_documents_that_share_most_of_their_text_are_counted_apart(docs_of):
     assert all(r.n_removed_words == 180 and not r.kept for r in quality_rules.apply_rules(docs).collect())
 
 
+def test_share_is_of_distinct_documents_in_a_host_of_copies(docs_of):
+    line = own(5000, 10)
+    docs = docs_of([(k, own(0)) for k in range(985)] + [(1000 + k, f"{own(k)}\n{line}") for k in range(1, 16)])
+    for most in (quality_rules.BROADCAST_LINES, 0):
+        found = {r.doc_id: r for r in quality_rules.apply_rules(docs, broadcast_lines=most).collect()}
+        assert all(found[1000 + k].n_removed_words == 10 and found[1000 + k].clean == own(k) for k in range(1, 16))
+        assert found[0].kept and found[0].n_removed_words == 0
+    assert [tuple(r) for r in quality_rules.frequent_lines(docs).collect()] == [("s0", quality_rules.line_hash(line.encode()), 15)]
+
+
 # --- 2: secrets
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
