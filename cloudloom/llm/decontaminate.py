@@ -5,7 +5,9 @@ tokens are hashed and joined with the benchmark's; hits of one document and one
 item at one offset form an alignment. An alignment that covers enough tokens is
 a leak if its slots are filled consistently: equal values of the question are
 equal in the document too. So a verbatim copy and a copy with other numbers or
-names are both found, and a text that merely shares a phrase is not.
+names are both found, and a text that merely shares a phrase is not. Windows
+that are mostly slots say little by their template: they count where their
+values are equal too, or in an alignment that is longer still.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ WINDOW = 8
 #: Tokens that an alignment must cover. A shorter item may lack two, as its first and last word can read
 #: differently in another sentence, but no fewer than a window; one shorter than a window must be whole.
 COVER = 13
+#: Literal tokens, of eight, from which a window counts whatever its slots hold.
+LITERAL = 5
+#: Tokens (or the item but two, if it is longer than a window) that an alignment of any windows must cover where values differ;
+#: ``LITERAL`` of them are literal.
+LONG = 20
 #: Most benchmark windows that are broadcast (about 40 bytes each), and most matched documents (16 bytes each).
 BROADCAST_WINDOWS = 200_000
 BROADCAST_DOCS = 1_000_000
@@ -62,24 +69,24 @@ def _windows(hashes: Column, size: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(item_id, tokens, size, at, h): an item's windows, whose tokens are mostly literal.
+    """(item_id, tokens, size, at, h): an item's windows.
 
-    Items shorter than a window are one window of their own size. Items with a
-    null id or without tokens are left out.
+    Items shorter than a window are one window of their own size. The only
+    window of an item has a second hash, with a name as first token, as its
+    first word can read like one inside another sentence. Items with a null id
+    or without tokens are left out.
     """
     picked = items.select(F.col(id_col).cast("long").alias("item_id"), template_tokens(F.col(text_col)).alias("tokens"))
     sized = picked.where("item_id is not null and size(tokens) > 0").distinct().withColumn("size", F.least(F.size("tokens"), F.lit(window)))
     hashed = sized.withColumn("hashes", _hashes(F.col("tokens")))
+    named = F.concat(F.array(F.xxhash64(F.lit("⟦a"))), F.slice("hashes", 2, window))
     places = F.transform(
         F.sequence(F.lit(1), F.size("hashes") - F.col("size") + 1),
-        lambda i: F.struct(
-            i.alias("at"),
-            F.xxhash64(F.slice("hashes", i, F.col("size"))).alias("h"),
-            F.size(F.filter(F.slice("tokens", i, F.col("size")), lambda t: ~_is_slot(t))).alias("literal"),
-        ),
+        lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("hashes", i, F.col("size"))).alias("h")),
     )
-    rows = hashed.select("item_id", "tokens", "size", F.explode(places).alias("w"))
-    return rows.where("w.literal * 8 >= size * 5").select("item_id", "tokens", "size", "w.at", "w.h")
+    second = F.when(F.size("hashes") == F.col("size"), F.array(F.struct(F.lit(1).alias("at"), F.xxhash64(named).alias("h"))))
+    rows = hashed.select("item_id", "tokens", "size", F.explode(F.array_union(places, F.coalesce(second, F.slice(places, 1, 0)))).alias("w"))
+    return rows.select("item_id", "tokens", "size", "w.at", "w.h")
 
 
 def _covered(places: Column, size: Column) -> Column:
@@ -89,6 +96,15 @@ def _covered(places: Column, size: Column) -> Column:
     return F.aggregate(gaps, F.lit(0), lambda total, x: total + x)
 
 
+def _plain(tokens: Column) -> Column:
+    """Tokens without their slots' marks."""
+    return F.transform(tokens, lambda t: F.when(_is_slot(t), t.substr(F.lit(3), F.length(t) - 3)).otherwise(t))
+
+
+def _n_literal(tokens: Column) -> Column:
+    return F.size(F.filter(tokens, lambda t: ~_is_slot(t)))
+
+
 def _consistent(pairs: Column) -> Column:
     """Whether (item slot, document slot) pairs map each value to one; names also the other way."""
 
@@ -135,11 +151,37 @@ def find_leaks(
     met = long.select("k1", "k2").distinct()
     near = rows.join(F.broadcast(met) if long.count() <= broadcast_docs else met, ["k1", "k2"], "left_semi")
     near = near.dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", template_tokens(F.col("text")).alias("ours"))
-    covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("size") - 1))))
-    pairs = F.transform(covered, lambda i: F.struct(F.get("theirs", i - 1).alias("theirs"), F.get("ours", i - 1 + F.col("shift")).alias("ours")))
-    judged = long.join(near, ["k1", "k2"]).withColumn("pairs", F.filter(pairs, lambda p: _is_slot(p["theirs"])))
-    leaks = judged.where(_consistent(F.col("pairs")))
-    return leaks.groupBy("doc_id", "k1", "k2", "item_id").agg(F.max("n_tokens").alias("n_tokens"))
+    judged = long.join(near, ["k1", "k2"]).withColumns({"our_values": _plain(F.col("ours")), "their_values": _plain(F.col("theirs"))})
+    size, whole = F.col("size"), F.size("theirs")
+    theirs_at = lambda p: F.slice("theirs", p, size)
+    equal = lambda p: F.slice("their_values", p, size) == F.slice("our_values", p + F.col("shift"), size)
+    literals_equal = lambda p: F.forall(
+        F.sequence(p, p + size - 1),
+        lambda i: _is_slot(F.get("theirs", i - 1)) | (F.get("theirs", i - 1) == F.get("our_values", i - 1 + F.col("shift"))),
+    )
+    judged = judged.withColumn("places", F.filter("places", literals_equal))
+    judged = judged.withColumns(
+        {
+            "firm": F.filter("places", lambda p: _n_literal(theirs_at(p)) * WINDOW >= size * LITERAL),
+            "same": F.filter("places", equal),
+        }
+    ).withColumn("both", F.array_union("firm", "same"))
+    enough = F.least(F.lit(cover), F.greatest(size, whole - 2))
+
+    def tokens_of(places: str, least: Column, n_literal: int = 0) -> Column:
+        """Tokens that these places cover, null if they make no leak."""
+        covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + size - 1))))
+        pairs = F.transform(
+            covered, lambda i: F.struct(F.get("theirs", i - 1).alias("theirs"), F.get("ours", i - 1 + F.col("shift")).alias("ours"))
+        )
+        fits = _consistent(F.filter(pairs, lambda p: _is_slot(p["theirs"]))) & (_n_literal(pairs["theirs"]) >= n_literal)
+        n_tokens = _covered(F.col(places), size)
+        return F.when((n_tokens >= least) & fits, n_tokens)
+
+    longer = F.when(whole > window, F.greatest(enough, F.least(F.lit(LONG), whole - 2)))
+    found = F.greatest(*[tokens_of(p, enough) for p in ("firm", "same", "both")], tokens_of("places", longer, LITERAL))
+    leaks = judged.withColumn("n_tokens", found).groupBy("doc_id", "k1", "k2", "item_id").agg(F.max("n_tokens").alias("n_tokens"))
+    return leaks.where("n_tokens is not null")  # after the maximum, as a filter on ``found`` would repeat all its steps
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

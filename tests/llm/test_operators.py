@@ -183,6 +183,20 @@ def test_reparameterised_questions_are_found_and_inconsistent_ones_not(spark, do
     assert {r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()} == {3, 4, 5}
 
 
+def test_items_rich_in_slots_are_found(spark, docs_of):
+    race = "Tom ran 5 km in 30 minutes and Ann ran 8 km in 50 minutes on Monday 12 May 2020."
+    texts = [race, "What is 15 percent of 240?", "Compute 12 + 34 + 56 + 78 + 90.", "What is 3 times 4?", "The sum 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15"]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = [(k, f"{own(k)} {t} {own(50 + k)}") for k, t in enumerate(texts)] + [(10 + k, f"{own(k)}. {t}") for k, t in enumerate(texts)]
+    other = race.replace("5 km", "7 km").replace("30", "45").replace("8 km", "9 km").replace("50 m", "70 m").replace("Ann", "Eve")
+    docs += [(20, f"{own(20)}. {other} {own(21)}"), (21, f"{own(22)}. {other.replace('km in 70', 'm in 70')} {own(23)}")]
+    docs += [(22, own(24) + ". What is 3 times 5? Compute 1 + 2 + 3 + 4 + 5. What is 16 percent of 240?"), (23, own(25) + " Jon is 3 times 4?")]
+    docs += [(24, own(26) + ". The sum " + " ".join(map(str, range(20, 40))))]
+    want = {(k + more, str(k)) for k in range(5) for more in (0, 10)} | {(20, "0")}
+    for options in ({}, {"broadcast_windows": 0, "broadcast_docs": 0}):
+        assert {(r.doc_id, r["items"]) for r in decontaminate.contaminated(docs_of(docs), bench, **options).collect()} == want
+
+
 def test_leaks_of_the_table(spark, sf_dir, rows):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
     words = {i.item_id: re.findall(r"\w+", i.text.lower()) for i in bench}
