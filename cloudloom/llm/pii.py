@@ -1,13 +1,19 @@
 """Personal data in texts: exact patterns, and a conditional random field over word shapes.
 
-The field is fitted on a small labelled table and decoded by Viterbi in numpy
-batches. It adds spans of the same kinds that the patterns miss, such as phone
-numbers without a country code.
+The patterns find e-mail and network addresses, card and international phone
+numbers. The field is fitted on a small labelled table (``pii_examples``, or the
+caller's) and labels every word of every text by Viterbi in numpy batches. It
+adds what patterns cannot tell: names, postal addresses and dates of birth by
+their context, and e-mail addresses, phone numbers and network addresses in
+forms that the patterns miss.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,18 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, raw, slices
+from .common import Memo, hash_sample, raw, slices
 from .crf import Crf, fit
+from .pii_examples import labelled_examples
 from .secret_scan import code_points
 
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds of the exact patterns, then those that the field alone finds. Label k + 1 of the field is kind k.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "name", "address", "birth")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
-#: Documents that the field is fitted on, at most about: those with the least id hashes.
-TRAIN_DOCS = 4_000
-#: Most labelled runs of words that the field is fitted on.
-TRAIN_RUNS = 20_000
-#: Runs of words that are decoded together.
-DECODE_RUNS = 4_096
+#: Different labelled texts that the field is fitted on, at most about: those with the least hashes.
+TRAIN_TEXTS = 5_000
+#: Words that the field scores together, and places of a batch of runs in its decoder.
+BLOCK, CELLS = 1 << 16, 1 << 19
 
 _LOCAL_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -36,7 +43,6 @@ _IP = re.compile(rb"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(rb"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(rb"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(rb"[0-9]")
-_MARKED = re.compile(rb"[0-9@+]")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -83,180 +89,296 @@ def base_spans(data: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
-@lru_cache(maxsize=100_000)
-def shape(word: bytes) -> tuple[int, ...]:
-    """Feature ids of a word's own shape: its pattern of character classes and a few counts."""
-    kinds = re.sub(rb"[0-9]", b"d", re.sub(rb"[a-z]", b"x", re.sub(rb"[A-Z]", b"X", re.sub(rb"[^\x00-\x7f]+", b"u", word))))
-    pattern = re.sub(rb"(.)\1{4,}", rb"\1\1\1\1\1", kinds)
-    number = 0
-    for byte in pattern[:40]:
-        number = (number * 131 + byte) % PATTERNS
-    digits, dots = len(_digits(word)), word.count(b".")
-    return (
-        number,
-        PATTERNS + min(digits, 20),
-        PATTERNS + 21 + min(dots, 4),
-        PATTERNS + 26 + (b"@" in word),
-        PATTERNS + 28 + word.startswith(b"+"),
-        PATTERNS + 30 + word.startswith(b"("),
-        PATTERNS + 32 + (b"-" in word),
-        PATTERNS + 34 + (kinds.strip(b"d().+-,;:") == b""),
-    )
-
-
-#: Buckets of shape patterns, then the own features, then two copies of those for the neighbours.
-PATTERNS = 256
-OWN = PATTERNS + 36
-NEAR = 8
-FEATURES = OWN + 2 * NEAR
-
-
-def nearby(word: bytes | None) -> int:
-    """Coarse class of a neighbouring word."""
-    if word is None:
-        return 0
-    digits = len(_digits(word))
-    plain = all(b in b"0123456789().+-,;:" for b in word)
-    size = 0 if digits == 0 else 1 if digits < 4 else 2
-    return 1 + size if plain else 4 + size
-
-
-def runs(data: bytes) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring words that hold a digit, ``@`` or ``+``.
-
-    All other words have one shape, are never labelled in the fitted table and
-    are outside; so each run is decoded by itself.
-    """
-    found: list[list[tuple[int, int]]] = []
-    if not _MARKED.search(data):
-        return found
-    joined = False
-    for m in _WORD.finditer(data):
-        if _MARKED.search(m[0]):
-            if joined:
-                found[-1].append(m.span())
-            else:
-                found.append([m.span()])
-            joined = True
-        else:
-            joined = False
-    return found
+#: Buckets of a word's own features, and of those that it lends to one neighbour.
+OWN, NEAR = 1 << 12, 1 << 11
+#: Places of the neighbours that a word's label depends on.
+AROUND = (-2, -1, 1, 2)
+FEATURES = OWN + len(AROUND) * NEAR
+#: A word, or the last four bytes of words, is known by itself if the labelled table holds it so often.
+KNOWN = 8
+_MARKS = b".,;:!?\"'()[]<>"
+_TRIM = ".,;:!?\"'<>[](){}|#*$%&"
 
 
-def features(data: bytes, run: list[tuple[int, int]]) -> list[list[int]]:
-    words = [data[a:b] for a, b in run]
-    sides = [None, *words, None]
-    return [
-        [*shape(w), OWN + nearby(sides[k]), OWN + NEAR + nearby(sides[k + 2])] for k, w in enumerate(words)
-    ]
+_CLASSES = bytes(0x58 if 65 <= b <= 90 else 0x78 if 97 <= b <= 122 else 0x64 if 48 <= b <= 57 else 0x75 if b > 127 else b for b in range(256))
+_ALIKE, _REPEAT = re.compile(rb"(.)\1{4,}", re.S), re.compile(rb"(.)\1+", re.S)
+
+
+def shape(word: bytes) -> bytes:
+    """Classes of a word's characters: X, x, d, u for bytes beyond ASCII, others as they are; no more than four alike in a row."""
+    return _ALIKE.sub(rb"\1\1\1\1", word[:60].translate(_CLASSES))
 
 
-def labels(run: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[int]:
+def _bucket(mark: bytes, value: bytes, most: int) -> int:
+    return zlib.crc32(mark + value) % most
+
+
+def look(word: bytes, known: frozenset[bytes]) -> tuple[bytes, ...]:
+    """What the field sees of a word: shape, the word if it is known, its ending if that is known, digits, opening and closing mark."""
+    plain = word.strip(_MARKS).lower()
+    end = b"-" + plain[-4:]
+    digits = b"%d" % min(len(_digits(word)), 20) if _DIGIT.search(word) else b"0"
+    return (
+        shape(word), plain if plain in known else b"", end if end in known else b"", digits, word[:1] if word[:1] in b"([+" else b"",
+        word[-1:] if word[-1:] in b".,;:" else b"",
+    )
+
+
+@lru_cache(maxsize=50_000)
+def look_features(seen: tuple[bytes, ...] | None) -> tuple[list[int], list[int]]:
+    """The features of a look for the word itself, and those that it lends to its neighbours; None stands for a text's end."""
+    if seen is None:
+        return [_bucket(b"end", b"", OWN)], [_bucket(b"end", b"", NEAR)]
+    full, itself, end, digits, opening, closing = seen
+    short = _REPEAT.sub(rb"\1", full)
+    own = [(b"f", full), (b"c", short), (b"e", end), (b"d", digits), (b"p", opening), (b"q", closing), (b"w", itself)]
+    lent = [(b"c", short), (b"q", closing), (b"w", itself)]
+    return [_bucket(m, v, OWN) for m, v in own], [_bucket(m, v, NEAR) for m, v in lent]
+
+
+def features(words: list[bytes | None], known: frozenset[bytes]) -> list[list[int]]:
+    """Feature ids of each word in its place."""
+    each = [look_features(None if w is None else look(w, known)) for w in words]
+    out = []
+    for k, (own, _) in enumerate(each):
+        ids = list(own)
+        for role, away in enumerate(AROUND):
+            if 0 <= k + away < len(each):
+                ids += [OWN + role * NEAR + f for f in each[k + away][1]]
+        out.append(ids)
+    return out
+
+
+def labels(words: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[int]:
     """Label of each word: 1 + kind of the first span that overlaps it."""
-    return [next((k + 1 for k, a, b in spans if a < end and start < b), 0) for start, end in run]
+    return [next((k + 1 for k, a, b in spans if a < end and start < b), 0) for start, end in words]
 
 
-def labelled_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> DataFrame:
-    """(tokens, labels): a labelled table from the exact patterns over about ``most`` documents at most.
+class Field:
+    """A fitted random field: its weights, the words that it knows by themselves, and what the labelled spans have in common.
 
-    The documents with the least id hashes are taken, so the table does not
-    depend on partitions; rows with null ids are left out of it.
+    ``usual`` has for each kind the most words of a labelled span, and whether
+    all of them hold a digit. A span must not have over twice as many words,
+    and must hold a digit if all did.
     """
-    known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            tokens, marks = [], []
-            for text in raw(batch.column(0)):
-                spans = base_spans(text)
-                for found in runs(text):
-                    for at in range(0, len(found), 32):
-                        tokens.append(features(text, found[at : at + 32]))
-                        marks.append(labels(found[at : at + 32], spans))
-            kinds = (pa.list_(pa.list_(pa.int32())), pa.list_(pa.int32()))
-            yield pa.record_batch([pa.array(tokens, kinds[0]), pa.array(marks, kinds[1])], ["tokens", "labels"])
-
-    picked = hash_sample(known, most, F.col("id")).select("text")
-    return picked.mapInArrow(run, "tokens array<array<int>>, labels array<int>")
-
-
-def fit_field(labelled: DataFrame, most: int = TRAIN_RUNS) -> Crf:
-    """The field fitted on at most ``most`` rows of (tokens, labels); an empty table gives one that labels nothing."""
-    rows = labelled.orderBy(F.xxhash64("tokens", "labels")).limit(most).collect()
-    model = fit([(r.tokens, r.labels) for r in rows], FEATURES, 1 + len(KINDS))
+    def __init__(self, model: Crf, known: frozenset[bytes], usual: list[tuple[int, bool]]):
+        self.model, self.known, self.usual = model, known, usual
+
+    def allows(self, kind: int, words: int, span: bytes) -> bool:
+        most, digit = self.usual[kind]
+        if words > 2 * most or (digit and not _DIGIT.search(span)):
+            return False
+        digits = _digits(span)
+        return KINDS[kind] != "card" or (13 <= len(digits) <= 19 and luhn(digits))
+
+
+def fit_field(rows: list[tuple[str, list[tuple[str, int, int]]]]) -> Field:
+    """The field of labelled texts (text, [(kind, start, end)]), offsets in code points; none give one that labels nothing."""
+    texts, counts = [], Counter()
+    for text, spans in rows:
+        data = text.encode()
+        cut = [len(text[:x].encode()) for _, a, b in spans for x in (a, b)]
+        places = [m.span() for m in _WORD.finditer(data)]
+        marked = [(KINDS.index(k), a, b) for (k, *_), a, b in zip(spans, cut[::2], cut[1::2])]
+        texts.append((data, places, marked))
+        plain = [data[a:b].strip(_MARKS).lower() for a, b in places]
+        counts.update(plain + [b"-" + w[-4:] for w in plain])
+    known = frozenset(w for w, n in counts.items() if n >= KNOWN and len(w) > 1)
+    sequences = [
+        (features([None, *(d[a:b] for a, b in places), None], known), [0, *labels(places, marked), 0]) for d, places, marked in texts
+    ]
+    model = fit(sequences, FEATURES, 1 + len(KINDS))
     if not rows:
         model.emit[:, 0] = 1
-    return model
+    usual = [(0, True)] * len(KINDS)
+    for data, _, marked in texts:
+        for k, a, b in marked:
+            most, digit = usual[k]
+            usual[k] = max(most, len(data[a:b].split())), digit and _DIGIT.search(data[a:b]) is not None
+    return Field(model, known, usual)
+
+
+@lru_cache(maxsize=1)
+def default_field() -> Field:
+    """The field of the labelled table of this package; fitted once in a process."""
+    return fit_field(labelled_examples())
 
 
-def _plausible(kind: int, data: bytes) -> bool:
-    """What a span of the field must at least hold."""
-    digits = len(_digits(data))
-    return (b"@" in data[1:-1], digits >= 4 and data.count(b".") == 3, 13 <= digits <= 19 and luhn(_digits(data)), 7 <= digits <= 15)[kind]
+def field_of(labelled: DataFrame, most: int = TRAIN_TEXTS) -> Field:
+    """The field of a table (text, spans: array of structs kind, start, end); equal rows count once, rows with nulls are left out."""
+    rows = labelled.select(F.col("text").cast("string").alias("text"), "spans").where("text is not null and spans is not null").distinct()
+    picked = hash_sample(rows, most, F.col("text"), F.col("spans")).collect()
+    return fit_field([(r.text, [(s["kind"], s["start"], s["end"]) for s in r.spans]) for r in picked])
+
+
+class _Looks(dict):
+    """Numbers of different looks; row k of ``rows`` has what look k adds to the scores of its word and of the neighbours."""
+
+    def __init__(self, field: Field):
+        super().__init__()
+        self.emit = field.model.emit.astype(np.float32)
+        self.rows = np.zeros((1 << 12, 1 + len(AROUND), self.emit.shape[1]), np.float32)
+
+    def __missing__(self, seen: tuple[bytes, ...] | None) -> int:
+        number = len(self)
+        if number == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        own, lent = look_features(seen)
+        self.rows[number, 0] = self.emit[own].sum(axis=0)
+        for role in range(len(AROUND)):
+            self.rows[number, 1 + role] = self.emit[OWN + role * NEAR + np.array(lent)].sum(axis=0)
+        if seen is None:
+            self.rows[number, 0, 1:] = -np.inf  # outside, so that texts in a row do not touch
+        self[seen] = number
+        return number
 
 
 class PersonalDataFinder:
     """Spans of a batch of texts: (kind number, start, end, base) in bytes, by kind and start."""
 
-    def __init__(self, model: Crf):
-        self.model = model
+    #: Different words, and looks of words, that are remembered from batch to batch.
+    WORDS, LOOKS = 200_000, 50_000
+
+    def __init__(self, field: Field):
+        self.field = field
+        self._reset()
+
+    def _reset(self) -> None:
+        known = self.field.known
+        self.looks = looks = _Looks(self.field)
+        self.words = Memo(lambda word: looks[None if word is None else look(word, known)], self.WORDS)
+        move = self.field.model.move
+        # Runs stand between words that are certainly outside.
+        self.decoder = Crf(self.field.model.emit, move, move[0], move[:, 0])
+        # How much the transitions can speak for a label against outside, at most.
+        self.margin = (move - move[:, :1]).max(axis=0) + (move - move[:1]).max(axis=1)
+
+    def __getstate__(self):
+        return {"field": self.field}
+
+    def __setstate__(self, state):
+        self.__init__(state["field"])
 
     def spans(self, texts: list[bytes]) -> list[list[tuple[int, int, int, bool]]]:
-        base = [base_spans(t) for t in texts]
-        found = [[(*s, True) for s in spans] for spans in base]
-        todo = [(k, run) for k, t in enumerate(texts) for run in runs(t)]
-        todo.sort(key=lambda x: -len(x[1]))
-        for at in range(0, len(todo), DECODE_RUNS):
-            part = todo[at : at + DECODE_RUNS]
-            for (k, run), marks in zip(part, self._decoded(texts, part)):
-                found[k] += self._added(texts[k], run, marks, base[k])
+        found = [[(*s, True) for s in base_spans(t)] for t in texts]
+        for k, marks in self._marked(texts).items():
+            found[k] += _added(texts[k], marks, found[k], self.field)
         for spans in found:
             spans.sort()
         return found
 
-    def _decoded(self, texts: list[bytes], part) -> Iterator[list[int]]:
-        sizes = np.array([len(run) for _, run in part])
-        ids = np.array([f for k, run in part for f in features(texts[k], run)])
-        scores = np.zeros((len(part), int(sizes[0]), 1 + len(KINDS)))
-        row = np.repeat(np.arange(len(part)), sizes)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        scores[row, place] = self.model.emit[ids].sum(axis=1)
-        best = self.model.viterbi(scores, sizes)
-        return (best[k, :n].tolist() for k, n in enumerate(sizes))
-
-    @staticmethod
-    def _added(data: bytes, run, marks: list[int], base) -> Iterator[tuple[int, int, int, bool]]:
+    def _marked(self, texts: list[bytes]) -> dict[int, dict[int, int]]:
+        """By text: label of each word (by number) that is not outside."""
+        if len(self.looks) > self.LOOKS:
+            self._reset()
+        words: list[bytes | None] = [None, None]
+        first = np.zeros(len(texts) + 1, np.int64)
+        for k, text in enumerate(texts):
+            first[k] = len(words)
+            words += text.split()
+            words += (None, None)
+        first[-1] = len(words)
+        kinds = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+        place, scores = self._uncertain(kinds)
+        marks = self._decoded(place, scores)
+        hit = np.flatnonzero(marks)
+        owner = np.searchsorted(first, place[hit], side="right") - 1
+        out: dict[int, dict[int, int]] = {}
+        for k, at, mark in zip(owner.tolist(), (place[hit] - first[owner]).tolist(), marks[hit].tolist()):
+            out.setdefault(k, {})[at] = mark
+        return out
+
+    def _uncertain(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the words that some best path may label.
+
+        All others have a lead for outside that no transitions can make up for,
+        so the best path passes through outside there and the words between
+        them can be decoded by themselves.
+        """
+        places, scores = [np.zeros(0, np.int64)], [np.zeros((0, self.looks.rows.shape[2]), np.float32)]
+        reach = max(map(abs, AROUND))
+        for at in range(reach, len(kinds) - reach, BLOCK):
+            stop = min(at + BLOCK, len(kinds) - reach)
+            part = self.looks.rows[kinds[at:stop], 0]
+            for role, away in enumerate(AROUND):
+                part += self.looks.rows[kinds[at + away : stop + away], 1 + role]
+            open_ = np.flatnonzero((part[:, 1:] + self.margin[1:] >= part[:, :1]).any(axis=1))
+            places.append(open_ + at)
+            scores.append(part[open_])
+        return np.concatenate(places), np.concatenate(scores)
+
+    def _decoded(self, place: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Best label of each uncertain word, by Viterbi over runs of neighbouring ones."""
+        marks = np.zeros(len(place), np.int8)
+        if not len(place):
+            return marks
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(place) != 1) + 1))
+        sizes = np.diff(np.concatenate((starts, [len(place)])))
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[order], sizes[order]
         at = 0
-        while at < len(marks):
-            end = at + 1
-            while end < len(marks) and marks[end] == marks[at]:
-                end += 1
-            if marks[at]:
-                start, stop = run[at][0], run[end - 1][1]
-                part = data[start:stop]
-                start += len(part) - len(part.lstrip(b".,;:!?\"'<>[]{}|#*$%&"))
-                stop -= len(part) - len(part.rstrip(b".,;:!?\"'<>[]{}|#*$%&"))
-                clear = all(b <= start or stop <= a for _, a, b in base)
-                if clear and start < stop and _plausible(marks[at] - 1, data[start:stop]):
-                    yield marks[at] - 1, start, stop, False
+        while at < len(sizes):
+            end = min(len(sizes), at + max(1, CELLS // int(sizes[at])))
+            n, longest = sizes[at:end], int(sizes[at])
+            row = np.repeat(np.arange(end - at), n)
+            col = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            batch = np.zeros((end - at, longest, scores.shape[1]), np.float32)
+            source = np.repeat(starts[at:end], n) + col
+            batch[row, col] = scores[source]
+            marks[source] = self.decoder.viterbi(batch, n)[row, col]
             at = end
+        return marks
 
 
-def _finder(docs: DataFrame, id_col: str, text_col: str, model: Crf | None):
-    fitted = model or fit_field(labelled_runs(docs, id_col, text_col))
+def _added(data: bytes, marks: dict[int, int], base: list[tuple[int, int, int, bool]], field: Field) -> list[tuple[int, int, int, bool]]:
+    """Spans of neighbouring words with one label, trimmed of marks around them, that touch no base span.
+
+    Spans unlike all labelled ones are dropped (``Field.allows``); a card number must pass Luhn's test.
+    """
+    places = [m.span() for m in _WORD.finditer(data)]
+    runs: list[list[int]] = []
+    for at in sorted(marks):
+        if runs and runs[-1][1] == at and marks[at] == runs[-1][2]:
+            runs[-1][1] = at + 1
+        else:
+            runs.append([at, at + 1, marks[at]])
+    starts = sorted((a, b) for _, a, b, _ in base)
+    highest = [0]
+    for _, b in starts:
+        highest.append(max(highest[-1], b))
+    out = []
+    for first, end, mark in runs:
+        start, stop = places[first][0], places[end - 1][1]
+        part = data[start:stop]
+        trim = _TRIM.encode() if mark - 1 != KINDS.index("phone") else _TRIM.replace("(", "").encode()
+        start += len(part) - len(part.lstrip(trim))
+        stop -= len(part) - len(part.rstrip(_TRIM.encode()))
+        if start >= stop or highest[bisect_left(starts, (stop,))] > start:
+            continue
+        if field.allows(mark - 1, end - first, data[start:stop]):
+            out.append((mark - 1, start, stop, False))
+    return out
+
+
+def _finder(docs: DataFrame, labelled: DataFrame | None, most: int):
+    fitted = default_field() if labelled is None else field_of(labelled, most)
     return docs.sparkSession.sparkContext.broadcast(PersonalDataFinder(fitted))
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Crf | None = None) -> DataFrame:
-    """(doc_id, spans) for every row; spans are (kind, start, end, base) by kind and start.
+def find_personal_data(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: DataFrame | None = None, most: int = TRAIN_TEXTS
+) -> DataFrame:
+    """(doc_id, spans) for every row; spans are (kind, start, end, base) by kind (as in ``KINDS``) and start.
 
     Offsets are code points, ends exclusive. ``base`` spans are the exact
     patterns' (leftmost, non-overlapping within a kind); the others come from
-    the field and overlap no base span. Without ``model`` the field is fitted on
-    ``docs`` itself. Null and empty texts have no spans, repeated rows are all
-    returned, null ids stay null, other columns are ignored.
+    the field and overlap no base span. ``labelled`` (text, spans) replaces the
+    package's table, of which at most about ``most`` different rows are fitted.
+    Null and empty texts have no spans, repeated rows are all returned, null
+    ids stay null, other columns are ignored.
     """
-    sent = _finder(docs, id_col, text_col, model)
+    sent = _finder(docs, labelled, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         struct = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
@@ -287,14 +409,15 @@ def masked(data: bytes, spans: list[tuple[int, int, int, bool]]) -> bytes:
 
 
 def mask_personal_data(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", model: Crf | None = None
-) -> DataFrame:
+    docs: DataFrame, text_col: str = "text", size_col: str = "n_chars",
+    labelled: DataFrame | None = None, most: int = TRAIN_TEXTS,
+) -> DataFrame:
     """``docs`` with all found spans masked in the text; all rows and columns stay.
 
     ``size_col``, if there is such a column, is set to the new text's length.
     Null texts become empty.
     """
-    sent = _finder(docs, id_col, text_col, model)
+    sent = _finder(docs, labelled, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -70,7 +70,7 @@ def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digest(pii.find_personal_data(_table(spark, sf_dir, "documents")), pii.KINDS, lambda s: s["base"])
+    return _digest(pii.find_personal_data(_table(spark, sf_dir, "documents")), pii.BASE_KINDS, lambda s: s["base"])
 
 
 def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
