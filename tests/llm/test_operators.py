@@ -610,6 +610,20 @@ def test_repeats_of_the_table(spark, sf_dir, rows):
         ("<title>t</title><body>b", "b"),
         ("<p>a  \n b</p>\n\n<p> c</p>", "a b\n\nc"),
         ("<dl><dt>t<dd>d</dl>", "t\n  d"),
+        ("<html><head><title>t</title><p>Hello world", "Hello world"),
+        ("<head><meta charset=x><div>Hi</div>there", "Hi\nthere"),
+        ("<head>text<style>p{}</style>", "text"),
+        ("<div>" * 300 + "<script>var secret=1;</script><style>p{x}</style><i style='display:none'>gone</i>shown" + "</div>" * 300 + "end", "shown\nend"),
+        ("Name <input value=Bob><input type=submit value=Go><input type=hidden value=no><textarea>\na\n b</textarea>", "Name BobGo\na\n b"),
+        ("<select><option>A<option>B<p>after", "A\nB\n\nafter"),
+        ("<math><mi>x</mi><mo>=</mo></math><svg><title>no</title><text>lab</text></svg>", "x=lab"),
+        ("<table><tr><td colspan=2>wide head<td>c<tr><td>a<td>bbb<td>d<tr><td rowspan=2>r<td>1<td>2<tr><td>3<td>4</table>",
+         "wide head  c\na  bbb  d\nr  1    2\n   3    4"),
+        ("<table><caption>cap</caption><tr><td>a<table><tr><td>n<td>m</table><td>z<tr><td>q<td>w</table>", "cap\na     z\n\nn  m\nq     w"),
+        (f"<table><tr><td>{'w' * 90}<td>x<tr><td>a<td>b</table>", f"{'w' * 90}  x\na{' ' * 61}b"),
+        ("<details><summary>S</summary>no</details><details open><summary>T</summary>yes</details>", "S\nT\nyes"),
+        ("<ul><li><p>a<p>b<li>c<ul><li>d</ul></ul>e", "- a\n\n  b\n\n- c\n  - d\n\ne"),
+        ("<ruby>a<rp>(<rt>b<rp>)</ruby>", "ab"),
         ("</p>x</div></b>", "x"),
         ("", ""),
     ],
@@ -618,6 +632,41 @@ def test_layout(html, text):
     assert html_text.visible_text(html) == text
 
 
+def test_pages_of_any_shape_take_time_and_room_in_proportion():
+    wide = "<table><tr><td>" + "w" * 5_000 + "<td>x" + "<tr><td>a<td>b" * 2_000
+    spans = "<table><tr>" + ("<td>" + "y" * 60) * 300 + "<tr><td colspan=299>a<td>x" * 2_000
+    nested = "<table><tr><td>" + "x" * 60 + "<td>" + ("<table><tr><td>" + "x" * 60 + "<td>") * 300 + "y<br>" * 1_000
+    lists = "<ul><li>x" * 3_000
+    for page in (wide, spans, nested, lists, "<div>" * 30_000 + "deep", "<b>" * 30_000 + "<p>x" * 2_000):
+        found = html_text.visible_text(page)
+        assert len(found) < 60 * len(page) and found.count("w") == page.count("w") and found.count("y") == page.count("y")
+
+
+def plain_lines(page):
+    """The lines of a page, from its tags alone: a break at each block tag and line break, a marker at each list item."""
+    import html as entities
+
+    body = re.sub(r"(?s)<head>.*?</head>|<!--.*?-->|<script.*?</script>", "", page)
+    lines, marker = [], ""
+    for part in re.split(r"(</?(?:html|body|nav|ul|li|div|article|h1|p|footer|br)\b[^>]*>)", body):
+        text = " ".join(entities.unescape(re.sub(r"<[^>]*>", "", part)).split())
+        if part.startswith("<li"):
+            marker = "- "
+        elif text:
+            lines.append(marker + text)
+            marker = ""
+    return lines
+
+
+def test_layout_of_the_table(spark, sf_dir):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    for r in queries.op10_layout_text(spark, sf_dir).collect():
+        assert [x for x in r.text.split("\n") if x] == plain_lines(pages[r.page_id]) and r.n_chars == len(r.text)
+        assert "\n\n\n" not in r.text
+        paragraphs = re.findall(r"<p>([^<]+)</p><p>([^<]+)</p>", pages[r.page_id])
+        assert all(f"{' '.join(a.split())}\n\n{' '.join(b.split())}" in r.text for a, b in paragraphs if "&" not in a + b)
+
+
 def test_all_visible_words_of_the_table(spark, sf_dir):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     found = {r.page_id: r.text for r in queries.op10_layout_text(spark, sf_dir).collect()}
