@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import ensure_checkpoint_dir, settled
 
-__all__ = ["SLICE", "Memo", "ensure_checkpoint_dir", "hash_sample", "keys", "mixed", "raw", "settled", "slices"]
+__all__ = ["SLICE", "Memo", "ensure_checkpoint_dir", "hash_sample", "keys", "mixed", "raw", "settled", "slices", "unused"]
 
 #: Rows of a batch that are turned into Python objects at a time.
 SLICE = 512
@@ -73,3 +73,9 @@ def keys(*columns: Column) -> list[Column]:
     repeated rows, repeated ids and null ids need no special case.
     """
     return [F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit("second"), *columns).alias("k2")]
+
+
+def unused(df: DataFrame, count: int) -> list[str]:
+    """Names that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    return [n for n in (f"__{k}" for k in range(len(taken) + count)) if n not in taken][:count]

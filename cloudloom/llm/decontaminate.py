@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keys, settled
+from .common import keys, settled, unused
 
 #: Template tokens in a hashed window.
 WINDOW = 8
@@ -32,21 +32,29 @@ BROADCAST_WINDOWS = 200_000
 BROADCAST_DOCS = 1_000_000
 #: Unit words after a number (fixed values).
 UNITS = (
-    "%|percent|mm|cm|dm|m|km|mg|g|kg|t|ml|cl|l|s|ms|h|min|hz|khz|mhz|ghz|w|kw|mw|v|a|j|kj|k|°c|°f|°|kb|mb|gb|tb|"
-    "inch|inches|foot|feet|ft|yards?|miles?|met(?:er|re)s?|kilomet(?:er|re)s?|grams?|kilograms?|tons?|lit(?:er|re)s?|"
-    "seconds?|minutes?|hours?|days?|weeks?|months?|years?|degrees?|dollars?|euros?|cents?|pounds?|usd|eur|gbp|€|£|\\\\$"
-).replace("\\\\", "\\")
+    r"%|percent|mm|cm|dm|m|km|mg|g|kg|t|ml|cl|l|s|ms|h|min|hz|khz|mhz|ghz|w|kw|mw|v|a|j|kj|k|°c|°f|°|kb|mb|gb|tb|"
+    r"inch|inches|foot|feet|ft|yards?|miles?|met(?:er|re)s?|kilomet(?:er|re)s?|grams?|kilograms?|tons?|lit(?:er|re)s?|"
+    r"seconds?|minutes?|hours?|days?|weeks?|months?|years?|degrees?|dollars?|euros?|cents?|pounds?|usd|eur|gbp|€|£|\$"
+)
+#: Words after which a capitalised word is a noun of a language that writes nouns so, not a name (fixed values).
+BEFORE_NOUNS = (
+    "der|die|das|des|dem|den|ein|eine|einen|einem|einer|eines|kein|keine|keinen|keinem|keiner|im|am|ans|ins|zum|zur|vom|beim|"
+    "jede|jeder|jedes|jeden|jedem|diese|dieser|dieses|diesen|diesem|alle|viele|wenige|einige|mehrere|mehr|sein|seine|seinen|seinem|seiner|"
+    "ihr|ihre|ihren|ihrem|ihrer|wie"
+)
 _NUMBER = r"(?<![\p{L}\p{N}])\p{N}(?:[\p{N}.,:/]*\p{N})?(?![\p{L}\p{N}])"
 _UNIT = rf"(?<=⟧) ?((?i:{UNITS}))(?![\p{{L}}\p{{N}}])"
-_NAME = r"(?<=[\p{L}\p{N},;⟧] )\p{Lu}\p{L}*"
+# Not after an article either, nor right after a number, where a noun that is counted stands.
+_NAME = rf"(?<=[\p{{L}}\p{{N}},;⟧] )(?<!(?<!\p{{L}})(?i:{BEFORE_NOUNS}) )(?<!⟦n[^⟧]{{1,40}}⟧ )\p{{Lu}}\p{{L}}*"
 _TOKEN = r"⟦[^⟧]*⟧|[\p{L}\p{N}]+"
 
 
 def template_tokens(text: Column) -> Column:
     """Lower-case tokens of a text; a slot is ``⟦`` + type (n, u or a) + value + ``⟧``.
 
-    A name is a capitalised word that follows a word or comma, so not the first
-    of a sentence. Punctuation is dropped. A null text has no tokens.
+    A name is a capitalised word that follows a word, a unit or a comma, so not
+    the first of a sentence; after an article or a number it is a noun.
+    Punctuation is dropped. A null text has no tokens.
     """
     marked = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _NUMBER, "⟦n$0⟧")
     marked = F.regexp_replace(marked, _UNIT, " ⟦u$1⟧")
@@ -196,8 +204,9 @@ def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all columns."""
     found = settled(find_leaks(docs, items, id_col, text_col, **options).select("k1", "k2").distinct())
-    few = found.count() <= BROADCAST_DOCS
-    found = found.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
+    few = found.count() <= options.get("broadcast_docs", BROADCAST_DOCS)
+    names = unused(docs, 2)
     k1, k2 = keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    keyed = docs.withColumns({"__k1": k1, "__k2": k2})
-    return keyed.join(F.broadcast(found) if few else found, ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    keyed = docs.withColumns(dict(zip(names, (k1, k2))))
+    found = found.toDF(*names)
+    return keyed.join(F.broadcast(found) if few else found, names, "left_anti").drop(*names)

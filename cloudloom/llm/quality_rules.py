@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keys, raw, settled, slices
+from .common import keys, raw, settled, slices, unused
 
 #: A line is removed where at least this many documents of its host hold it ...
 MIN_DOCS = 5
@@ -135,8 +135,8 @@ _VERDICT = (
 )
 
 
-def _with_frequent(docs: DataFrame, text_col: str, host_col: str, limits: dict, broadcast_lines: int):
-    """``docs`` with a column ``__lines`` of frequent lines, or None and a broadcast of them by host."""
+def _with_frequent(docs: DataFrame, text_col: str, host_col: str, name: str, limits: dict, broadcast_lines: int):
+    """``docs`` with a column ``name`` of frequent lines, or None and a broadcast of them by host."""
     found = settled(frequent_lines(docs, text_col, host_col, **limits))
     if found.count() <= broadcast_lines:
         by_host: dict[str, set[int]] = {}
@@ -157,9 +157,10 @@ def _with_frequent(docs: DataFrame, text_col: str, host_col: str, limits: dict,
 
     lines = docs.select(k1, k2, host.alias("host"), text.alias("text")).mapInArrow(listed, "k1 long, k2 long, host string, line long")
     held = lines.join(found.select("host", "line"), ["host", "line"]).groupBy("k1", "k2")
-    held = held.agg(F.collect_set("line").alias("__lines")).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__lines")
-    keyed = docs.withColumns({"__k1": k1, "__k2": k2})
-    return keyed.join(held, ["__k1", "__k2"], "left").drop("__k1", "__k2"), None
+    first, second = [n for n in unused(docs, 3) if n != name][:2]
+    held = held.agg(F.collect_set("line").alias(name)).withColumnsRenamed({"k1": first, "k2": second})
+    keyed = docs.withColumns({first: k1, second: k2})
+    return keyed.join(held, [first, second], "left").drop(first, second), None
 
 
 def _judge(text: bytes, frequent, max_loss: float) -> dict:
@@ -183,7 +184,7 @@ def apply_rules(
     picked = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _host(docs, host_col).alias("host")
     )
-    joined, sent = _with_frequent(picked, "text", "host", {"min_docs": min_docs, "max_share": max_share}, broadcast_lines)
+    joined, sent = _with_frequent(picked, "text", "host", "lines", {"min_docs": min_docs, "max_share": max_share}, broadcast_lines)
     names = ["doc_id", *(x.split()[0] for x in _VERDICT.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +198,7 @@ def apply_rules(
             clean = pa.array([r["clean"] for r in rows], pa.binary()).cast(pa.string())
             yield pa.record_batch([batch.column(0), *columns, clean], names)
 
-    rows = (picked if joined is None else joined).select("doc_id", "text", "host", *([] if joined is None else ["__lines"]))
+    rows = (picked if joined is None else joined).select("doc_id", "text", "host", *([] if joined is None else ["lines"]))
     return rows.mapInArrow(run, f"doc_id long, {_VERDICT}")
 
 
@@ -210,21 +211,22 @@ def keep_good(
     ``size_col``, if there is such a column, is set to the new text's length.
     """
     limits = {"min_docs": min_docs, "max_share": max_share}
-    joined, sent = _with_frequent(docs, text_col, host_col, limits, broadcast_lines)
-    rows = (docs if joined is None else joined).withColumn("__host", _host(docs, host_col))
+    host_name, lines_name = unused(docs, 2)
+    joined, sent = _with_frequent(docs, text_col, host_col, lines_name, limits, broadcast_lines)
+    rows = (docs if joined is None else joined).withColumn(host_name, _host(docs, host_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hosts = batch.column(batch.schema.get_field_index("__host")).to_pylist()
+            hosts = batch.column(batch.schema.get_field_index(host_name)).to_pylist()
             if sent is None:
-                lists = batch.column(batch.schema.get_field_index("__lines")).to_pylist()
+                lists = batch.column(batch.schema.get_field_index(lines_name)).to_pylist()
                 lines = [frozenset(x or ()) for x in lists]
             else:
                 lines = [sent.value.get(h) for h in hosts]
             at = batch.schema.get_field_index(text_col)
             found = [_judge(t, f, max_loss) for t, f in zip(raw(batch.column(at)), lines)]
             clean = pa.array([r["clean"] for r in found], pa.binary()).cast(pa.string())
-            batch = batch.set_column(at, text_col, clean).select([f for f in batch.schema.names if f not in ("__host", "__lines")])
+            batch = batch.set_column(at, text_col, clean).select([f for f in batch.schema.names if f not in (host_name, lines_name)])
             yield batch.filter(pa.array([r["kept"] for r in found]))
 
     out = rows.mapInArrow(run, docs.schema)

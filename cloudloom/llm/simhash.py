@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keys, raw, settled, slices
+from .common import keys, raw, settled, slices, unused
 from .graph import connected_components
 
 #: Children of a node in the in-memory index.
@@ -257,7 +257,12 @@ def one_of_each(
     """
     found = _components(docs, id_col, text_col, shingle, distance)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("best"))
-    best = best.select(F.col("best.k1").alias("__k1"), F.col("best.k2").alias("__k2"))
+    return _rows_of(docs, best.select("best.k1", "best.k2"), id_col, text_col)
+
+
+def _rows_of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` for each pair of keys of id and text."""
+    names = unused(docs, 2)
     k1, k2 = keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    keyed = docs.withColumns({"__k1": k1, "__k2": k2})
-    return keyed.join(best, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")
+    keyed = docs.withColumns(dict(zip(names, (k1, k2))))
+    return keyed.join(found.toDF(*names), names, "left_semi").dropDuplicates(names).drop(*names)

@@ -11,7 +11,8 @@ DOCS = StructType(
     ]
 )
 #: Names that operators use themselves.
-CLASHES = ["k1", "k2", "fp", "spans", "anchor", "host", "line", "h", "hashes", "tokens", "items", "kept", "bucket", "rule", "verdict", "url", "seq"]
+CLASHES = ["k1", "k2", "fp", "spans", "anchor", "host", "line", "h", "hashes", "tokens", "items", "kept", "bucket", "rule", "verdict", "url", "seq",
+           "__k1", "__k2", "__host", "__lines", "__0", "__1"]
 
 
 @pytest.fixture(scope="session")
