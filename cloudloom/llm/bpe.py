@@ -1,11 +1,13 @@
 """Streaming byte-pair encoding and decoding with bounded lookahead.
 
-The encoder reads a word's symbols from the left and gives out a token as soon
-as no symbol further right can change it. How far it must look is a property of
-the merge list: :func:`sufficient_lookahead` computes it once. A word of any
-length is encoded with a window of the longest token plus that lookahead, so
-memory stays constant. The decoder is a state machine that takes one token at a
-time and gives out text whenever complete characters are known.
+The encoder is one machine over a text: it takes pieces of text, splits off
+words, and gives out the tokens that are stable. Inside a word it reads symbols
+from the left and keeps, for each place, the last token of the encoding up to
+there; the token before which all places that can still matter agree is stable.
+How far that can lie behind is a property of the merge list, its sufficient
+lookahead, which is computed once and bounds the places that are held. So texts
+and words of any length take constant memory. The decoder is a state machine
+that takes tokens and gives out text whenever complete characters are known.
 """
 
 from __future__ import annotations
@@ -25,15 +27,22 @@ from pyspark.sql import functions as F
 
 from .common import Memo, raw, slices
 
-#: Most words whose tokens a task remembers.
-WORD_MEMO = 250_000
+#: Most words whose tokens a task remembers, and the longest such word.
+WORD_MEMO, LONG_WORD = 250_000, 200
+#: Characters of a text that the machine takes at a time.
+PIECE = 1 << 16
+#: Symbols after which the machine of a word looks for stable tokens.
+STRIDE = 16
 #: Tokens that the decoder takes at a time.
 DECODE_TOKENS = 16_384
-#: Words longer than this are streamed and not remembered.
-LONG_WORD = 200
 #: Code points of white space that count as one space (fixed values).
 SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 
+#: Ranges whose letters stay one letter each in NFC and lower case and compose with no letter before them (fixed values).
+INERT = (
+    r"A-Za-z\u00c0-\u012f\u0131-\u024f\u0370-\u03ff\u0400-\u052f\u05d0-\u05ea\u0620-\u064a\u0904-\u0939\u0e01-\u0e30\u3041-\u3096"
+    r"\u30a1-\u30fa\u3400-\u9fff\uac00-\ud7a3"
+)
 #: Contractions, letters, one number, other marks (fixed values).
 WORDS = r"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--[{new}]]+|[\p{N}--[{new}]]|(?:[^\s\p{L}\p{N}]|[{new}])+"
 #: Ranges that later Unicode tables take for letters or numbers and the library does not (fixed values).
@@ -94,6 +103,8 @@ class Vocabulary:
         self.text = [""] * size
         for token, k in (ids | self.special).items():
             self.text[k] = token
+        if any(c.isspace() for t in self.special for c in t):
+            raise ValueError("special tokens with white space are not supported")
         marks = byte_characters()
         self.inner = [ids.get(c, -1) for c in marks]
         self.final = [ids.get(c + self.suffix, -1) for c in marks]
@@ -108,12 +119,53 @@ class Vocabulary:
             merges.append((a, b, c))
         self.lookahead = sufficient_lookahead(merges, self.length)
         self.longest = max(self.length)
+        self.parts = {c: (a, b) for a, b, c in reversed(merges)}  # the first merge that makes each token
+        self.endings: dict = {}  # symbols of tokens, read backwards; -1 leads to the token
+        for token in {*self.inner, *self.final, *self.parts} - {-1}:
+            if self._whole(token):
+                node = self.endings
+                for symbol in reversed(self.spelled(token)):
+                    node = node.setdefault(symbol, {})
+                node[-1] = token
+        self.fits = Fits(self)
         value = {c: b for b, c in enumerate(marks)}
         self.bytes = [self._bytes(t, value) for t in self.text]
         self.names = [t.encode() for t in self.text]
 
         self._encoder: Encoder | None = None
 
+    def spelled(self, token: int) -> list[int]:
+        """The symbols of a token."""
+        out, work = [], [token]
+        while work:
+            token = work.pop()
+            if token in self.parts:
+                work += reversed(self.parts[token])
+            else:
+                out.append(token)
+        return out
+
+    def _whole(self, token: int) -> bool:
+        """Whether a token is the encoding of its own symbols."""
+        return self.merged(self.spelled(token)) == [token]
+
+    def merged(self, symbols: list[int]) -> list[int]:
+        """The encoding of symbols by its definition: all merges by priority, leftmost first among equals; changes ``symbols``."""
+        find, size, none = self.rank.get, len(self.text), (len(self.rank), -1)
+        found = [find(a * size + b, none) for a, b in zip(symbols, symbols[1:])]
+        while found:
+            best = min(found)
+            if best[1] < 0:
+                break
+            at = found.index(best)
+            symbols[at : at + 2] = [best[1]]
+            del found[at]
+            if at:
+                found[at - 1] = find(symbols[at - 1] * size + best[1], none)
+            if at < len(found):
+                found[at] = find(best[1] * size + symbols[at + 1], none)
+        return symbols
+
     def encoder(self) -> Encoder:
         """One encoder of this process, which keeps its memo from task to task."""
         if self._encoder is None:
@@ -128,47 +180,101 @@ class Vocabulary:
         return bytes(value[c] for c in (token[: -len(self.suffix)] if ends else token)) + b" " * ends
 
 
-class WordEncoder:
-    """Tokens of one word, given as symbols, with constant memory."""
+class Fits(dict):
+    """Whether two tokens side by side are the encoding of their symbols; remembered for ``MOST`` pairs."""
+
+    MOST = 500_000
 
     def __init__(self, vocabulary: Vocabulary):
-        self.rank, self.size = vocabulary.rank, len(vocabulary.text)
-        self.none = (len(self.rank), -1)
-        self.length = vocabulary.length
-        self.lookahead = vocabulary.lookahead
-        self.window = vocabulary.longest + vocabulary.lookahead
+        super().__init__()
+        self.vocabulary = vocabulary
 
-    def merged(self, symbols: list[int]) -> list[int]:
-        """All merges by priority, leftmost first among equals; changes ``symbols``."""
-        find, size, none = self.rank.get, self.size, self.none
-        found = [find(a * size + b, none) for a, b in zip(symbols, symbols[1:])]
-        while found:
-            best = min(found)
-            if best is none:
-                break
-            at = found.index(best)
-            symbols[at : at + 2] = [best[1]]
-            del found[at]
-            if at:
-                found[at - 1] = find(symbols[at - 1] * size + best[1], none)
-            if at < len(found):
-                found[at] = find(best[1] * size + symbols[at + 1], none)
-        return symbols
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        if len(self) >= self.MOST:
+            self.clear()
+        left, right = (self.vocabulary.spelled(t) for t in pair)
+        value = self[pair] = self.vocabulary.merged(left + right) == list(pair)
+        return value
+
+    def __reduce__(self):
+        return Fits, (self.vocabulary,)
 
-    def stream(self, symbols: Iterable[int]) -> Iterator[int]:
-        """Tokens as soon as they are stable. Holds at most twice the window."""
-        held: list[int] = []
+
+class WordMachine:
+    """Tokens of one word from its symbols, given as soon as they are stable.
+
+    A sequence of tokens is the encoding of its symbols if each two neighbours
+    are each other's encoding, so the last token of the encoding up to a place
+    is the one that spells its end and fits the last token before. The encoding
+    of the whole word passes through one of the last ``longest`` places; what
+    is common to the encodings up to all of these is stable.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        #: Tokens more symbols behind than this are stable.
+        self.window = vocabulary.longest + vocabulary.lookahead
+        self._clear()
+
+    def _clear(self) -> None:
+        self.done = 0  # place up to which tokens are given out
+        self.symbols: list[int] = []  # from ``done`` on
+        self.last: list[int] = [-1]  # last token of the encoding up to ``done`` + k, and where it begins
+        self.back: list[int] = [0]
+        self.before = -1  # the last token given out
+
+    def feed(self, symbols: Iterable[int]) -> list[int]:
+        out: list[int] = []
+        vocabulary, fits = self.vocabulary, self.vocabulary.fits
         for symbol in symbols:
-            held.append(symbol)
-            if len(held) >= 2 * self.window:
-                used = 0
-                for token in self.merged(list(held)):
-                    if used + self.length[token] + self.lookahead > len(held):
-                        break
-                    used += self.length[token]
-                    yield token
-                del held[:used]
-        yield from self.merged(held)
+            self.symbols.append(symbol)
+            end, node = len(self.symbols), vocabulary.endings
+            found = (symbol, end - 1)
+            for at in range(end - 1, -1, -1):
+                node = node.get(self.symbols[at])
+                if node is None:
+                    break
+                token = node.get(-1)
+                if token is not None:
+                    left = self.last[at] if at else self.before
+                    if left < 0 or fits[left, token]:
+                        found = (token, at)
+                        if at == 0 or vocabulary.length[token] == vocabulary.longest:
+                            break
+            self.last.append(found[0])
+            self.back.append(found[1])
+            if end % STRIDE == 0:
+                out += self._stable()
+        return out
+
+    def _stable(self) -> list[int]:
+        """Tokens common to the encodings up to all places through which the word's encoding can pass."""
+        end = len(self.symbols)
+        live = {*range(max(0, end - self.vocabulary.longest + 1), end + 1)}
+        while len(live) > 1:
+            most = max(live)
+            live.remove(most)
+            live.add(self.back[most])
+        return self._given(live.pop())
+
+    def _given(self, end: int) -> list[int]:
+        """The tokens up to a place, which are forgotten here."""
+        out, at = [], end
+        while at:
+            out.append(self.last[at])
+            at = self.back[at]
+        if end:
+            self.before = out[0]
+            self.done += end
+            self.symbols = self.symbols[end:]
+            self.last = [-1, *self.last[end + 1 :]]
+            self.back = [0, *(x - end for x in self.back[end + 1 :])]
+        return out[::-1]
+
+    def finish(self) -> list[int]:
+        out = self._given(len(self.symbols))
+        self._clear()
+        return out
 
 
 class Encoder:
@@ -176,33 +282,54 @@ class Encoder:
 
     Strings of special tokens in a text become their ids. The rest is brought
     to NFC, white space is folded, letters are lower-cased one by one, and words
-    are split off.
+    are split off. ``feed`` takes pieces of a text and gives the ids that are
+    certain, as little-endian unsigned 32-bit integers; ``finish`` gives the
+    rest. Words up to ``LONG_WORD`` characters are remembered with what the
+    machine gave for them.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.words = WordEncoder(vocabulary)
+        self.machine, self.long = WordMachine(vocabulary), WordMachine(vocabulary)
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) or r"(?!)")
+        self.special_ids = {t: np.array([k], "<u4").tobytes() for t, k in vocabulary.special.items()}
         self.spaces = regex.compile(SPACES)
         new = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in NEW_LETTERS)
         self.find = regex.compile(WORDS.replace("{new}", new)).findall
         self.find_latin = regex.compile(WORDS.replace("--[{new}]", "").replace("(?:[^\\s\\p{L}\\p{N}]|[{new}])", "[^\\s\\p{L}\\p{N}]")).findall
         self.later = regex.compile("[" + "".join(map(chr, LOWER)) + "]")
         self.memo = Memo(self._ids, WORD_MEMO)
-
-    def symbols(self, word: str) -> list[int]:
+        # Where a text can be cut so that its parts encode by themselves: before white space, which no word, special token
+        # or composed character spans; before a digit, which is a word of its own; between letters that compose with
+        # nothing. The run before the latter two is too long for a contraction or a special token to be cut.
+        letters, most = rf"[\p{{L}}&&[{INERT}]]", max(map(len, vocabulary.special), default=0) + 4
+        self.cuts = (
+            (regex.compile(r"(?r)(?=[ \t\n\r])"), False),
+            (regex.compile(rf"(?rV1)(?<=(?:{letters}|[0-9]){{{most}}})(?=[0-9](?:{letters}|[0-9]))"), False),
+            (regex.compile(rf"(?rV1)(?<={letters}{{{most}}})(?={letters}{{2}})"), True),
+        )
+        self.held = ""  # text whose words are not yet certain
+        self.open = False  # the held text continues the word that is in ``long``
+        self.byte = b""  # last byte of that word, final or not
+
+    def symbols(self, word: bytes, ends: bool) -> list[int]:
         """The id of each byte; bytes that the vocabulary lacks are left out."""
-        data = word.encode()
-        found = [*map(self.vocabulary.inner.__getitem__, data[:-1]), self.vocabulary.final[data[-1]]]
+        inner = self.vocabulary.inner
+        found = [*map(inner.__getitem__, word[:-1]), (self.vocabulary.final if ends else inner)[word[-1]]]
         return found if min(found) >= 0 else [x for x in found if x >= 0]
 
-    def _ids(self, word: str) -> bytes:
-        ids = array("I", self.words.stream(self.symbols(word)))
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        out = array("I", ids)
         if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+            out.byteswap()
+        return out.tobytes()
 
-    def pieces(self, text: str) -> list[str]:
+    def _ids(self, word: str) -> bytes:
+        machine = self.machine
+        return self._packed(machine.feed(self.symbols(word.encode(), True)) + machine.finish())
+
+    def words(self, text: str) -> list[str]:
         """Words of a text without special tokens."""
         if not text.isascii():
             text = self.spaces.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ")
@@ -211,17 +338,64 @@ class Encoder:
             return self.find_latin(text)
         return self.find(self.later.sub(lambda m: m[0].translate(LOWER), text))
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def _encoded(self, text: str, continues: bool) -> list[bytes]:
+        """Ids of a text whose first word continues the open one, if any; with ``continues`` its last word stays open."""
         out, at, memo = [], 0, self.memo
         for found in [*self.special.finditer(text), None] if "<" in text else [None]:
-            for word in self.pieces(text[at : found.start() if found else None]):
-                out.append(memo[word] if len(word) <= LONG_WORD else self._ids(word))
+            words = self.words(text[at : found.start() if found else None])
+            if self.open:
+                out.append(self._long(words.pop(0), continues and not found and not words))
+            last = words.pop() if continues and not found and words else None
+            for word in words:
+                out.append(memo[word] if len(word) <= LONG_WORD else self._long(word, False))
+            if last is not None:
+                out.append(self._long(last, True))
             if found:
-                out.append(np.array([self.vocabulary.special[found[0]]], "<u4").tobytes())
+                out.append(self.special_ids[found[0]])
                 at = found.end()
+        return out
+
+    def _long(self, part: str, continues: bool) -> bytes:
+        """Ids of a part of a word, through the machine that is not remembered; its last byte waits until it is known to be the last."""
+        data = self.byte + part.encode()
+        self.open, self.byte = continues, data[-1:] if continues else b""
+        out = self.long.feed(self.symbols(data[:-1], False)) if len(data) > 1 else []
+        if not continues:
+            out += self.long.feed(self.symbols(data[-1:], True)) + self.long.finish()
+        return self._packed(out)
+
+    def feed(self, text: str) -> bytes:
+        out = []
+        for at in range(0, len(text), PIECE):
+            self.held += text[at : at + PIECE]
+            if len(self.held) < PIECE:
+                continue
+            cut, inside = self._cut()
+            if cut:
+                part, self.held = self.held[:cut], self.held[cut:]
+                out += self._encoded(part, inside)
         return b"".join(out)
 
+    def _cut(self) -> tuple[int, bool]:
+        """The last place in the second half of the held text where it can be cut (else 0), and whether that is inside a word.
+
+        Only runs of marks and of letters that may compose are held whole.
+        """
+        half = len(self.held) // 2
+        for pattern, inside in self.cuts:
+            found = pattern.search(self.held, half)
+            if found:
+                return found.start(), inside
+        return 0, False
+
+    def finish(self) -> bytes:
+        part, self.held = self.held, ""
+        return b"".join(self._encoded(part, False))
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        return self.feed(text) + self.finish()
+
 
 class Decoder:
     """An incremental machine from tokens to text, in constant memory.
@@ -273,23 +447,33 @@ def decode_tokens(vocabulary: Vocabulary, ids: bytes) -> Iterator[str]:
     return _decoded(Decoder(vocabulary.names, b" "), ids)
 
 
-def _digest(pieces: Iterable[str]) -> str:
-    found = hashlib.sha256()
-    for piece in pieces:
-        found.update(piece.encode())
-    return found.hexdigest()
+def _streamed(encoder: Encoder, vocabulary: Vocabulary, text: str, decoded: bool, kept: bool) -> tuple[bytes | None, int, str, str | None]:
+    """Ids (if ``kept``), their number, and digests of ids and decoded text; the ids are used piece by piece as they come."""
+    ids, plain, machine, count, parts = hashlib.sha256(), hashlib.sha256(), Decoder(vocabulary.names, b" "), 0, []
+    for at in range(0, len(text) + PIECE, PIECE):
+        piece = encoder.feed(text[at : at + PIECE]) if at < len(text) else encoder.finish()
+        ids.update(piece)
+        count += len(piece) // 4
+        if kept:
+            parts.append(piece)
+        if decoded:
+            for part in range(0, len(piece), 4 * DECODE_TOKENS):
+                plain.update(machine.feed(np.frombuffer(piece[part : part + 4 * DECODE_TOKENS], "<u4").tolist()).encode())
+    plain.update(machine.finish().encode())
+    return b"".join(parts) if kept else None, count, ids.hexdigest(), plain.hexdigest() if decoded else None
 
 
 def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True, ids: bool = True
 ) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256) for every row.
 
     ``path`` names the vocabulary file on the driver; its tables are broadcast
     (their size is the file's, not the data's). Null and empty texts have no
     ids. ``ids`` holds little-endian unsigned 32-bit integers. Without
-    ``decoded`` that digest is null. Repeated rows are all returned, null ids
-    stay null, other columns are ignored.
+    ``decoded`` that digest is null; without ``ids`` those are null and a text's
+    ids are hashed and decoded as they come, in constant memory. Repeated rows
+    are all returned, null ids stay null, other columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
@@ -297,18 +481,10 @@ def encode_documents(
         vocabulary = sent.value
         encoder = vocabulary.encoder()
         for batch in slices(batches):
-            ids = [encoder.encode(t.decode("utf-8", "replace")) for t in raw(batch.column(1))]
-            digests = [_digest(decode_tokens(vocabulary, x)) if decoded else None for x in ids]
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array(ids, pa.binary()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                    pa.array(digests, pa.string()),
-                ],
-                ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            found = [_streamed(encoder, vocabulary, t.decode("utf-8", "replace"), decoded, ids) for t in raw(batch.column(1))]
+            kinds = (pa.binary(), pa.int64(), pa.string(), pa.string())
+            columns = [pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)]
+            yield pa.record_batch([batch.column(0), *columns], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string")

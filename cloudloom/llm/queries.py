@@ -65,7 +65,7 @@ def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    found = bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    found = bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -413,11 +413,67 @@ def test_tokens_of_odd_texts(vocabulary, library):
         assert "".join(bpe.decode_tokens(vocabulary, found)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_texts_in_pieces(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 64)
+    rng, encoder = random.Random(2), bpe.Encoder(vocabulary)
+    more = ["abc" * 9, "hello", "wor ", "d'll", "12345", "日本語" * 9, "don't", "e" * 99, "привет" * 9, "İ", "й", "และ" * 9]
+    for _ in range(800):
+        text = "".join(rng.choices(ODD + more, k=rng.randint(0, 60)))
+        size = rng.choice([1, 7, 64, 500])
+        found = b"".join(encoder.feed(text[k : k + size]) for k in range(0, len(text), size)) + encoder.finish()
+        assert ids_of(found) == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_streamed_words_equal_whole_words(vocabulary):
-    encoder, rng = bpe.Encoder(vocabulary), random.Random(5)
+    encoder, machine, rng = bpe.Encoder(vocabulary), bpe.WordMachine(vocabulary), random.Random(5)
     for _ in range(10):
-        symbols = encoder.symbols("".join(rng.choices(["a", "b", "th", "in", "er", "s", "ing", "q", "é"], k=3000)))
-        assert list(encoder.words.stream(iter(symbols))) == encoder.words.merged(list(symbols))
+        symbols = encoder.symbols("".join(rng.choices(["a", "b", "th", "in", "er", "s", "ing", "q", "é"], k=3000)).encode(), True)
+        out, held = [], 0
+        for symbol in symbols:
+            out += machine.feed([symbol])
+            held = max(held, len(machine.symbols))
+        assert out + machine.finish() == vocabulary.merged(list(symbols)) and len(out) > 500
+        assert held <= machine.window + bpe.STRIDE
+
+
+@pytest.fixture(scope="module")
+def made_up(tmp_path_factory):
+    """A vocabulary of random merges over a few letters."""
+    import json
+
+    folder = tmp_path_factory.mktemp("merges")
+
+    def make(rng):
+        tokens = ["a", "b", "c"]
+        merges = []
+        for _ in range(rng.randint(1, 14)):
+            pair = rng.choice(tokens), rng.choice(tokens)
+            if len(pair[0] + pair[1]) <= 8 and pair not in merges:
+                merges.append(pair)
+                tokens += [pair[0] + pair[1]] * (pair[0] + pair[1] not in tokens)
+        path = folder / "merges.json"
+        path.write_text(json.dumps({"model": {"vocab": {t: k for k, t in enumerate(tokens)}, "merges": [" ".join(m) for m in merges]}, "added_tokens": []}))
+        return bpe.Vocabulary(str(path))
+
+    return make
+
+
+def test_random_merges_are_stable_after_the_lookahead(made_up):
+    rng = random.Random(8)
+    for _ in range(400):
+        v = made_up(rng)
+        machine = bpe.WordMachine(v)
+        for _ in range(12):
+            symbols = [rng.randrange(3) for _ in range(rng.randint(1, 60))]
+            want = v.merged(list(symbols))
+            assert machine.feed(symbols) + machine.finish() == want
+            cut = rng.randint(1, len(symbols))
+            end = 0
+            for token, other in zip(v.merged(symbols[:cut]), want):
+                end += v.length[token]
+                if end + v.lookahead > cut:
+                    break
+                assert token == other, (v.parts, symbols, cut)
 
 
 def test_decoding_is_incremental(vocabulary, library, monkeypatch):
