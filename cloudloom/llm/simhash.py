@@ -8,6 +8,10 @@ fingerprints can share a node, so no task ever holds an unbounded group.
 Within a node the fingerprints lie in Gray order, where neighbours share long
 bit patterns. Those patterns are factored into parents, a search adds up the
 differences on the way down and drops a whole subtree when they exceed ``d``.
+
+:func:`one_of_each` keeps one document of each group of near copies by the
+similarity of their word shingles: the same index gives candidates at a wider
+distance, and each is checked by the exact Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -30,32 +34,44 @@ FANOUT = 16
 NODE_LIMIT = 1024
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 15
+#: Near copies: words in a shingle, and the least Jaccard similarity of the sets of shingles.
+SHINGLE, SIMILARITY = 5, 0.8
+#: Candidates of near copies lie under two of ``BLOCKS`` blocks, differ in at most ``REACH`` bits of the fingerprint and
+#: ``SECOND`` of a second one. Texts at the least similarity differ in about 10 of 64 bits (standard deviation 3).
+BLOCKS, REACH, SECOND = 10, 14, 16
+#: Pairs that a node's search looks at together.
+PAIRS = 1 << 20
+#: Most texts of candidates whose keys are broadcast (16 bytes each).
+BROADCAST_TEXTS = 1_000_000
 
 
-def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of one text, as a signed integer.
+def shingles(text: bytes, size: int) -> Iterator[bytes]:
+    """The word shingles of a text, repeats included: the whole word sequence if that is shorter, none without words.
 
     A-Z are lower-cased, words are runs of bytes other than ASCII white space.
-    A text with fewer words than ``shingle`` has one shingle, its whole word
-    sequence; one without words has fingerprint 0.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return iter(())
     joined = b" ".join(words)
-    size = min(shingle, len(words))
+    size = min(size, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    cuts = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())
-    count = len(words) - size + 1
-    hashes = np.fromiter(
-        map(xxhash.xxh64_intdigest, (joined[a:b] for a, b in cuts), repeat(seed)), np.uint64, count
-    )
-    ones = np.zeros(64, np.int64)
-    for at in range(0, count, BLOCK):
-        part = hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view(np.int64)[0])
+    return (joined[a:b] for a, b in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()))
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """Bits that are set in over half of the hashes (rows of bytes), as signed 64-bit words."""
+    ones = np.zeros(8 * hashes.shape[1], np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        ones += np.unpackbits(hashes[at : at + BLOCK], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)
+
+
+def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
+    """The 64-bit SimHash of one text, as a signed integer; 0 for a text without words."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles(text, shingle), repeat(seed)), np.uint64)
+    return int(majority(hashes.view(np.uint8).reshape(-1, 8))[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -145,59 +161,86 @@ def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def _linked(distance: int):
+def _within(distance: int):
+    """Search of a node for :func:`_linked`: a forest over all links within ``distance``."""
+    return lambda rows: _forest(rows[:, 0].view(np.uint64), distance)
+
+
+def _likely(similarity: float):
+    """Search of a node for :func:`_linked`: a forest over the pairs that can be so similar, the closest pairs first.
+
+    Rows are (fingerprint, second fingerprint, number of different shingles).
+    """
+
+    def search(rows: np.ndarray) -> list[tuple[int, int]]:
+        fps, second, sizes = rows[:, 0].view(np.uint64), rows[:, 1].view(np.uint64), rows[:, 2]
+        index, root, links = GrayIndex(fps), np.arange(len(fps)), []
+        step = max(1, PAIRS // len(fps))
+        for at in range(0, len(fps), step):
+            q, other = index.near(fps[at : at + step], REACH)
+            q = q + at
+            apart = np.bitwise_count(second[q] ^ second[other])
+            good = (q < other) & (apart <= SECOND) & (np.minimum(sizes[q], sizes[other]) >= similarity * np.maximum(sizes[q], sizes[other]))
+            q, other, apart = q[good], other[good], apart[good]
+            order = np.argsort(apart + np.bitwise_count(fps[q] ^ fps[other]), kind="stable")
+            for a, b in zip(q[order].tolist(), other[order].tolist()):
+                if root[a] != root[b]:
+                    links.append((a, b))
+                    root[root == root[a]] = root[b]
+        return links
+
+    return search
+
+
+def _linked(search):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by node; a node ends where (mask, pattern) changes."""
+        """Rows (mask, pattern, fp, ...) come sorted by node; a node ends where (mask, pattern) changes."""
         held: list[np.ndarray] = []
 
-        def links(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def links(rows: np.ndarray) -> pa.RecordBatch:
             cut = np.flatnonzero((rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])) + 1
             edges = np.concatenate(([0], cut, [len(rows)]))
             wide = np.flatnonzero(np.diff(edges) > 1)
             a, b = [], []
             for k in wide.tolist():
-                fps = rows[edges[k] : edges[k + 1], 2]
-                for x, y in _forest(fps.view(np.uint64), distance):
-                    a.append(int(fps[x]))
-                    b.append(int(fps[y]))
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                node = np.ascontiguousarray(rows[edges[k] : edges[k + 1], 2:])
+                for x, y in search(node):
+                    a.append(int(node[x, 0]))
+                    b.append(int(node[y, 0]))
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.ascontiguousarray(np.stack([c.to_numpy() for c in batch.columns[:3]], axis=1))
+            rows = np.ascontiguousarray(np.stack([c.to_numpy() for c in batch.columns], axis=1))
             last = np.flatnonzero((rows[:, 0] != rows[-1, 0]) | (rows[:, 1] != rows[-1, 1]))
             at = int(last[-1]) + 1 if len(last) else 0
             same = held and held[-1][-1, 0] == rows[-1, 0] and held[-1][-1, 1] == rows[-1, 1]
             if at == 0 and (same or not held):
                 held.append(rows)
                 continue
-            yield from links(np.concatenate([*held, rows[:at]]))
+            yield links(np.concatenate([*held, rows[:at]]))
             held = [rows[at:]]
         if held:
-            yield from links(np.concatenate(held))
+            yield links(np.concatenate(held))
 
     return run
 
 
-def hamming_links(fps: DataFrame, distance: int = 2, node_limit: int = NODE_LIMIT, levels: int = 3) -> DataFrame:
-    """Edges (a, b) among distinct fingerprints (column ``fp``) that keep every connection at ``distance``.
-
-    Not every close pair is listed: inside a node a spanning forest is enough
-    to keep all components. Exact: no link between fingerprints is lost.
-    """
-    spark = fps.sparkSession
-    below, found = fps.select(F.lit(0).cast("long").alias("up"), "fp"), None
+def _node_links(fps: DataFrame, blocks: int, search, node_limit: int, levels: int) -> DataFrame:
+    """Edges (a, b) that ``search`` finds in the nodes of different fingerprints (column ``fp``, further longs for the search)."""
+    spark, columns = fps.sparkSession, fps.columns
+    below, found = fps.select(F.lit(0).cast("long").alias("up"), *columns), None
     parents = [0]
     for level in range(levels):
-        masks = [(_signed(p), _signed(m)) for p in parents for m in node_masks(p, distance)]
+        masks = [(_signed(p), _signed(m)) for p in parents for m in node_masks(p, blocks - 2)]
         parents = sorted({m % (1 << 64) for _, m in masks})
         table = spark.createDataFrame(masks, "up long, mask long")
         if level:
-            nodes = below.join(F.broadcast(table), "up")  # the table has (d + 2 over 2) ** level rows
+            nodes = below.join(F.broadcast(table), "up")  # the table has (blocks over 2) ** level rows
         else:
-            nodes = below.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for _, m in masks])).alias("mask"))
-        nodes = nodes.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("pattern"), "fp")
+            nodes = below.select(*columns, F.explode(F.array(*[F.lit(m).cast("long") for _, m in masks])).alias("mask"))
+        nodes = nodes.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("pattern"), *columns)
         sizes = nodes.groupBy("mask", "pattern").count().where("count > 1")
         last = level == levels - 1
         sizes = sizes if last else settled(sizes)
@@ -206,16 +249,25 @@ def hamming_links(fps: DataFrame, distance: int = 2, node_limit: int = NODE_LIMI
             nodes.join(full.drop("count"), ["mask", "pattern"])
             .repartition("mask", "pattern")
             .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fp")))
-            .mapInArrow(_linked(distance), "a long, b long")
+            .mapInArrow(_linked(search), "a long, b long")
         )
         found = edges if found is None else found.union(edges)
         if last or sizes.where(F.col("count") > node_limit).isEmpty():
             break
         heavy = sizes.where(F.col("count") > node_limit).drop("count")
-        below = settled(nodes.join(heavy, ["mask", "pattern"]).select(F.col("mask").alias("up"), "fp").distinct())
+        below = settled(nodes.join(heavy, ["mask", "pattern"]).select(F.col("mask").alias("up"), *columns).distinct())
     return found
 
 
+def hamming_links(fps: DataFrame, distance: int = 2, node_limit: int = NODE_LIMIT, levels: int = 3) -> DataFrame:
+    """Edges (a, b) among distinct fingerprints (column ``fp``) that keep every connection at ``distance``.
+
+    Not every close pair is listed: inside a node a spanning forest is enough
+    to keep all components. Exact: no link between fingerprints is lost.
+    """
+    return _node_links(fps.select("fp"), distance + 2, _within(distance), node_limit, levels)
+
+
 def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> DataFrame:
     """(doc_id, k1, k2, fp, root, component_id); root is a fingerprint that stands for the component."""
     marked = settled(fingerprints(docs, id_col, text_col, shingle))
@@ -247,17 +299,76 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
-) -> DataFrame:
-    """One row of each near-duplicate component of ``docs``, with all its columns: the row with the least id.
+def _texts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(uid, k1, k2, best, fp, second, n): one row for each different word sequence.
+
+    k1 and k2 stand for id and text of one of its rows, the one with the least
+    id (``best`` orders them); n counts the different shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = np.zeros((batch.num_rows, 5), np.int64)
+            for k, text in enumerate(raw(batch.column(3))):
+                hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, shingles(text, shingle))), np.uint8).reshape(-1, 16)
+                whole = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(text.lower().split())), np.int64)
+                rows[k] = (*whole, *majority(hashes), len(np.unique(np.ascontiguousarray(hashes[:, :8]).view(np.int64))))
+            yield pa.record_batch([*batch.columns[:3], *map(pa.array, rows.T)], ["doc_id", "k1", "k2", "t1", "t2", "fp", "second", "n"])
+
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    keyed = picked.select("doc_id", *keys(F.col("doc_id"), F.col("text")), "text")
+    rows = keyed.mapInArrow(run, "doc_id long, k1 long, k2 long, t1 long, t2 long, fp long, second long, n long")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("best")
+    each = rows.groupBy("t1", "t2").agg(best, *(F.min(c).alias(c) for c in ("fp", "second", "n")))
+    return settled(each.select(F.monotonically_increasing_id().alias("uid"), "best.k1", "best.k2", "best", "fp", "second", "n"))
+
 
-    Rows with a null id stay only where their component has no other; among
-    equal ids the text decides, among equal rows any one stays.
+def _similar(docs: DataFrame, texts: DataFrame, edges: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """The edges (a, b: uids) whose texts' sets of shingles are so similar, by exact counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            sets = [np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles(t, shingle)), np.uint64)).view(np.int64) for t in raw(batch.column(2))]
+            yield pa.record_batch([*batch.columns[:2], pa.array(sets, pa.list_(pa.int64()))], ["k1", "k2", "held"])
+
+    ends = edges.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    wanted = settled(texts.join(ends, "uid").select("uid", "k1", "k2"))
+    some = wanted.select("k1", "k2")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(*keys(F.col(id_col).cast("long"), text), text.alias("text"))
+    rows = rows.join(F.broadcast(some) if some.count() <= BROADCAST_TEXTS else some, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    sets = settled(rows.mapInArrow(run, "k1 long, k2 long, held array<long>").join(wanted, ["k1", "k2"]).select("uid", "held"))
+    met = edges.join(sets.toDF("a", "ours"), "a").join(sets.toDF("b", "theirs"), "b")
+    common = F.size(F.array_intersect("ours", "theirs"))
+    return met.where(common >= similarity * (F.size("ours") + F.size("theirs") - common)).select("a", "b")
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
+    node_limit: int = NODE_LIMIT,
+) -> DataFrame:
+    """One row of each group of near copies of ``docs``, with all its columns: the row with the least id.
+
+    Texts are near copies if their sets of word shingles have a Jaccard
+    similarity of ``similarity`` or more; groups are connected by such links.
+    Equal word sequences (A-Z lower-cased) always are; so are all texts without
+    words, null or empty. Candidates come from the index over fingerprints of
+    the same shingles, which finds nearly all links (tested), and every one is
+    checked exactly, so no row goes without a link. Within a node candidates
+    are a forest of closest pairs, never all pairs. Rows with a null id stay
+    only where their group has no other; among equal ids the text decides,
+    among equal rows any one stays.
     """
-    found = _components(docs, id_col, text_col, shingle, distance)
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("best"))
-    return _rows_of(docs, best.select("best.k1", "best.k2"), id_col, text_col)
+    texts = _texts(docs, id_col, text_col, shingle)
+    prints = texts.groupBy("fp").agg(F.min(F.struct("uid", "second", "n")).alias("least")).select("fp", "least.*")
+    found = _node_links(prints.select("fp", "second", "n"), BLOCKS, _likely(similarity), node_limit, 3).distinct()
+    uids = prints.select("fp", "uid")
+    far = found.join(uids.toDF("a", "ua"), "a").join(uids.toDF("b", "ub"), "b").select(F.col("ua").alias("a"), F.col("ub").alias("b"))
+    same = texts.select("fp", F.col("uid").alias("b")).join(uids.withColumnRenamed("uid", "a"), "fp").where("a <> b").select("a", "b")
+    links = _similar(docs, texts, settled(far.union(same)), id_col, text_col, shingle, similarity)
+    roots = connected_components(links)
+    rooted = texts.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(F.coalesce("root", "uid").alias("root"), "best")
+    return _rows_of(docs, rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.k1", "best.k2"), id_col, text_col)
 
 
 def _rows_of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:

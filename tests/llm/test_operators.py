@@ -369,6 +369,42 @@ def test_gray_index_finds_all(values, distance):
     assert set(zip(q.tolist(), at.tolist())) == want
 
 
+def plain_kept(texts, shingle=5, similarity=0.8):
+    """The least id of each group, by the similarity of all pairs."""
+    words = [WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    sets = [{tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in words]
+    groups = Sets(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common >= similarity * (len(a) + len(sets[j]) - common):
+                groups.join(i, j)
+    return {groups.find(k) for k in range(len(texts))}
+
+
+@pytest.mark.parametrize("limit", [simhash.NODE_LIMIT, 12])
+def test_near_copies_against_all_pairs(docs_of, limit):
+    rng = random.Random(12)
+    texts = []
+    for k in range(40):
+        base = own(k, rng.randint(60, 400)).split()
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(1, 4)):
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 40)):  # up to a similarity of about 0.78
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(copy).upper() if rng.random() < 0.2 else " ".join(copy))
+    base = own(500, 300).split()
+    for k in range(80):  # a large group, each a link or two from the next
+        copy = list(base)
+        copy[k * 3] = f"new{k}"
+        texts.append(" ".join(copy))
+    texts += ["", None, "one", "one", "one two", "a b c d", "a b c e", own(600, 300) + "\n" + own(601, 300), own(600, 300), own(601, 300)]
+    kept = {r.doc_id for r in simhash.one_of_each(docs_of(list(enumerate(texts))), node_limit=limit).collect()}
+    want = plain_kept(texts)
+    assert want <= kept and len(kept - want) <= 0.1 * (len(texts) - len(want))
+
+
 # --- 7: byte-pair encoding
 
 
