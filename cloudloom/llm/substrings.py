@@ -10,7 +10,8 @@ is the set of maximal repeats of at least ``length`` words.
 
 No pairs are formed. Repeats inside a batch are settled there and sent on once,
 so copies shrink before the shuffle. Anchors with more than ``hot`` occurrences
-are not gathered: their windows are dealt out by their own hashes.
+are not gathered: their windows are counted by their own hashes, which combines
+before the shuffle, and joined with the counts, so no task holds a hot group.
 """
 
 from __future__ import annotations
@@ -132,7 +133,7 @@ def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     return sorted_values[np.minimum(at, len(sorted_values) - 1)] == values
 
 
-_ROW = "key long, k1 long, k2 long, start int, windows array<long>, known boolean"
+_ROW = "key long, k1 long, k2 long, start int, windows array<long>, known boolean, hot boolean"
 
 
 def _extend(length: int, seed: int, sent=None):
@@ -162,7 +163,7 @@ def _extend(length: int, seed: int, sent=None):
                 if not len(rows):
                     continue
                 key = np.where(hot[rows], window[rows], anchor[rows])
-                near = (np.diff(rows) == 1) & (np.diff(doc[rows]) == 0) & (np.diff(start[rows]) == 1) & (np.diff(key.view(np.int64)) == 0)
+                near = (np.diff(rows) == 1) & (np.diff(doc[rows]) == 0) & (np.diff(start[rows]) == 1) & (key[1:] == key[:-1]) & (hot[rows][1:] == hot[rows][:-1])
                 group = np.concatenate(([0], np.cumsum(~near)))
                 at, sizes = runs_of(group, RUN)
                 lists = pa.ListArray.from_arrays(
@@ -179,8 +180,9 @@ def _extend(length: int, seed: int, sent=None):
                             pa.array(start[rows][at].astype(np.int32)),
                             lists,
                             pa.array(np.full(len(at), known)),
+                            pa.array(hot[rows][at]),
                         ],
-                        ["key", "k1", "k2", "start", "windows", "known"],
+                        ["key", "k1", "k2", "start", "windows", "known", "hot"],
                     )
                 )
             return out
@@ -272,15 +274,19 @@ def repeated_windows(
     else:
         rows = _joined_seeds(keyed, seeds, length, seed, hot).mapInArrow(_extend(length, seed), _ROW)
     rows = settled(rows)
-    known = rows.where("known").select(
-        "k1", "k2", "start", F.expr("cast(shiftleft(1L, size(windows)) - 1 as long)").alias("bits")
-    )
+    whole = F.expr("cast(shiftleft(1L, size(windows)) - 1 as long)").alias("bits")
+    known = rows.where("known").select("k1", "k2", "start", whole)
+    open_ = rows.where("not known")
     compared = (
-        rows.where("not known").select("key", "k1", "k2", "start", "windows")
+        open_.where("not hot").select("key", "k1", "k2", "start", "windows")
         .repartition("key").sortWithinPartitions("key")
         .mapInArrow(_compare, "k1 long, k2 long, start int, bits long")
     )
-    each = known.union(compared).groupBy("k1", "k2", "start").agg(F.bit_or("bits").alias("bits"))
+    # A row of a hot anchor holds one window, or the same one at consecutive places; its key is the window's hash.
+    counted = open_.where("hot")
+    often = counted.groupBy("key").agg(F.sum(F.size("windows")).alias("n")).where("n > 1").select("key")
+    counted = counted.join(often, "key", "left_semi").select("k1", "k2", "start", whole)
+    each = known.union(compared).union(counted).groupBy("k1", "k2", "start").agg(F.bit_or("bits").alias("bits"))
     return each.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "bits")).alias("marks"))
 
 
@@ -306,33 +312,51 @@ def _joined_seeds(keyed: DataFrame, seeds: DataFrame, length: int, seed: int, ho
     return keyed.join(held, ["k1", "k2"]).select("k1", "k2", "text", "seeds", "hot")
 
 
-def kept_words(words: list[bytes], marks: list[dict] | None, length: int) -> list[bytes]:
-    """The words that no marked window covers."""
-    if not marks:
-        return words
-    change = np.zeros(len(words) + 1, np.int64)
-    for mark in marks:
+def maximal_repeats(marks: list[dict] | None, length: int) -> list[tuple[int, int]]:
+    """(first word, end) of each maximal run of words that marked windows cover, in order.
+
+    Neighbouring matches overlap in all but a word, so this joins what was
+    found around the seeds to the left and right as far as it repeats.
+    """
+    starts = []
+    for mark in marks or ():
         bits, start = mark["bits"], mark["start"]
         while bits:
             low = (bits & -bits).bit_length() - 1
-            change[start + low] += 1
-            change[start + low + length] -= 1
+            starts.append(start + low)
             bits &= bits - 1
-    kept = np.cumsum(change[:-1]) == 0
-    return [w for w, k in zip(words, kept.tolist()) if k]
+    spans: list[tuple[int, int]] = []
+    for start in sorted(starts):
+        if spans and start <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], start + length)
+        else:
+            spans.append((start, start + length))
+    return spans
+
+
+def kept_words(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
+    """The words outside these spans."""
+    if not spans:
+        return words
+    kept, at = [], 0
+    for start, end in spans:
+        kept += words[at:start]
+        at = end
+    return kept + words[at:]
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35, seed: int = 12,
     broadcast_anchors: int = BROADCAST_ANCHORS, hot: int = HOT,
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) for every row: the text without its repeated passages.
+    """(doc_id, n_words, n_removed, kept, repeats) for every row: the text without its repeated passages.
 
     Words are runs of bytes other than ASCII white space. A word goes if a
     window of ``length`` words covers it whose words also start anywhere else,
     in the same text or another; every occurrence goes, so repeated rows of
     that length lose all words. Windows are judged on the input. ``kept`` joins
-    the remaining words by one space. Null, empty and short texts lose nothing;
+    the remaining words by one space, ``repeats`` lists the removed passages
+    (first word, end). Null, empty and short texts lose nothing;
     null ids stay null; other columns are ignored.
     """
     text = F.col(text_col).cast("string")
@@ -341,17 +365,15 @@ def remove_repeats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            all_words, gone, texts = [], [], []
+            found = []
             for text, marked in zip(raw(batch.column(1)), batch.column(2).to_pylist()):
-                words = text.split()
-                kept = kept_words(words, marked, length)
-                all_words.append(len(words))
-                gone.append(len(words) - len(kept))
-                texts.append(b" ".join(kept))
-            yield pa.record_batch(
-                [batch.column(0), pa.array(all_words, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept"],
-            )
+                words, spans = text.split(), maximal_repeats(marked, length)
+                kept = kept_words(words, spans)
+                found.append((len(words), len(words) - len(kept), b" ".join(kept), [{"start": a, "end": b} for a, b in spans]))
+            counts = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
+            spans = pa.array([x[3] for x in found], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+            texts = pa.array([x[2] for x in found], pa.binary()).cast(pa.string())
+            yield pa.record_batch([batch.column(0), *counts, texts, spans], ["doc_id", "n_words", "n_removed", "kept", "repeats"])
 
     joined = rows.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "marks")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string, repeats array<struct<start:int,end:int>>")

@@ -255,6 +255,31 @@ def test_trees_learn_from_labelled_urls(spark):
     assert sum(found[k] == ("block" if k % 2 else "allow") for k in found) >= 190
 
 
+def test_held_out_urls_of_the_labelled_table(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.sql import functions as F
+
+    rows = url_filter.with_rules(url_filter.labelled_urls(spark)).select("url", "host", "path", "blocked").distinct().withColumn("part", url_filter._fold(F.col("url")))
+    model = url_filter.UrlModel(rows.where("part > 0").drop("part"))
+    found = model.scored(rows.where("part = 0").drop("part")).select("block_score", F.col("blocked").cast("double").alias("label"))
+    assert BinaryClassificationEvaluator(rawPredictionCol="block_score").evaluate(found) > 0.95
+    suffixes = {r.suffix: (r.bad, r.n) for r in model.suffixes.collect()}
+    want = Counter()
+    for r in rows.where("part > 0").collect():
+        want[r.host.rsplit(".", 1)[-1], r.blocked] += 1
+    assert suffixes == {s: (want[s, 1], want[s, 0] + want[s, 1]) for s in {k for k, _ in want}}
+
+
+def test_verdicts_do_not_follow_the_suffix(spark, sf_dir):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = [r for r in url_filter.filter_urls(pages).collect() if r.rule is None]
+    lure = re.compile(r"casino|bets|pills|spam|ads-")
+    for suffix in ("com", "org"):
+        own = [(bool(lure.search(r.host)), r.verdict) for r in found if r.host.endswith(suffix)]
+        assert sum(v == "allow" for bad, v in own if not bad) >= 0.95 * sum(not bad for bad, _ in own)
+        assert sum(v == "block" for bad, v in own if bad) >= 0.6 * sum(bad for bad, _ in own)
+
+
 def test_entropy(spark):
     import math
 
@@ -675,8 +700,13 @@ def test_repeats(docs_of, options):
     texts = [own(k, rng.randint(0, 120)) for k in range(10, 30)]
     texts += [own(k, 40) + " " + " ".join(passage.split()[: rng.randint(30, 60)]) + " " + own(k + 100, 20) for k in range(40, 50)]
     texts += ["la " * 200, "a b " * 60, own(5, 35), own(5, 35), own(6, 34), own(6, 34), None, "", (own(7, 50) + "\n") * 3, own(8, 300), own(8, 299) + " end"]
-    found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(docs_of(list(enumerate(texts))), **options).collect()}
+    rows = {r.doc_id: r for r in substrings.remove_repeats(docs_of(list(enumerate(texts))), **options).collect()}
+    found = {k: (r.n_words, r.n_removed, r.kept) for k, r in rows.items()}
     assert [found[k] for k in range(len(texts))] == plain_repeats(texts)
+    for k, r in rows.items():
+        words, spans = (texts[k] or "").split(), [tuple(s) for s in r.repeats]
+        assert " ".join(w for i, w in enumerate(words) if not any(a <= i < b for a, b in spans)) == r.kept
+        assert all(b - a >= 35 for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
 
 
 def test_repeats_of_the_table(spark, sf_dir, rows):
