@@ -98,6 +98,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express over whole tables in reasonable time.
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_frequency": r"""
+with d as (select doc_id, coalesce(source, '') host, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
+k as (select *, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ident, row_number() over () r from d),
+raw as (select r, host, ident, unnest(string_split(t, chr(10))) line from k),
+lines as (select r, host, ident, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') lw from raw),
+norm as (select r, host, ident, line, len(lw) n, regexp_replace(
+  ' ' || translate(array_to_string(lw, '  '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || ' ', ' [0-9]+ ', ' 0 ', 'g') nl from lines where len(lw) > 0),
+size as (select host, count(distinct ident) size from k group by host),
+often as (select norm.host, nl from norm join size on norm.host = size.host group by norm.host, nl, size having count(distinct ident) >= 5 and count(distinct ident) >= 0.02 * size),
+gone as (select r, sum(n) n from norm where (host, nl) in (select host, nl from often) group by r),
+dup as (select r, count(*) - count(distinct line) n from norm group by r),
+win as (select r, unnest(range(1, len(ws) - 1)) i, ws from k),
+grams as (select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] g from win),
+twice as (select r, g from grams group by r, g having count(*) > 1),
+rep as (select r, count(distinct p) n from (select grams.r, unnest(range(i, i + 3)) p from grams join twice on grams.r = twice.r and grams.g = twice.g) x group by r),
+m as (select k.r, doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars,
+  (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint n_symbols, coalesce(dup.n, 0)::bigint n_dup_lines,
+  coalesce(rep.n, 0)::bigint n_repeat_words, coalesce(gone.n, 0)::bigint n_removed_words
+  from k left join dup on k.r = dup.r left join rep on k.r = rep.r left join gone on k.r = gone.r),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and n_removed_words <= 0.5 * n_words kept, n_removed_words from b""",
     "op9_seed_and_extend": r"""
 with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
 win as (select doc_id, i, array_to_string(ws[i:i+34], ' ') k from (select doc_id, ws, unnest(range(1, len(ws) - 33)) i from w) s),

@@ -60,6 +60,19 @@ def test_base_measures(spark, sf_dir, rows):
         assert r.base_failed == (len(words) < 50 or 100 * len(covered) > 50 * len(words)) and not (r.base_failed and r.kept)
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_against_sql(spark, sf_dir, name):
+    import duckdb
+
+    for folder in (sf_dir, "/root/testdata/sf0.01"):
+        duck = duckdb.connect()
+        duck.sql(f"create view documents as select * from '{folder}/documents.parquet'")
+        found = queries.QUERIES[name](spark, folder)
+        want = duck.sql(queries.ORACLE_SQL[name])
+        assert sorted(want.columns) == sorted(found.columns)
+        assert sorted(map(tuple, found.collect())) == sorted(want.select(*found.columns).fetchall())
+
+
 def own(k, n=70):
     return " ".join(f"d{k}w{j}" for j in range(n))
 
