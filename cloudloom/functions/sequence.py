@@ -1,46 +1,46 @@
 """Global numbering and look-back windows without moving all rows to one task.
 
 ``row_number()`` over an unpartitioned window sends everything to one task.
-Here the order is cut into ranges by quantiles of its first column; rows are
-numbered within their range, and the small table of range sizes gives the
-offsets.
+Here the rows are cut into ranges of the whole order, numbered within their
+range, and the small table of range sizes gives the offsets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import settled
 
-def range_of(value: Column, bounds: list[float]) -> Column:
-    """Number of bounds that are at most ``value``; nulls are in range 0."""
-    if not bounds:
-        return F.lit(0)
-    held = F.array(*[F.lit(b) for b in bounds])
-    return F.coalesce(F.size(F.filter(held, lambda b: b <= value)), F.lit(0))
+#: A row's number within its range is held in these many bits of ``monotonically_increasing_id``.
+_BITS = 33
 
 
-def dense_ids(df: DataFrame, order: list[str], name: str = "seq", ranges: int = 64, partition_by: list[str] | None = None) -> DataFrame:
+def dense_ids(df: DataFrame, order: list[str], name: str = "seq", ranges: int | None = None, partition_by: list[str] | None = None) -> DataFrame:
     """``df`` with ``name``: 0, 1, 2, ... in ``order`` (ascending, nulls first; a total order by choice of columns).
 
-    With ``partition_by`` each group is numbered by itself. The first order
-    column must be numeric. Repeated values of all order columns are numbered
-    in an unspecified order.
+    With ``partition_by`` each group is numbered by itself, however many rows
+    it has. ``ranges`` is the number of ranges, by default that of the
+    session's shuffle partitions; ranges are cut by all columns of the order.
+    Repeated values of all order columns are numbered in an unspecified order.
+    The numbered rows are settled, so that all who read them see the same.
     """
-    if partition_by:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)) - 1).cast("long"))
-    first = F.col(order[0]).cast("double")
-    shares = [k / ranges for k in range(1, ranges)]
-    found = df.agg(F.percentile_approx(first, shares, 1000).alias("q")).first()["q"]  # ranges - 1 numbers
-    bounds = sorted(set(found or []))
-    ranged = df.withColumn("__range", range_of(first, bounds))
-    sizes = ranged.groupBy("__range").agg(F.count("*").alias("n"))  # at most ``ranges`` rows
-    offsets = sizes.select(
-        "__range", (F.coalesce(F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("__offset")
-    )
-    numbered = ranged.withColumn("__row", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1)
+    groups = partition_by or []
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = df.repartitionByRange(parts, *groups, *order).sortWithinPartitions(*groups, *order)
+    place = F.monotonically_increasing_id()
+    numbered = settled(sorted_.withColumns({"__range": F.shiftright(place, _BITS), "__row": place.bitwiseAND((1 << _BITS) - 1)}))
+    sizes = numbered.groupBy("__range").agg(F.count("*").alias("n"))  # at most ``parts`` rows
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     joined = numbered.join(F.broadcast(offsets), "__range")
-    return joined.withColumn(name, (F.col("__row") + F.col("__offset")).cast("long")).drop("__range", "__row", "__offset")
+    whole = joined.withColumn(name, (F.col("__row") + F.col("__offset")).cast("long")).drop("__range", "__row", "__offset")
+    if not groups:
+        return whole
+    names = [f"__g{k}" for k in range(len(groups))]
+    first = whole.groupBy(*groups).agg(F.min(name).alias("__first")).toDF(*names, "__first")
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(groups, names)]
+    return whole.join(first, same).withColumn(name, F.col(name) - F.col("__first")).drop(*names, "__first")
 
 
 def last_rows(df: DataFrame, seq: str, columns: list[str], n: int, name: str = "history", block: int | None = None) -> DataFrame:

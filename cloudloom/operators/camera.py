@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,37 +14,69 @@ from .pose import with_rotation
 _POSE = ["px", "py", "pz", *(f"r{i}{j}" for i in range(3) for j in range(3))]
 
 
-def frustum_join(points: DataFrame, cameras: DataFrame, camera: Camera = Camera(), id_col: str = "cam_id", cells: int = 2) -> DataFrame:
+#: Most points of a space cell that one task meets with a camera's view; fuller cells are divided.
+CELL_POINTS = 20_000
+
+
+def frustum_join(points: DataFrame, cameras: DataFrame, camera: Camera = Camera(), id_col: str = "cam_id", cells: int = 16) -> DataFrame:
     """(cam_id, point_id, cx, cy, cz) of the points in each camera's view.
 
-    A join on space cells: each camera is sent to the cells that its view can
-    touch, each point to its own, and the exact test follows. Neither side is
-    broadcast and no point meets a camera out of reach. ``cells`` is how many
-    cells make up the reach of a view.
+    Two joins on space cells. Each camera is sent to the coarse cells (half the
+    reach of a view) that it can touch, where it meets the fine cells that hold
+    points; those that its view touches are kept. Then points meet cameras in
+    their fine cell and the exact test follows. A fine cell is a ``cells``-th
+    of the reach; one with many points is dealt out over several keys. Neither
+    side is broadcast, no point meets a camera out of reach, and no key holds
+    more than about ``CELL_POINTS`` points.
     """
-    size = camera.reach / cells
-    half = size * math.sqrt(3) / 2
-    posed = with_rotation(cameras.select(id_col, "px", "py", "pz", "qx", "qy", "qz", "qw"))
-    spread = posed.select(id_col, *_POSE)
+    reach, _ = _stretch(camera)
+    wide, fine = reach / 2, reach / cells
+    posed = with_rotation(cameras.select(id_col, "px", "py", "pz", "qx", "qy", "qz", "qw")).select(id_col, *_POSE)
+    spread, names = posed, [f"w{a}" for a in "xyz"]
     for a in "xyz":
-        low, high = F.floor((F.col(f"p{a}") - camera.reach) / size), F.floor((F.col(f"p{a}") + camera.reach) / size)
-        spread = spread.withColumn(f"i{a}", F.explode(F.sequence(low, high)))
-    if camera.body_to_camera is None:
-        # The cell's middle must be no farther outside the view than half the cell's diagonal.
-        middle = [(F.col(f"i{a}") + 0.5) * size for a in "xyz"]
-        x, y, z = into_camera(*middle, camera)
-        slack_x, slack_y = (half * math.sqrt(1 + t * t) for t in (camera.tan_x, camera.tan_y))
-        spread = spread.where(
-            z.between(camera.min_depth - half, camera.max_depth + half)
-            & (F.abs(x) <= z * camera.tan_x + slack_x) & (F.abs(y) <= z * camera.tan_y + slack_y)
-        )
-    placed = points.select("point_id", "x", "y", "z", *(F.floor(F.col(a) / size).alias(f"i{a}") for a in "xyz"))
-    met = placed.join(spread, ["ix", "iy", "iz"])
+        low, high = F.floor((F.col(f"p{a}") - reach - fine) / wide), F.floor((F.col(f"p{a}") + reach + fine) / wide)
+        spread = spread.withColumn(f"w{a}", F.explode(F.sequence(low, high)))
+    # The middle of a fine cell decides its coarse cell, so a coarse cell reaches a fine cell further than its side.
+    spread = _touching(spread, names, wide, wide + fine, camera)
+    own = [f"i{a}" for a in "xyz"]
+    placed = points.select("point_id", "x", "y", "z", *(F.floor(F.col(a) / fine).alias(n) for a, n in zip("xyz", own)))
+    full = placed.groupBy(*own).agg(F.count("*").alias("n"))
+    full = full.withColumns({w: F.floor((F.col(n) + 0.5) * (fine / wide)) for w, n in zip(names, own)})
+    views = _touching(full.join(spread, names), own, fine, fine, camera)
+    parts = F.ceil(F.col("n") / CELL_POINTS).cast("int")
+    views = views.select(id_col, *_POSE, *own, parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    divided = full.where(F.col("n") > CELL_POINTS).select(*own, parts.alias("parts"))
+    dealt = placed.join(divided, own, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("point_id", "x", "y", "z"), F.col("parts")), F.lit(0)).cast("int"))
+    met = dealt.drop("parts").join(views.drop("parts"), [*own, "part"])
     cx, cy, cz = into_camera(F.col("x"), F.col("y"), F.col("z"), camera)
-    seen = met.select(id_col, "point_id", cx.alias("cx"), cy.alias("cy"), cz.alias("cz"))
+    # By a generator, so that the formulas are worked out once and not repeated in every later condition.
+    seen = met.select(id_col, "point_id", F.inline(F.array(F.struct(cx.alias("cx"), cy.alias("cy"), cz.alias("cz")))))
     return seen.where(in_frustum(F.col("cx"), F.col("cy"), F.col("cz"), camera))
 
 
+def _stretch(camera: Camera) -> tuple[float, float]:
+    """How far from a pose its view can reach, and how much longer a distance can be in the camera's frame than in the world."""
+    if camera.body_to_camera is None:
+        return camera.reach, 1.0
+    whole = np.array(camera.body_to_camera, float).reshape(4, 4)
+    turned, shift = whole[:3, :3], whole[:3, 3]
+    return float(np.linalg.norm(turned) * camera.reach + np.linalg.norm(shift)), float(np.linalg.norm(np.linalg.inv(whole)[:3, :3]))
+
+
+def _touching(rows: DataFrame, cell: list[str], size: float, width: float, camera: Camera) -> DataFrame:
+    """Rows whose cell, taken as ``width`` wide around its middle, the camera's view may touch.
+
+    The middle must be no farther outside the view than half the diagonal.
+    """
+    half = width * math.sqrt(3) / 2 * _stretch(camera)[1]
+    x, y, z = into_camera(*((F.col(c) + 0.5) * size for c in cell), camera)
+    slack_x, slack_y = (half * math.sqrt(1 + t * t) for t in (camera.tan_x, camera.tan_y))
+    return rows.where(
+        z.between(camera.min_depth - half, camera.max_depth + half)
+        & (F.abs(x) <= z * camera.tan_x + slack_x) & (F.abs(y) <= z * camera.tan_y + slack_y)
+    )
+
+
 def projected(seen: DataFrame, camera: Camera = Camera(), margin: float | None = None) -> DataFrame:
     """Adds u, v and the pixel iu, iv; keeps what falls inside the image less its margin."""
     u, v = project(F.col("cx"), F.col("cy"), F.col("cz"), camera)

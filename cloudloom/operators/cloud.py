@@ -112,29 +112,52 @@ def append(*clouds: tuple[str, DataFrame]) -> DataFrame:
     return whole
 
 
-def knn(points: DataFrame, k: int, cell: float | None = None, id_col: str = "point_id", max_rounds: int = 12) -> DataFrame:
-    """(point_id, neighbour, dist2, rank) of the ``k`` nearest other points; ties by id.
+#: Points of a cell of the first round of k-NN, at most about, for each neighbour that is asked for.
+CELL_SHARE = 16
+
+
+def _first_at_each_place(points: DataFrame, most: int) -> DataFrame:
+    """The ``most`` least ids at each position, in two steps, so that a position with very many points is no single task's work."""
+    part = F.pmod(F.xxhash64("id"), F.lit(64))
+    rank = lambda *by: F.row_number().over(Window.partitionBy("x", "y", "z", *by).orderBy("id"))
+    some = points.withColumn("part", part).withColumn("rank", rank("part")).where(F.col("rank") <= most)
+    return some.withColumn("rank", rank()).where(F.col("rank") <= most).select("id", "x", "y", "z")
+
+
+def _fullest(points: DataFrame, size: float) -> int:
+    return with_voxel(points, size).groupBy(*_CELL).count().agg(F.max("count")).first()[0]
+
+
+def knn(points: DataFrame, k: int, cell: float | None = None, id_col: str = "point_id") -> DataFrame:
+    """(point_id, neighbour, dist2, rank) of the ``k`` nearest other points; ties by id. Exact for any ``cell``.
 
     Points are hashed into cells and compared with the 27 cells around them.
     Points whose k-th distance is not certain within that ring are asked again
-    with cells twice as large, until all are certain or the cells hold all
-    points. ``cell`` defaults to a size at which a cell holds about ``k`` points.
+    with larger cells, until all are certain or the cells hold all points.
+    Without ``cell`` the first cells are so small that even the fullest holds
+    few points, so dense places are settled first; of points at one place only
+    the first k + 1 can be neighbours. Fewer than ``k`` other points give fewer
+    rows; an empty table gives none.
     """
     pts = points.select(F.col(id_col).alias("id"), "x", "y", "z")
-    box = pts.agg(F.count("*").alias("n"), *(F.min(a).alias(f"lo{a}") for a in "xyz"), *(F.max(a).alias(f"hi{a}") for a in "xyz")).first()
+    near = settled(_first_at_each_place(pts, k + 1))
+    box = near.agg(F.count("*").alias("n"), *(F.min(a).alias(f"lo{a}") for a in "xyz"), *(F.max(a).alias(f"hi{a}") for a in "xyz")).first()
     span = max([box[f"hi{a}"] - box[f"lo{a}"] for a in "xyz"]) if box.n else 0.0
     size = cell or (max(span, 1e-9) / max((box.n / max(k, 1)) ** (1 / 3), 1.0))
+    if cell is None and box.n:
+        while size > span / 2**40 and (most := _fullest(near, size)) > CELL_SHARE * (k + 1):
+            size /= max(2.0, (most / (CELL_SHARE * (k + 1))) ** (1 / 3))
     around = F.array(*[F.struct(*(F.lit(d).alias(f"d{a}") for d, a in zip(o, "xyz"))) for o in [(i, j, m) for i in (-1, 0, 1) for j in (-1, 0, 1) for m in (-1, 0, 1)]])
-    asking, found = pts, None
-    for turn in range(max_rounds):
-        cells = with_voxel(pts, size).select("ix", "iy", "iz", F.col("id").alias("neighbour"), *(F.col(a).alias(f"n{a}") for a in "xyz"))
+    asking, found, left = pts, None, None
+    while True:
+        cells = with_voxel(near, size).select(*_CELL, F.col("id").alias("neighbour"), *(F.col(a).alias(f"n{a}") for a in "xyz"))
         asked = with_voxel(asking, size).withColumn("o", F.explode(around))
         asked = asked.withColumns({f"i{a}": F.col(f"i{a}") + F.col(f"o.d{a}") for a in "xyz"})
         dist2 = sum(((F.col(a) - F.col(f"n{a}")) * (F.col(a) - F.col(f"n{a}")) for a in "xyz"), F.lit(0.0))
         pairs = asked.join(cells, _CELL).where("id <> neighbour").select("id", "neighbour", dist2.alias("dist2"))
         nearest = Window.partitionBy("id").orderBy("dist2", "neighbour")
         ranked = settled(pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k))
-        whole = size > span or turn == max_rounds - 1
+        whole = size > span
         sure = ranked.groupBy("id").agg(F.count("*").alias("n"), F.max("dist2").alias("far"))
         sure = sure.where(F.lit(whole) | ((F.col("n") == k) & (F.col("far") <= size * size))).select("id")
         good = ranked.join(sure, "id", "left_semi")
@@ -142,9 +165,11 @@ def knn(points: DataFrame, k: int, cell: float | None = None, id_col: str = "poi
         if whole:
             break
         asking = settled(asking.join(sure, "id", "left_anti"))
-        if asking.isEmpty():
+        rest = asking.count()
+        if not rest:
             break
-        size *= 2
+        size *= 2 if left is None or rest < left else 8  # faster through empty space
+        left = rest
     return found.select(F.col("id").alias(id_col), "neighbour", "dist2", "rank")
 
 

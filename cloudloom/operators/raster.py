@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.color import file_stem, inverse_depth, quantize, rainbow
@@ -64,24 +65,71 @@ def edge_lookup(projected: DataFrame, mask: DataFrame, id_col: str = "cam_id") -
     return projected.join(mask.select(id_col, "iv", "iu").distinct(), [id_col, "iv", "iu"], "left_semi")
 
 
-def bilinear(projected: DataFrame, pixels: DataFrame, width: int, height: int, channels: list[str], id_col: str = "cam_id") -> DataFrame:
-    """Adds each channel (0..1) at (u, v), blended from the four pixels around; points that lack one are dropped."""
-    x0, y0 = F.floor("u").cast("int"), F.floor("v").cast("int")
-    x1, y1 = F.least(x0 + 1, F.lit(width - 1)), F.least(y0 + 1, F.lit(height - 1))
-    fx, fy = F.col("u") - x0, F.col("v") - y0
-    taps = F.array(*[
-        F.struct(y.alias("iv"), x.alias("iu"), w.alias("w"))
-        for y, x, w in ((y0, x0, (1 - fx) * (1 - fy)), (y0, x1, fx * (1 - fy)), (y1, x0, (1 - fx) * fy), (y1, x1, fx * fy))
-    ])
-    wide = projected.select(id_col, "point_id", F.explode(taps).alias("t")).select(id_col, "point_id", "t.iv", "t.iu", "t.w")
-    met = wide.join(pixels, [id_col, "iv", "iu"])
-    blended = met.groupBy(id_col, "point_id").agg(F.count("*").alias("n"), *((F.sum(F.col(c) * F.col("w")) / 255.0).alias(c) for c in channels))
-    return blended.where("n = 4").drop("n")
+#: Side of the square tiles in which pixels meet what looks them up: with a rim, small enough to go along with each row.
+TILE = 8
+#: Side of the tiles that a window moves over in one task.
+WINDOW_TILE = 64
+
+
+def tiles(pixels: DataFrame, channels: list[str], rim: int, id_col: str = "cam_id") -> DataFrame:
+    """(cam_id, tv, tu, tile): a map from place in the tile (row * (TILE + rim) + column) to the channels.
+
+    Each tile also holds ``rim`` pixels beyond its lower and right edge; of a
+    pixel that is there twice any one is taken.
+    """
+    side = TILE + rim
+    homes = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in range(1 + (rim > 0)) for dx in range(1 + (rim > 0))])
+    spread = pixels.withColumn("home", F.explode(homes)) if rim else pixels.withColumn("home", F.struct(F.lit(0).alias("dy"), F.lit(0).alias("dx")))
+    placed = spread.select(
+        id_col, *(F.expr(f"cast(i{a} div {TILE} - home.d{b} as int)").alias(f"t{a}") for a, b in (("v", "y"), ("u", "x"))), "iv", "iu", *channels
+    )
+    row, column = F.col("iv") - F.col("tv") * TILE, F.col("iu") - F.col("tu") * TILE
+    inside = placed.where((F.col("tv") >= 0) & (F.col("tu") >= 0) & (row < side) & (column < side))
+    entry = F.struct((row * side + column).cast("int").alias("at"), F.struct(*channels).alias("value"))
+    held = inside.groupBy(id_col, "tv", "tu").agg(F.collect_list(entry).alias("held"))
+    # Pixels of a tile are few, so repeated ones are settled by sorting them.
+    ordered = held.select(id_col, "tv", "tu", F.sort_array("held").alias("held"))
+    once = F.filter("held", lambda e, i: (i == 0) | (e["at"] != F.get("held", i - 1)["at"]))
+    return ordered.select(id_col, "tv", "tu", F.map_from_entries(once).alias("tile"))
+
+
+def _worked_out(rows: DataFrame, keep: list[str], **columns) -> DataFrame:
+    """``rows`` with columns that later steps find ready: a generator keeps their formulas out of join conditions and filters."""
+    return rows.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
 
 
-def _offsets(radius: int, inside: Callable[[int, int], bool]):
-    places = [(dy, dx) for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1) if inside(dy, dx)]
-    return F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in places])
+def _tile_of(row: Column, column: Column) -> dict[str, Column]:
+    return {"tv": F.floor(row / TILE).cast("int"), "tu": F.floor(column / TILE).cast("int")}
+
+
+def gather(rows: DataFrame, pixels: DataFrame, channels: list[str], id_col: str = "cam_id") -> DataFrame:
+    """``rows`` (with iv, iu) and the channels of their pixels; rows without one are dropped."""
+    placed = _worked_out(rows, [c for c in rows.columns if c not in ("iv", "iu")], iv=F.col("iv"), iu=F.col("iu"), **_tile_of(F.col("iv"), F.col("iu")))
+    met = placed.join(tiles(pixels, channels, 0, id_col), [id_col, "tv", "tu"])
+    at = (F.col("iv") - F.col("tv") * TILE) * TILE + F.col("iu") - F.col("tu") * TILE
+    found = met.withColumn("value", F.try_element_at("tile", at.cast("int"))).where("value is not null")
+    return found.select(*rows.columns, *(F.col(f"value.{c}").alias(c) for c in channels))
+
+
+def bilinear(projected: DataFrame, pixels: DataFrame, width: int, height: int, channels: list[str], id_col: str = "cam_id") -> DataFrame:
+    """Each channel (0..1) at (u, v), blended from the four pixels around; points that lack one are dropped.
+
+    One join on tiles of pixels, which have a rim so that all four are in the
+    tile of the first.
+    """
+    x0, y0 = F.floor("u").cast("int"), F.floor("v").cast("int")
+    placed = _worked_out(projected, [id_col, "point_id"], x0=x0, y0=y0, fx=F.col("u") - x0, fy=F.col("v") - y0, **_tile_of(y0, x0))
+    met = placed.join(tiles(pixels, channels, 1, id_col), [id_col, "tv", "tu"])
+    x1, y1 = F.least(F.col("x0") + 1, F.lit(width - 1)), F.least(F.col("y0") + 1, F.lit(height - 1))
+    side = TILE + 1
+    place = lambda y, x: ((y - F.col("tv") * TILE) * side + x - F.col("tu") * TILE).cast("int")
+    taps = {f"t{k}": F.try_element_at("tile", place(y, x)) for k, (y, x) in enumerate(((F.col("y0"), F.col("x0")), (F.col("y0"), x1), (y1, F.col("x0")), (y1, x1)))}
+    held = met.select(id_col, "point_id", *(c.alias(n) for n, c in taps.items()), "fx", "fy")
+    held = held.where(" and ".join(f"{n} is not null" for n in taps))
+    fx, fy = F.col("fx"), F.col("fy")
+    weights = ((1 - fx) * (1 - fy), fx * (1 - fy), (1 - fx) * fy, fx * fy)
+    blend = lambda c: sum((F.col(f"t{k}.{c}") * w for k, w in enumerate(weights)), F.lit(0.0)) / 255.0
+    return held.select(id_col, "point_id", *(blend(c).alias(c) for c in channels))
 
 
 def ellipse_spans(size: int) -> dict[int, int]:
@@ -90,13 +138,51 @@ def ellipse_spans(size: int) -> dict[int, int]:
     return {dy: round(r * math.sqrt((r * r - dy * dy) / (r * r))) if r else 0 for dy in range(-r, r + 1)}
 
 
+def _windowed(rows: DataFrame, radius: int, work: Callable, schema: str, id_col: str) -> DataFrame:
+    """``work`` (image id, first row, first column, rows) on square tiles with the rows around them; it returns rows of the tile alone.
+
+    A row goes to its own tile and to those that it is near; so a task holds a
+    tile and its rim, not an image.
+    """
+    near = lambda a: F.sequence(F.floor((F.col(a) - radius) / WINDOW_TILE), F.floor((F.col(a) + radius) / WINDOW_TILE))
+    sent = rows.withColumn("tv", F.explode(near("iv"))).withColumn("tu", F.explode(near("iu"))).where("tv >= 0 and tu >= 0")
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        image, tv, tu = (k.as_py() for k in key)
+        return work(image, tv * WINDOW_TILE, tu * WINDOW_TILE, part)
+
+    return sent.groupBy(id_col, "tv", "tu").applyInArrow(run, schema)
+
+
+def _grid(part: pa.Table, column: str, top: int, left: int, radius: int, fill: float, kind=np.float64) -> np.ndarray:
+    """A tile with its rim as an array."""
+    out = np.full((WINDOW_TILE + 2 * radius, WINDOW_TILE + 2 * radius), fill, kind)
+    out[part["iv"].to_numpy() - top + radius, part["iu"].to_numpy() - left + radius] = part[column].to_numpy()
+    return out
+
+
+def _table(id_col: str, image: int, top: int, left: int, found: np.ndarray, values: np.ndarray, value: str) -> pa.Table:
+    iv, iu = np.nonzero(found)
+    return pa.table({
+        id_col: pa.array(np.full(len(iv), image, np.int64)), "iv": pa.array((iv + top).astype(np.int32)), "iu": pa.array((iu + left).astype(np.int32)),
+        value: pa.array(values[iv, iu]),
+    })
+
+
 def dilate(pixels: DataFrame, size: int, width: int, height: int, value: str = "depth", id_col: str = "cam_id") -> DataFrame:
-    """Largest value within an elliptical window of odd ``size`` around each pixel that has any."""
-    spans = ellipse_spans(size)
-    spread = pixels.withColumn("o", F.explode(_offsets(size // 2, lambda dy, dx: abs(dx) <= spans[dy])))
-    moved = spread.select(id_col, (F.col("iv") + F.col("o.dy")).alias("iv"), (F.col("iu") + F.col("o.dx")).alias("iu"), value)
-    inside = F.col("iv").between(0, height - 1) & F.col("iu").between(0, width - 1)
-    return moved.where(inside).groupBy(id_col, "iv", "iu").agg(F.max(value).alias(value))
+    """Largest value within an elliptical window of odd ``size`` around each pixel that has any; values are numbers, nulls are left out."""
+    spans, radius = ellipse_spans(size), size // 2
+    kind = pixels.schema[value].dataType.simpleString()
+
+    def grown(image: int, top: int, left: int, part: pa.Table) -> pa.Table:
+        wide = _grid(part, value, top, left, radius, -np.inf, np.float32 if kind == "float" else np.float64)
+        best = _window(wide, spans, np.maximum, -np.inf)[radius : radius + WINDOW_TILE, radius : radius + WINDOW_TILE]
+        best = best[: max(0, height - top), : max(0, width - left)]
+        return _table(id_col, image, top, left, best > -np.inf, best, value)
+
+    rows = pixels.where(F.col(value).isNotNull()).select(F.col(id_col).cast("long").alias(id_col), F.col("iv").cast("int").alias("iv"), F.col("iu").cast("int").alias("iu"), value)
+    shape = "float" if kind == "float" else "double"
+    return _windowed(rows, radius, grown, f"{id_col} long, iv int, iu int, {value} {shape}", id_col)
 
 
 def weighted_depth(
@@ -108,18 +194,27 @@ def weighted_depth(
     a value; the colour cut-off is nine times the variance.
     """
     limit = int(9 * sigma_c * sigma_c) + 1
-    near = _offsets(radius, lambda dy, dx: True)
-    source = depths.where("depth > 0").join(guide, [id_col, "iv", "iu"])
-    spread = source.withColumn("o", F.explode(near)).select(
-        id_col, (F.col("iv") + F.col("o.dy")).alias("iv"), (F.col("iu") + F.col("o.dx")).alias("iu"),
-        F.col("depth").cast("double").alias("d"), (F.col("o.dy") * F.col("o.dy") + F.col("o.dx") * F.col("o.dx")).alias("d2"),
-        *(F.col(c).alias(f"s{c}") for c in "rgb"),
-    )
-    color = sum(((F.col(c) - F.col(f"s{c}")) * (F.col(c) - F.col(f"s{c}")) for c in "rgb"), F.lit(0))
-    weight = F.exp(-F.col("d2") / (2.0 * sigma_s * sigma_s)) * F.exp(-F.col("c2") / (2.0 * sigma_c * sigma_c))
-    met = spread.join(guide, [id_col, "iv", "iu"]).withColumn("c2", color).where(F.col("c2") < limit).withColumn("w", weight)
-    found = met.groupBy(id_col, "iv", "iu").agg(F.sum("w").alias("sw"), (F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("depth"))
-    return found.where("sw > 1e-6").select(id_col, "iv", "iu", "depth")
+    own = depths.where("depth > 0").select(id_col, "iv", "iu", F.col("depth").cast("double").alias("depth"))
+    rows = guide.select(id_col, "iv", "iu", *(F.col(c).cast("double").alias(c) for c in "rgb")).join(own, [id_col, "iv", "iu"], "left")
+    rows = rows.select(F.col(id_col).cast("long").alias(id_col), F.col("iv").cast("int").alias("iv"), F.col("iu").cast("int").alias("iu"), *"rgb", F.coalesce("depth", F.lit(0.0)).alias("depth"))
+
+    def smoothed(image: int, top: int, left: int, part: pa.Table) -> pa.Table:
+        depth = _grid(part, "depth", top, left, radius, 0.0)
+        colors = [_grid(part, c, top, left, radius, np.nan) for c in "rgb"]
+        inner = slice(radius, radius + WINDOW_TILE)
+        total, share = np.zeros((WINDOW_TILE, WINDOW_TILE)), np.zeros((WINDOW_TILE, WINDOW_TILE))
+        for dy in range(-radius, radius + 1):
+            for dx in range(-radius, radius + 1):
+                there = slice(radius + dy, radius + dy + WINDOW_TILE), slice(radius + dx, radius + dx + WINDOW_TILE)
+                apart = sum((c[inner, inner] - c[there]) ** 2 for c in colors)
+                with np.errstate(invalid="ignore"):
+                    w = np.where((apart < limit) & (depth[there] > 0), np.exp(-(dy * dy + dx * dx) / (2.0 * sigma_s**2)) * np.exp(-apart / (2.0 * sigma_c**2)), 0.0)
+                share += w
+                total += w * depth[there]
+        good = share > 1e-6
+        return _table(id_col, image, top, left, good, np.divide(total, share, out=np.zeros_like(total), where=good), "depth")
+
+    return _windowed(rows, radius, smoothed, f"{id_col} long, iv int, iu int, depth double", id_col)
 
 
 def _restored(filled: DataFrame, depths: DataFrame, id_col: str) -> DataFrame:
@@ -136,13 +231,21 @@ def densify_guided(depths: DataFrame, guide: DataFrame, width: int, height: int,
 
 
 def _window(image: np.ndarray, spans: dict[int, int], best, fill: float) -> np.ndarray:
-    r = max(spans)
+    """Best value within rows of these half widths around each pixel: running bests of each row by doubling, then one look a row and side."""
+    r = max(max(spans), max(spans.values()))
     wide = np.pad(image, r, constant_values=fill)
     out = np.full_like(image, fill)
     h, w = image.shape
+    power = [wide]  # power[k][:, x] is the best of 2 ** k values from x on
+    while 2 ** len(power) <= 2 * max(spans.values()) + 1:
+        last, step = power[-1], 2 ** (len(power) - 1)
+        power.append(best(last[:, :-step], last[:, step:]))
     for dy, half in spans.items():
-        for dx in range(-half, half + 1):
-            out = best(out, wide[r + dy : r + dy + h, r + dx : r + dx + w])
+        size = 2 * half + 1
+        k = size.bit_length() - 1
+        row = slice(r + dy, r + dy + h)
+        first, second = r - half, r + half + 1 - 2**k
+        out = best(out, best(power[k][row, first : first + w], power[k][row, second : second + w]))
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import settled
 from ..functions.geometry import Camera, rotation_to_quaternion
 from ..functions.sequence import dense_ids
 from ..operators import camera as cams
@@ -33,16 +34,20 @@ def registration_cloud(points: DataFrame, config: Config, edges: DataFrame | Non
     ``source`` is 0 for voxels, 1 for the sphere, 2 for edges.
     """
     cleaned = clean_cloud(points, config)
-    voxels = cloud.voxel_downsample(cleaned, config.voxel_size)
-    parts = dense_ids(voxels, ["ix", "iy", "iz"], "ordinal").select(F.lit(0).alias("source"), "ordinal", "x", "y", "z")
-    if config.sphere_points:
-        center = cloud.centroid(voxels).first()
-        if center.n:
-            ball = cloud.sphere_points(points.sparkSession, config.sphere_points, config.sphere_radius, (center.cx, center.cy, center.cz))
-            parts = parts.unionByName(ball.select(F.lit(1).alias("source"), "ordinal", "x", "y", "z"))
+    voxels = settled(cloud.voxel_downsample(cleaned, config.voxel_size))
+    parts = {0: dense_ids(voxels, ["ix", "iy", "iz"], "ordinal")}
+    center = cloud.centroid(voxels).first()
+    if config.sphere_points and center.n:
+        parts[1] = cloud.sphere_points(points.sparkSession, config.sphere_points, config.sphere_radius, (center.cx, center.cy, center.cz))
     if edges is not None:
-        parts = parts.unionByName(edges.select(F.lit(2).alias("source"), F.col("point_id").alias("ordinal"), "x", "y", "z"))
-    return dense_ids(parts, ["source", "ordinal"], "point_id", ranges=3)
+        parts[2] = dense_ids(edges.select("point_id", "x", "y", "z"), ["point_id"], "ordinal")
+    whole, begin = None, 0
+    for source, part in parts.items():
+        # Each part is numbered already; it begins where those before it end.
+        rows = part.select(F.lit(source).alias("source"), "ordinal", "x", "y", "z", (F.col("ordinal") + begin).cast("long").alias("point_id"))
+        whole = rows if whole is None else whole.unionByName(rows)
+        begin += part.count()
+    return whole
 
 
 def edge_points(points: DataFrame, poses: DataFrame, grey: DataFrame, config: Config, hidden: bool = True) -> DataFrame:

@@ -12,7 +12,8 @@ from .functions import geometry as geo
 from .functions.sequence import dense_ids
 from .operators import batches, camera, cloud, fusion, pose, raster, tracks, visibility
 from .plans import reconstruct
-from .plans.fixtures import CAMERA, duckdb_with, view
+from .plans.fixtures import CAMERA, GAP, duckdb_with, view
+from .plans.fixtures import raster as images
 from .sources import png
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,10 +90,15 @@ def slerp(spark, d):
     return found.select("image_id", *(_round(F.col(q)).alias(q) for q in ("qx", "qy", "qz", "qw")))
 
 
-@query()
+_FULL = _SLERP_SQL.rsplit("select image_id", 1)
+
+
+@query(_FULL[0] + ", turned as (select image_id" + _FULL[1] + "), moved as (select image_id, t, before_id is not null and after_id is not null matched, " + ", ".join(
+    _LERP.replace("{p}", p) for p in ("px", "py", "pz")) + " from bracket) select * from moved join turned using (image_id)")
 def pose_interpolation(spark, d):
     """The flagship: full poses at every camera trigger."""
-    return pose.interpolated(_brackets(spark, d))
+    found = pose.interpolated(_brackets(spark, d))
+    return found.select("image_id", "t", "matched", "px", "py", "pz", *(_round(F.col(q)).alias(q) for q in ("qx", "qy", "qz", "qw")))
 
 
 @query("select event_id, cast(epoch_us(ts) // 1000000 as double) + cast(epoch_us(ts) % 1000000 * 1000 as double) * 1e-9 t from events")
@@ -264,11 +270,11 @@ def spherical_flip(spark, d):
 
 _AXIS = "r0{k}*(x-px)+r1{k}*(y-py)+r2{k}*(z-pz) c{a}"
 _ALL = "select cam_id, point_id, " + ", ".join(_AXIS.format(k=k, a=a) for k, a in enumerate("xyz")) + " from rot, fx_points"
-_SEEN = f"select * from ({_ALL}) c where cz between 1e0 and 2e2 and abs(cx) < cz*(640/6e2) and abs(cy) < cz*(480/6e2)"
-_UV = "select *, 3e2*cx/cz+3.2e2 u, 3e2*cy/cz+2.4e2 v from seen"
+_SEEN = f"select * from ({_ALL}) c where cz between 1e0 and 2e2 and abs(cx) < cz*(160/3e2) and abs(cy) < cz*(120/3e2)"
+_UV = "select *, 15e1*cx/cz+8e1 u, 15e1*cy/cz+6e1 v from seen"
 _HALF = "case when {c}<0 then -floor(-{c}+5e-1) else floor({c}+5e-1) end"
-_PIX = (f"select *, cast(greatest(least({_HALF.format(c='u')}, 639), 0) as integer) iu, cast(greatest(least({_HALF.format(c='v')}, 479), 0) as integer) iv from uv "
-        "where u >= 6.4e0 and u < 633.6e0 and v >= 4.8e0 and v < 475.2e0")
+_PIX = (f"select *, cast(greatest(least({_HALF.format(c='u')}, 159), 0) as integer) iu, cast(greatest(least({_HALF.format(c='v')}, 119), 0) as integer) iv from uv "
+        "where u >= 1.6e0 and u < 158.4e0 and v >= 1.2e0 and v < 118.8e0")
 _Z = "select cam_id, iv, iu, min(cast(cz as float)) depth from pix group by all"
 _VIEWED = duckdb_with("fx_camera", "fx_points", rot=_CAM_ROT, seen=_SEEN)
 _PIXED = duckdb_with("fx_camera", "fx_points", rot=_CAM_ROT, seen=_SEEN, uv=_UV, pix=_PIX, zb=_Z)
@@ -286,9 +292,11 @@ def _depths(spark, d):
     return raster.zbuffer(_pixels(spark, d))
 
 
-@query(duckdb_with("fx_camera", "fx_points", rot=_CAM_ROT) + _ALL.replace("from rot, fx_points", "from rot join fx_points on point_id % 24 + 1 = cam_id"))
+@query(duckdb_with("fx_camera", "fx_points", rot=_CAM_ROT) + _ALL.replace("from rot, fx_points", "from rot join fx_points on point_id % (select count(*) from supplier) + 1 = cam_id"))
 def transform_points(spark, d):
-    points = view(spark, d, "fx_points").withColumn("cam_id", F.col("point_id") % 24 + 1)
+    """Each point is dealt to one camera."""
+    n = view(spark, d, "fx_camera").count()
+    points = view(spark, d, "fx_points").withColumn("cam_id", F.col("point_id") % n + 1)
     met = points.join(pose.with_rotation(view(spark, d, "fx_camera")).drop("qx", "qy", "qz", "qw"), "cam_id")
     c = geo.into_camera(F.col("x"), F.col("y"), F.col("z"), CAMERA)
     return met.select("cam_id", "point_id", *(v.alias(f"c{a}") for v, a in zip(c, "xyz")))
@@ -299,7 +307,7 @@ def in_frustum(spark, d):
     return _seen(spark, d)
 
 
-@query(_VIEWED.replace("and abs(cx) < cz*(640/6e2) and abs(cy) < cz*(480/6e2)", "") + "select cam_id, count(*) n from seen where point_id % 24 + 1 = cam_id group by cam_id")
+@query(_VIEWED.replace("and abs(cx) < cz*(160/3e2) and abs(cy) < cz*(120/3e2)", "") + "select cam_id, count(*) n from seen where point_id % (select count(*) from supplier) + 1 = cam_id group by cam_id")
 def depth_range(spark, d):
     rows = transform_points(spark, d)
     return rows.where(geo.in_depth(F.col("cz"), CAMERA)).groupBy("cam_id").agg(F.count("*").alias("n"))
@@ -315,7 +323,7 @@ def pixel_index(spark, d):
     return _pixels(spark, d).select("cam_id", "point_id", "iv", "iu")
 
 
-@query(_PIXED + "select cam_id, count(*) n from uv where u >= 0 and u < 640 and v >= 0 and v < 480 group by cam_id")
+@query(_PIXED + "select cam_id, count(*) n from uv where u >= 0 and u < 160 and v >= 0 and v < 120 group by cam_id")
 def in_image(spark, d):
     return camera.projected(_seen(spark, d), CAMERA, 0.0).groupBy("cam_id").agg(F.count("*").alias("n"))
 
@@ -338,7 +346,7 @@ def encode_inverse_depth(spark, d):
     return raster.encoded(_depths(spark, d)).select("cam_id", "iv", "iu", "code")
 
 
-_SUMMARY = "select cam_id, count(*) n_valid, min(depth) d_min, max(depth) d_max, count(*)*1e2/307200 coverage from zb where depth > 0 group by cam_id"
+_SUMMARY = "select cam_id, count(*) n_valid, min(depth) d_min, max(depth) d_max, count(*)*1e2/19200 coverage from zb where depth > 0 group by cam_id"
 
 
 @query(_PIXED + _SUMMARY)
@@ -358,15 +366,18 @@ def normalize_depth(spark, d):
     return raster.normalized(_depths(spark, d)).select("cam_id", "iv", "iu", _round(F.col("level")).alias("level"))
 
 
+def _there(y: str, x: str) -> str:
+    """Whether the procedural image has this pixel."""
+    return f"(({x}) // {GAP} + ({y}) // {GAP} + cam_id) % 7 <> 0"
+
+
 _MASK = "(iu*7 + iv*13 + cam_id*31) % 256 >= 200"
 
 
-@query(_PIXED + f"select cam_id, point_id from pix where {_MASK}")
+@query(_PIXED + f"select cam_id, point_id from pix where {_MASK} and {_there('iv', 'iu')}")
 def edge_lookup(spark, d):
     """Points on set pixels of a procedural mask."""
-    p = _pixels(spark, d)
-    mask = p.select("cam_id", "iv", "iu").where(_MASK)
-    return raster.edge_lookup(p, mask).select("cam_id", "point_id")
+    return raster.edge_lookup(_pixels(spark, d), images(spark, d).where(_MASK)).select("cam_id", "point_id")
 
 
 @query(_PIXED + f"select distinct point_id from pix where {_MASK}")
@@ -380,40 +391,32 @@ def edge_dedup(spark, d):
     return raster.keep_edges(edge, view(spark, d, "fx_points"), 2.0).select("ix", "iy", "iz", "point_id")
 
 
-def _grey(p):
-    """All pixels around projected points, with procedural values."""
-    near = p.select("cam_id", F.explode(F.array(*[F.struct((F.floor("v") + y).cast("int").alias("iv"), (F.floor("u") + x).cast("int").alias("iu")) for y in (0, 1) for x in (0, 1)])).alias("t"))
-    near = near.select("cam_id", F.least("t.iv", F.lit(479)).alias("iv"), F.least("t.iu", F.lit(639)).alias("iu")).distinct()
-    return near.withColumn("grey", (F.col("iu") * 7 + F.col("iv") * 13 + F.col("cam_id") * 31) % 256)
-
-
 def _tap(y: str, x: str) -> str:
     return f"(({x})*7 + ({y})*13 + cam_id*31) % 256"
 
 
-_BIL = _PIXED + """, b as (select *, floor(u)::bigint x0, floor(v)::bigint y0, u-floor(u) fx, v-floor(v) fy, least(floor(u)::bigint+1, 639) x1, least(floor(v)::bigint+1, 479) y1 from pix)
-select cam_id, point_id, floor((""" + f"({_tap('y0', 'x0')})*((1-fx)*(1-fy)) + ({_tap('y0', 'x1')})*(fx*(1-fy)) + ({_tap('y1', 'x0')})*((1-fx)*fy) + ({_tap('y1', 'x1')})*(fx*fy)" + ")/255e0*1e6+0.5)/1e6 grey from b"
+_BIL = _PIXED + """, b as (select *, floor(u)::bigint x0, floor(v)::bigint y0, u-floor(u) fx, v-floor(v) fy, least(floor(u)::bigint+1, 159) x1, least(floor(v)::bigint+1, 119) y1 from pix)
+select cam_id, point_id, floor((""" + f"({_tap('y0', 'x0')})*((1-fx)*(1-fy)) + ({_tap('y0', 'x1')})*(fx*(1-fy)) + ({_tap('y1', 'x0')})*((1-fx)*fy) + ({_tap('y1', 'x1')})*(fx*fy)" + ")/255e0*1e6+0.5)/1e6 grey from b where " + " and ".join(_there(y, x) for y in ("y0", "y1") for x in ("x0", "x1"))
 
 
 @query(_BIL)
 def bilinear_sample(spark, d):
-    p = _pixels(spark, d)
-    found = raster.bilinear(p, _grey(p), CAMERA.width, CAMERA.height, ["grey"])
+    p = _pixels(spark, d).select("cam_id", "point_id", "u", "v")
+    found = raster.bilinear(p, images(spark, d), CAMERA.width, CAMERA.height, ["grey"])
     return found.select("cam_id", "point_id", _round(F.col("grey")).alias("grey"))
 
 
-@query(_PIXED + f"select cam_id, point_id, {_tap('iv', 'iu')} grey from pix")
+@query(_PIXED + f"select cam_id, point_id, {_tap('iv', 'iu')} grey from pix where {_there('iv', 'iu')}")
 def raster_gather(spark, d):
-    p = _pixels(spark, d)
-    return p.join(_grey(p.withColumns({"u": F.col("iu").cast("double"), "v": F.col("iv").cast("double")})), ["cam_id", "iv", "iu"]).select("cam_id", "point_id", "grey")
+    return raster.gather(_pixels(spark, d).select("cam_id", "point_id", "iv", "iu"), images(spark, d), ["grey"]).select("cam_id", "point_id", "grey")
 
 
 _ELLIPSE7 = [(dy, dx) for dy, half in raster.ellipse_spans(7).items() for dx in range(-half, half + 1)]
 
 
-@query(_PIXED + ", o(dy, dx) as (values " + ", ".join(map(str, _ELLIPSE7)) + ") select cam_id, cast(iv+dy as integer) iv, cast(iu+dx as integer) iu, max(depth) depth from zb, o where cam_id <= 4 and iv+dy between 0 and 479 and iu+dx between 0 and 639 group by all")
+@query(_PIXED + ", o(dy, dx) as (values " + ", ".join(map(str, _ELLIPSE7)) + ") select cam_id, cast(iv+dy as integer) iv, cast(iu+dx as integer) iu, max(depth) depth from zb, o where iv+dy between 0 and 119 and iu+dx between 0 and 159 group by all")
 def dilate(spark, d):
-    return raster.dilate(_depths(spark, d).where("cam_id <= 4"), 7, CAMERA.width, CAMERA.height)
+    return raster.dilate(_depths(spark, d), 7, CAMERA.width, CAMERA.height)
 
 
 def _guide(depths):
@@ -424,26 +427,34 @@ def _guide(depths):
 _COLOR = ", ".join(f"(iu*{k} + iv*3 + cam_id) % 7 {c}" for c, k in zip("rgb", (1, 2, 5)))
 
 
-@query(_PIXED + f""", g as (select cam_id, iv, iu, depth, {_COLOR} from zb where cam_id <= 4),
-p as (select a.cam_id, a.iv, a.iu, cast(b.depth as double) d, exp(-((a.iv-b.iv)*(a.iv-b.iv)+(a.iu-b.iu)*(a.iu-b.iu))/18e0)
+_WEIGHTED = f""", g as materialized (select cam_id, iv, iu, cam_id*1000000 + iv*1000 + iu as key, depth, {_COLOR} from zb),
+p as (select a.cam_id, a.iv, a.iu, cast(b.depth as double) d, exp(-(dy*dy+dx*dx)/18e0)
  * exp(-((a.r-b.r)*(a.r-b.r)+(a.g-b.g)*(a.g-b.g)+(a.b-b.b)*(a.b-b.b))/18e0) w
- from g a join g b on a.cam_id = b.cam_id and b.iv between a.iv-4 and a.iv+4 and b.iu between a.iu-4 and a.iu+4
- where (a.r-b.r)*(a.r-b.r)+(a.g-b.g)*(a.g-b.g)+(a.b-b.b)*(a.b-b.b) < 82)
-select cam_id, iv, iu, floor(sum(w*d)/sum(w)*1e5+0.5)/1e5 depth from p group by all having sum(w) > 1e-6""")
+ from (select g.*, key + dy*1000 + dx as near, dy, dx from g, (select unnest(range(-4, 5)) dy) y, (select unnest(range(-4, 5)) dx) x) a
+ join g b on b.key = a.near
+ where (a.r-b.r)*(a.r-b.r)+(a.g-b.g)*(a.g-b.g)+(a.b-b.b)*(a.b-b.b) < 82),
+wd as (select cam_id, iv, iu, sum(w*d)/sum(w) depth from p group by all having sum(w) > 1e-6)"""
+
+
+@query(_PIXED + _WEIGHTED + " select cam_id, iv, iu, floor(depth*1e5+0.5)/1e5 depth from wd")
 def weighted_depth(spark, d):
-    z = _depths(spark, d).where("cam_id <= 4")
+    z = _depths(spark, d)
     return raster.weighted_depth(z, _guide(z)).select("cam_id", "iv", "iu", _round(F.col("depth"), 5).alias("depth"))
 
 
-@query()
+@query(_PIXED + _WEIGHTED + ", o(dy, dx) as (values " + ", ".join(map(str, _ELLIPSE7)) + """),
+dil as (select cam_id, iv+dy iv, iu+dx iu, max(depth) depth from wd, o where iv+dy between 0 and 119 and iu+dx between 0 and 159 group by all)
+select dil.cam_id, cast(dil.iv as integer) iv, cast(dil.iu as integer) iu, floor(coalesce(cast(zb.depth as double), dil.depth)*1e5+0.5)/1e5 depth
+from dil left join zb on dil.cam_id = zb.cam_id and dil.iv = zb.iv and dil.iu = zb.iu""")
 def densify_guided(spark, d):
-    z = _depths(spark, d).where("cam_id <= 4")
-    return raster.densify_guided(z, _guide(z), CAMERA.width, CAMERA.height)
+    z = _depths(spark, d)
+    found = raster.densify_guided(z, _guide(z), CAMERA.width, CAMERA.height)
+    return found.select("cam_id", "iv", "iu", _round(F.col("depth"), 5).alias("depth"))
 
 
 @query()
 def densify_morphological(spark, d):
-    return raster.densify_morphological(_depths(spark, d).where("cam_id <= 2"), CAMERA.width, CAMERA.height).where("depth > 0")
+    return raster.densify_morphological(_depths(spark, d), CAMERA.width, CAMERA.height).where("depth > 0")
 
 
 @query()
@@ -473,12 +484,12 @@ def quantize_color(spark, d):
     return fusion.quantized(median_color(spark, d))
 
 
-_COLORED = f"select m.point_id, {_QUANT}, x, y, z from ({_MEDIAN.replace('group by', 'where r > 9e-1 group by')}) m join fx_points p on m.point_id = p.point_id"
+_COLORED = f"select m.point_id, {_QUANT}, x, y, z from ({_MEDIAN}) m join fx_points p on m.point_id = p.point_id"
 
 
 def _colored(spark, d):
-    bright = view(spark, d, "fx_obs").where("r > 9e-1")
-    return fusion.attach_geometry(fusion.quantized(fusion.median_color(bright)).drop("n_obs"), view(spark, d, "fx_points"))
+    colors = fusion.quantized(fusion.median_color(view(spark, d, "fx_obs")))
+    return fusion.attach_geometry(colors.drop("n_obs"), view(spark, d, "fx_points"))
 
 
 @query(duckdb_with("fx_obs", "fx_points") + _COLORED)
@@ -486,9 +497,9 @@ def attach_geometry(spark, d):
     return _colored(spark, d)
 
 
-@query(duckdb_with("fx_obs", "fx_points") + "select point_id from fx_points where point_id not in (select point_id from fx_obs where r > 9e-1)")
+@query(duckdb_with("fx_obs", "fx_points") + "select point_id from fx_points where point_id not in (select point_id from fx_obs)")
 def uncolored_points(spark, d):
-    return fusion.uncolored_points(view(spark, d, "fx_points"), view(spark, d, "fx_obs").where("r > 9e-1")).select("point_id")
+    return fusion.uncolored_points(view(spark, d, "fx_points"), view(spark, d, "fx_obs")).select("point_id")
 
 
 @query(duckdb_with("fx_obs", "fx_points", col=_COLORED) + "select point_id, row_number() over (order by point_id) - 1 point3d_id from col")
@@ -552,10 +563,21 @@ def path_history(spark, d):
     return batches.path_history(view(spark, d, "fx_odom"), 100, ["t", "odom_id"], "odom_id")
 
 
-@query()
+_SCANS = "select user_id session_id, event_id, cast(floor(\"value\") as bigint) n, row_number() over (partition by user_id order by event_id) k from events"
+
+
+@query(f"""with recursive s as ({_SCANS}), walk as (
+  select session_id, k, event_id, n, 0::bigint batch, 1 cnt, n points, event_id first_index, n >= 500 or 1 >= 20 closed from s where k = 1
+  union all
+  select s.session_id, s.k, s.event_id, s.n, w.batch + case when w.closed then 1 else 0 end, case when w.closed then 1 else w.cnt + 1 end,
+    case when w.closed then s.n else w.points + s.n end, case when w.closed then s.event_id else w.first_index end,
+    case when w.closed then s.n >= 500 or 1 >= 20 else w.points + s.n >= 500 or w.cnt + 1 >= 20 end
+  from walk w join s on s.session_id = w.session_id and s.k = w.k + 1)
+select session_id, batch, max(first_index) first_index, max(event_id) last_index, max(points)::bigint n_points, max(points) >= 500 by_size
+from walk group by session_id, batch""")
 def accumulate_scans(spark, d):
     """Events of a user as scans of a session, their values as sizes."""
-    scans = spark.read.parquet(f"{d}/events.parquet").select((F.col("user_id") % 50).alias("session_id"), F.col("event_id").alias("index"), F.floor("value").alias("n_points"))
+    scans = spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").alias("session_id"), F.col("event_id").alias("index"), F.floor("value").alias("n_points"))
     return batches.accumulate(scans, 500, 20)
 
 
@@ -567,13 +589,27 @@ def depth_overlay(spark, d):
     return raster.overlay_colors(_pixels(spark, d))
 
 
-@query()
+_CHANNELS = {c: k for c, k in zip("rgb", (1, 3, 5))}
+
+
+def _blend(k: int) -> str:
+    tap = lambda y, x: f"(({_tap(y, x)})*{k} % 256)"
+    return f"({tap('y0', 'x0')}*((1-fx)*(1-fy)) + {tap('y0', 'x1')}*(fx*(1-fy)) + {tap('y1', 'x0')}*((1-fx)*fy) + {tap('y1', 'x1')}*(fx*fy))/255e0"
+
+
+@query(_BIL.rsplit("select cam_id", 1)[0] + ", obs as (select point_id, " + ", ".join(f"{_blend(k)} {c}" for c, k in _CHANNELS.items()) + " from b where " + " and ".join(
+    _there(y, x) for y in ("y0", "y1") for x in ("x0", "x1")) + f"), m as (select point_id, count(*) n_obs, median(r) r, median(g) g, median(b) b from obs group by point_id), " + """
+q as (select row_number() over (order by m.point_id) - 1 point3d_id, m.point_id, n_obs, x, y, z, r, g, b from m join fx_points p on m.point_id = p.point_id)
+select point3d_id, point_id, n_obs, x, y, z, """ + _QUANT + " from q")
 def colored_cloud(spark, d):
     """End to end: views, colours from procedural images, medians, quantised and numbered."""
-    p = _pixels(spark, d)
-    pixels = _grey(p).withColumns({c: (F.col("grey") * k) % 256 for c, k in zip("rgb", (1, 3, 5))})
-    colors = raster.bilinear(p, pixels, CAMERA.width, CAMERA.height, ["r", "g", "b"])
-    return reconstruct.colored_cloud(view(spark, d, "fx_points"), colors)
+    return reconstruct.colored_cloud(view(spark, d, "fx_points"), _observed(spark, d))
+
+
+def _observed(spark, d):
+    p = _pixels(spark, d).select("cam_id", "point_id", "u", "v")
+    pixels = images(spark, d).withColumns({c: (F.col("grey") * k) % 256 for c, k in _CHANNELS.items()})
+    return raster.bilinear(p, pixels, CAMERA.width, CAMERA.height, list("rgb"))
 
 
 @query()

@@ -68,6 +68,9 @@ def test_frustum_join_is_the_cross_product_filtered(spark):
         found = camera.frustum_join(points, cams, lens, cells=cells)
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
     moved = geo.Camera(max_depth=40.0, body_to_camera=(0, 0, 1, 0.5, -1, 0, 0, 0.1, 0, -1, 0, 0.2, 0, 0, 0, 1))
+    c = geo.into_camera(F.col("x"), F.col("y"), F.col("z"), moved)
+    want = posed.select("cam_id", "point_id", *(v.alias(f"c{a}") for v, a in zip(c, "xyz"))).where(geo.in_frustum(F.col("cx"), F.col("cy"), F.col("cz"), moved))
+    assert sorted(map(tuple, camera.frustum_join(points, cams, moved).collect())) == sorted(map(tuple, want.collect()))
     inverse = np.linalg.inv(np.array(moved.body_to_camera, float).reshape(4, 4))
     r = camera.frustum_join(points, cams, moved).first()
     p = points.where(F.col("point_id") == r.point_id).first()
@@ -77,6 +80,13 @@ def test_frustum_join_is_the_cross_product_filtered(spark):
     assert np.allclose(inverse @ [*local, 1], [r.cx, r.cy, r.cz, 1])
 
 
+def test_full_cells_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(camera, "CELL_POINTS", 7)
+    points = spark.range(200).select(F.col("id").alias("point_id"), F.lit(0.1).alias("x"), F.lit(0.2).alias("y"), (F.col("id") * 0.01).alias("z"))
+    cams = spark.createDataFrame([(k, 0.0, 0.0, -10.0 - k, 0.0, 0.0, 0.0, 1.0) for k in range(3)], "cam_id long, px double, py double, pz double, qx double, qy double, qz double, qw double")
+    assert camera.frustum_join(points, cams, geo.Camera(max_depth=40.0)).select("cam_id", "point_id").distinct().count() == 600
+
+
 def test_hull_keeps_corners_and_drops_the_inside():
     rng = np.random.default_rng(1)
     cube = np.array([(x, y, z) for x in (0, 1) for y in (0, 1) for z in (0, 1)], float)
@@ -175,3 +185,38 @@ def test_replayed_maps_are_unweighted(spark):
     assert cloud.replayed_map([one, two], 1.0, 3).count() == 2
     exact = cloud.centroids(cloud.merge_sums(cloud.voxel_sums(one, 1.0), cloud.voxel_sums(two, 1.0)))
     assert abs(exact.first().x - 0.35) < 1e-12
+
+
+def _plain_neighbours(rows, k):
+    out = set()
+    for a in rows:
+        near = sorted((sum((p - q) ** 2 for p, q in zip(a[1:], b[1:])), b[0]) for b in rows if b[0] != a[0])[:k]
+        out |= {(a[0], b, r + 1) for r, (_, b) in enumerate(near)}
+    return out
+
+
+@pytest.mark.parametrize("cell", [None, 1e-4, 3.0, 500.0])
+def test_neighbours_are_exact_for_any_cell(spark, cell):
+    rng = np.random.default_rng(5)
+    half = rng.normal(0, 0.01, (60, 3))  # half of all points in one small place, some at one position
+    half[:20] = half[0]
+    rows = [(k, *map(float, p)) for k, p in enumerate(np.vstack([half, rng.uniform(-100, 100, (60, 3))]))]
+    df = spark.createDataFrame(rows, "point_id long, x double, y double, z double")
+    found = {(r.point_id, r.neighbour, r.rank) for r in cloud.knn(df, 4, cell).collect()}
+    assert found == _plain_neighbours(rows, 4)
+
+
+def test_neighbours_of_few_points(spark):
+    shape = "point_id long, x double, y double, z double"
+    rows = [(1, 0.0, 0.0, 0.0), (2, 50.0, 0.0, 0.0), (3, 0.0, 90.0, 0.0)]
+    assert cloud.knn(spark.createDataFrame(rows, shape), 2, cell=1e-4).count() == 6
+    assert cloud.knn(spark.createDataFrame(rows[:1], shape), 2).count() == 0
+    assert cloud.knn(spark.createDataFrame([], shape), 2).count() == 0
+
+
+def test_groups_are_numbered_each_by_itself(spark):
+    rows = [(g, v) for g in (None, 1, 2, 3) for v in range(37 * (g or 1))]
+    df = spark.createDataFrame(rows, "g int, v int").repartition(5)
+    assert all(r.seq == r.v for r in dense_ids(df, ["v"], partition_by=["g"]).collect())
+    same = spark.range(1000).select(F.lit(7).alias("t"), "id")  # one value in the first column
+    assert all(r.seq == r.id for r in dense_ids(same, ["t", "id"], ranges=6).collect())
