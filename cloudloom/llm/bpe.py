@@ -29,6 +29,8 @@ from .common import Memo, raw, slices
 
 #: Most words whose tokens a task remembers, and the longest such word.
 WORD_MEMO, LONG_WORD = 250_000, 200
+#: Most pairs of tokens of which a machine remembers whether they fit.
+PAIRS = 200_000
 #: Characters of a text that the machine takes at a time.
 PIECE = 1 << 16
 #: Symbols after which the machine of a word looks for stable tokens.
@@ -89,6 +91,18 @@ def sufficient_lookahead(merges: list[tuple[int, int, int]], lengths: list[int])
     return max(reach, default=0)
 
 
+def _spelled(token: int, parts: dict[int, tuple[int, int]]) -> list[int]:
+    """The symbols of a token."""
+    out, work = [], [token]
+    while work:
+        token = work.pop()
+        if token in parts:
+            work += reversed(parts[token])
+        else:
+            out.append(token)
+    return out
+
+
 class Vocabulary:
     """A ``tokenizers`` JSON file of kind byte-level BPE with a word-end suffix, as tables."""
 
@@ -119,38 +133,55 @@ class Vocabulary:
             merges.append((a, b, c))
         self.lookahead = sufficient_lookahead(merges, self.length)
         self.longest = max(self.length)
-        self.parts = {c: (a, b) for a, b, c in reversed(merges)}  # the first merge that makes each token
+        parts = {c: (a, b) for a, b, c in reversed(merges)}  # the first merge that makes each token
+        #: Of a token, the merge that makes it in its own encoding: left, right and priority (-1: a symbol).
+        self.made: list[tuple[int, int, int]] = [(-1, -1, -1)] * size
         self.endings: dict = {}  # symbols of tokens, read backwards; -1 leads to the token
-        for token in {*self.inner, *self.final, *self.parts} - {-1}:
-            if self._whole(token):
+        for token in {*self.inner, *self.final, *parts} - {-1}:
+            symbols, last = _spelled(token, parts), []
+            if self.merged(list(symbols), last) == [token]:
+                if last:
+                    self.made[token] = last[-1]
                 node = self.endings
-                for symbol in reversed(self.spelled(token)):
+                for symbol in reversed(symbols):
                     node = node.setdefault(symbol, {})
                 node[-1] = token
-        self.fits = Fits(self)
         value = {c: b for b, c in enumerate(marks)}
         self.bytes = [self._bytes(t, value) for t in self.text]
         self.names = [t.encode() for t in self.text]
 
         self._encoder: Encoder | None = None
 
-    def spelled(self, token: int) -> list[int]:
-        """The symbols of a token."""
-        out, work = [], [token]
-        while work:
-            token = work.pop()
-            if token in self.parts:
-                work += reversed(self.parts[token])
+    def fits(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side are the encoding of their symbols.
+
+        They are if at no time the two tokens at the boundary merge before one
+        of them merges with its other neighbour. The times are gone through
+        backwards, by taking apart the token that was made last.
+        """
+        rank, made, size = self.rank, self.made, len(self.text)
+        if left * size + right in rank:
+            return False
+        while True:
+            a, b = made[left], made[right]
+            if a[2] > b[2]:
+                left = a[1]
+                pair = rank.get(left * size + right)
+                if pair and pair[0] < a[2]:
+                    return False
+            elif b[2] >= 0:
+                right = b[0]
+                pair = rank.get(left * size + right)
+                if pair and pair[0] <= b[2]:  # among equals the leftmost merges first
+                    return False
             else:
-                out.append(token)
-        return out
+                return True
 
-    def _whole(self, token: int) -> bool:
-        """Whether a token is the encoding of its own symbols."""
-        return self.merged(self.spelled(token)) == [token]
+    def merged(self, symbols: list[int], done: list | None = None) -> list[int]:
+        """The encoding of symbols by its definition: all merges by priority, leftmost first among equals; changes ``symbols``.
 
-    def merged(self, symbols: list[int]) -> list[int]:
-        """The encoding of symbols by its definition: all merges by priority, leftmost first among equals; changes ``symbols``."""
+        ``done`` takes the merges in order: left, right, priority.
+        """
         find, size, none = self.rank.get, len(self.text), (len(self.rank), -1)
         found = [find(a * size + b, none) for a, b in zip(symbols, symbols[1:])]
         while found:
@@ -158,6 +189,8 @@ class Vocabulary:
             if best[1] < 0:
                 break
             at = found.index(best)
+            if done is not None:
+                done.append((symbols[at], symbols[at + 1], best[0]))
             symbols[at : at + 2] = [best[1]]
             del found[at]
             if at:
@@ -180,26 +213,6 @@ class Vocabulary:
         return bytes(value[c] for c in (token[: -len(self.suffix)] if ends else token)) + b" " * ends
 
 
-class Fits(dict):
-    """Whether two tokens side by side are the encoding of their symbols; remembered for ``MOST`` pairs."""
-
-    MOST = 500_000
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, pair: tuple[int, int]) -> bool:
-        if len(self) >= self.MOST:
-            self.clear()
-        left, right = (self.vocabulary.spelled(t) for t in pair)
-        value = self[pair] = self.vocabulary.merged(left + right) == list(pair)
-        return value
-
-    def __reduce__(self):
-        return Fits, (self.vocabulary,)
-
-
 class WordMachine:
     """Tokens of one word from its symbols, given as soon as they are stable.
 
@@ -214,37 +227,48 @@ class WordMachine:
         self.vocabulary = vocabulary
         #: Tokens more symbols behind than this are stable.
         self.window = vocabulary.longest + vocabulary.lookahead
+        self.pairs: dict[int, bool] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.done = 0  # place up to which tokens are given out
-        self.symbols: list[int] = []  # from ``done`` on
-        self.last: list[int] = [-1]  # last token of the encoding up to ``done`` + k, and where it begins
+        self.symbols: list[int] = []  # those of the tokens that are not given out yet
+        self.last: list[int] = [-1]  # last token of the encoding up to place k among them, and where it begins
         self.back: list[int] = [0]
         self.before = -1  # the last token given out
 
     def feed(self, symbols: Iterable[int]) -> list[int]:
         out: list[int] = []
-        vocabulary, fits = self.vocabulary, self.vocabulary.fits
+        endings, fits, pairs, size = self.vocabulary.endings, self.vocabulary.fits, self.pairs, len(self.vocabulary.text)
+        held, last, back, before = self.symbols, self.last, self.back, self.before
         for symbol in symbols:
-            self.symbols.append(symbol)
-            end, node = len(self.symbols), vocabulary.endings
-            found = (symbol, end - 1)
-            for at in range(end - 1, -1, -1):
-                node = node.get(self.symbols[at])
-                if node is None:
-                    break
+            held.append(symbol)
+            end = len(held)
+            at, node, found = end - 1, endings.get(symbol), []
+            while node is not None:
                 token = node.get(-1)
                 if token is not None:
-                    left = self.last[at] if at else self.before
-                    if left < 0 or fits[left, token]:
-                        found = (token, at)
-                        if at == 0 or vocabulary.length[token] == vocabulary.longest:
-                            break
-            self.last.append(found[0])
-            self.back.append(found[1])
+                    found.append((token, at))
+                at -= 1
+                node = node.get(held[at]) if at >= 0 else None
+            while len(found) > 1:  # the longest first; a symbol alone always stands if nothing longer does
+                token, at = found[-1]
+                left = last[at] if at else before
+                if left < 0:
+                    break
+                good = pairs.get(left * size + token)
+                if good is None:
+                    if len(pairs) >= PAIRS:
+                        pairs.clear()
+                    good = pairs[left * size + token] = fits(left, token)
+                if good:
+                    break
+                found.pop()
+            token, at = found[-1] if found else (symbol, end - 1)
+            last.append(token)
+            back.append(at)
             if end % STRIDE == 0:
                 out += self._stable()
+                held, last, back, before = self.symbols, self.last, self.back, self.before
         return out
 
     def _stable(self) -> list[int]:
@@ -265,16 +289,18 @@ class WordMachine:
             at = self.back[at]
         if end:
             self.before = out[0]
-            self.done += end
             self.symbols = self.symbols[end:]
             self.last = [-1, *self.last[end + 1 :]]
             self.back = [0, *(x - end for x in self.back[end + 1 :])]
         return out[::-1]
 
     def finish(self) -> list[int]:
-        out = self._given(len(self.symbols))
+        out, at, last, back = [], len(self.symbols), self.last, self.back
+        while at:
+            out.append(last[at])
+            at = back[at]
         self._clear()
-        return out
+        return out[::-1]
 
 
 class Encoder:

@@ -53,16 +53,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Memo(dict):
-    """A dictionary that computes missing values, for at most ``most`` keys."""
+    """A dictionary that computes missing values. It holds at most ``most`` keys in two halves; when the newer is full, the older goes."""
 
     def __init__(self, compute: Callable, most: int = 200_000):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.half, self.older = compute, max(1, most // 2), {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older[key] if key in self.older else self.compute(key)
+        self[key] = value
         return value
 
 

@@ -124,7 +124,7 @@ def look(word: bytes, known: frozenset[bytes]) -> tuple[bytes, ...]:
     )
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=4_096)
 def look_features(seen: tuple[bytes, ...] | None) -> tuple[list[int], list[int]]:
     """The features of a look for the word itself, and those that it lends to its neighbours; None stands for a text's end."""
     if seen is None:
@@ -238,7 +238,7 @@ class PersonalDataFinder:
     """Spans of a batch of texts: (kind number, start, end, base) in bytes, by kind and start."""
 
     #: Different words, and looks of words, that are remembered from batch to batch.
-    WORDS, LOOKS = 200_000, 50_000
+    WORDS, LOOKS = 100_000, 50_000
 
     def __init__(self, field: Field):
         self.field = field

@@ -547,7 +547,7 @@ def test_random_merges_are_stable_after_the_lookahead(made_up):
                 end += v.length[token]
                 if end + v.lookahead > cut:
                     break
-                assert token == other, (v.parts, symbols, cut)
+                assert token == other, (v.text, symbols, cut)
 
 
 def test_decoding_is_incremental(vocabulary, library, monkeypatch):
