@@ -16,6 +16,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ _CARD = re.compile(rb"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(rb"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(rb"[0-9]")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_LINE_END = re.compile(rb"[\r\n]")
 
 
 def luhn(digits: bytes) -> bool:
@@ -154,20 +156,38 @@ def labels(words: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> l
     return [next((k + 1 for k, a, b in spans if a < end and start < b), 0) for start, end in words]
 
 
-class Field:
-    """A fitted random field: its weights, the words that it knows by themselves, and what the labelled spans have in common.
+class Usual:
+    """What the labelled spans of one kind have in common: numbers of words, digits, words said twice in a row."""
 
-    ``usual`` has for each kind the most words of a labelled span, and whether
-    all of them hold a digit. A span must not have over twice as many words,
-    and must hold a digit if all did.
-    """
+    def __init__(self, spans: list[bytes]):
+        sizes = [len(s.split()) for s in spans]
+        self.least, self.most = min(sizes, default=0), max(sizes, default=0)
+        held = [_DIGIT.search(s) is not None for s in spans]
+        self.all_digits, self.some_digits = all(held), any(held)
+        self.echo = any(map(_echoes, spans))
+
+    def allows(self, span: bytes) -> bool:
+        """Whether a span is not unlike all labelled ones: no fewer words, at most twice as many."""
+        digit = _DIGIT.search(span) is not None
+        if not self.least <= len(span.split()) <= 2 * self.most:
+            return False
+        return (self.some_digits if digit else not self.all_digits) and (self.echo or not _echoes(span))
+
+
+def _echoes(span: bytes) -> bool:
+    """Whether a word without digits stands twice in a row."""
+    words = [w.strip(_MARKS) for w in span.split()]
+    return any(a == b and not _DIGIT.search(a) for a, b in zip(words, words[1:]))
 
-    def __init__(self, model: Crf, known: frozenset[bytes], usual: list[tuple[int, bool]]):
+
+class Field:
+    """A fitted random field: its weights, the words that it knows by themselves, and what each kind's labelled spans have in common."""
+
+    def __init__(self, model: Crf, known: frozenset[bytes], usual: list[Usual]):
         self.model, self.known, self.usual = model, known, usual
 
-    def allows(self, kind: int, words: int, span: bytes) -> bool:
-        most, digit = self.usual[kind]
-        if words > 2 * most or (digit and not _DIGIT.search(span)):
+    def allows(self, kind: int, span: bytes) -> bool:
+        if not self.usual[kind].allows(span):
             return False
         digits = _digits(span)
         return KINDS[kind] != "card" or (13 <= len(digits) <= 19 and luhn(digits))
@@ -191,12 +211,11 @@ def fit_field(rows: list[tuple[str, list[tuple[str, int, int]]]]) -> Field:
     model = fit(sequences, FEATURES, 1 + len(KINDS))
     if not rows:
         model.emit[:, 0] = 1
-    usual = [(0, True)] * len(KINDS)
+    labelled: list[list[bytes]] = [[] for _ in KINDS]
     for data, _, marked in texts:
         for k, a, b in marked:
-            most, digit = usual[k]
-            usual[k] = max(most, len(data[a:b].split())), digit and _DIGIT.search(data[a:b]) is not None
-    return Field(model, known, usual)
+            labelled[k].append(data[a:b])
+    return Field(model, known, [Usual(spans) for spans in labelled])
 
 
 @lru_cache(maxsize=1)
@@ -331,12 +350,21 @@ class PersonalDataFinder:
         return marks
 
 
+def _by_lines(data: bytes, places: list[tuple[int, int]], run: list[int]) -> list[list[int]]:
+    """A run of words cut at line ends; of several parts, those of two words or more."""
+    first, end, mark = run
+    cuts = [k for k in range(first + 1, end) if _LINE_END.search(data, places[k - 1][1], places[k][0])]
+    parts = [[a, b, mark] for a, b in zip([first, *cuts], [*cuts, end])]
+    return [p for p in parts if p[1] - p[0] > 1] if cuts else parts
+
+
 def _added(data: bytes, marks: dict[int, int], base: list[tuple[int, int, int, bool]], field: Field) -> list[tuple[int, int, int, bool]]:
     """Spans of neighbouring words with one label, trimmed of marks around them, that touch no base span.
 
-    Spans unlike all labelled ones are dropped (``Field.allows``); a card number must pass Luhn's test.
+    A name does not cross line ends. Spans unlike all labelled ones are dropped
+    (``Field.allows``); a card number must pass Luhn's test.
     """
-    places = [m.span() for m in _WORD.finditer(data)]
+    places, name = [m.span() for m in _WORD.finditer(data)], 1 + KINDS.index("name")
     runs: list[list[int]] = []
     for at in sorted(marks):
         if runs and runs[-1][1] == at and marks[at] == runs[-1][2]:
@@ -347,8 +375,9 @@ def _added(data: bytes, marks: dict[int, int], base: list[tuple[int, int, int, b
     highest = [0]
     for _, b in starts:
         highest.append(max(highest[-1], b))
+    runs = [run for run in runs if run[1] - run[0] <= 2 * field.usual[run[2] - 1].most]
     out = []
-    for first, end, mark in runs:
+    for first, end, mark in chain.from_iterable(_by_lines(data, places, run) if run[2] == name else [run] for run in runs):
         start, stop = places[first][0], places[end - 1][1]
         part = data[start:stop]
         trim = _TRIM.encode() if mark - 1 != KINDS.index("phone") else _TRIM.replace("(", "").encode()
@@ -356,7 +385,7 @@ def _added(data: bytes, marks: dict[int, int], base: list[tuple[int, int, int, b
         stop -= len(part) - len(part.rstrip(_TRIM.encode()))
         if start >= stop or highest[bisect_left(starts, (stop,))] > start:
             continue
-        if field.allows(mark - 1, end - first, data[start:stop]):
+        if field.allows(mark - 1, data[start:stop]):
             out.append((mark - 1, start, stop, False))
     return out
 

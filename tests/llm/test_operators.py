@@ -602,6 +602,20 @@ def trimmed(text, kind, a, b):
     return kind, a + len(part) - len(part.lstrip(".,;:!?\"'<>[]{}|#*$%&" + "()" * (kind != "phone"))), b - len(part) + len(part.rstrip(pii._TRIM))
 
 
+def test_added_spans_share_what_labelled_ones_have():
+    places = lambda data: [m.span() for m in re.finditer(rb"\S+", data)]
+    data = b"by Ann Lee\nHead of"
+    assert pii._by_lines(data, places(data), [1, 4, 5]) == [[1, 3, 5]]
+    assert pii._by_lines(data, places(data), [1, 3, 5]) == [[1, 3, 5]]
+    assert pii._by_lines(b"", [], [0, 1, 5]) == [[0, 1, 5]]
+    usual = pii.Usual([b"Ann Lee", b"Jo van Dam"])
+    assert usual.allows(b"Max Roe") and usual.allows(b"A B C D E F")
+    assert not any(map(usual.allows, (b"Ann", b"A B C D E F G", b"Ann 4d44", b"es es", b"")))
+    assert not pii.Usual([]).allows(b"Ann")
+    digits = pii.Usual([b"030 123", b"55 55"])
+    assert digits.allows(b"55 55") and not digits.allows(b"call me")
+
+
 def test_held_out_spans_are_found(spark, sf_dir, rows, docs_of):
     """Sentences of held-out patterns are planted into documents of the table; the field finds them there and leaves the rest alone."""
     clean = [t for _, t in rows if not plain_personal(t)][: len(pii_examples.held_out_examples())]
