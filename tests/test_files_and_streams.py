@@ -72,6 +72,13 @@ def test_model_round_trip(spark, tmp_path):
     assert [p["track"] for p in colmap.parse_points((tmp_path / "points3D.bin").read_bytes())] == [[(1, 0)], [(1, 0)]]
     assert len((tmp_path / "cameras.bin").read_bytes()) == 8 + 4 + 4 + 16 + 24
     colmap.write_model(str(tmp_path), Camera(), colmap.image_records(images, obs, True), colmap.point_records(points, True), True)
+    assert (tmp_path / "images.txt").read_text().splitlines()[3:5] == ["# Number of images: 2", "1 " + " ".join(f"{k:.12f}" for k in range(7)) + " 1 a.png"]
+    assert "# Number of points: 2, mean track length: 1.0000\n" in (tmp_path / "points3D.txt").read_text()
+    colmap.write_model(str(tmp_path), Camera(), colmap.image_records(images, obs), colmap.point_records(points), joined=False)
+    for name in ("images", "points3D"):
+        parts = tmp_path / f"{name}.bin.parts"
+        names = ["head", *sorted(p.name for p in parts.iterdir() if p.name.startswith("part-"))]
+        assert b"".join((parts / n).read_bytes() for n in names) == (tmp_path / f"{name}.bin").read_bytes()
     assert "a.png" in (tmp_path / "images.txt").read_text() and "SIMPLE_PINHOLE 640 480" in (tmp_path / "cameras.txt").read_text()
 
 
