@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ __all__ = ["SLICE", "Memo", "ensure_checkpoint_dir", "hash_sample", "keys", "mix
 
 #: Rows of a batch that are turned into Python objects at a time.
 SLICE = 512
+#: Bytes of strings that are, unless a single row holds more.
+SLICE_BYTES = 8 << 20
 
 
 def hash_sample(df: DataFrame, most: int, *columns: Column) -> DataFrame:
@@ -36,11 +39,20 @@ def raw(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that few long texts are held at a time."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches of at most ``rows`` rows and ``size`` bytes of strings (or one row), so that few long texts are held at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        ends = np.zeros(batch.num_rows + 1, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                ends[1:] += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(ends)
+        at = 0
+        while at < batch.num_rows:
+            stop = int(np.searchsorted(ends, ends[at] + size, side="right")) - 1
+            stop = max(at + 1, min(stop, at + rows))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -100,3 +100,15 @@ def test_one_of_each_keeps_one_row_of_each_group(docs_of):
     kept = simhash.one_of_each(docs)
     assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in kept.collect()) == [(0, "alone"), (2, "other"), (2, "w0 w1"), (8, "")]
     assert kept.columns == docs.columns
+
+
+def test_slices_are_bounded_in_rows_and_bytes():
+    import pyarrow as pa
+
+    from cloudloom.llm.common import slices
+
+    texts = ["a" * 10, None, "", "b" * 70, "c", "ä" * 30, *["d"] * 7]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["n", "text"])
+    parts = list(slices([batch, batch.slice(0, 0), batch.slice(3, 2)], rows=4, size=60))
+    assert [p.column(0).to_pylist() for p in parts] == [[0, 1, 2], [3], [4], [5], [6, 7, 8, 9], [10, 11, 12], [3], [4]]
+    assert [t for p in parts[:6] for t in p.column(1).to_pylist()] == texts
