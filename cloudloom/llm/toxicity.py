@@ -9,8 +9,8 @@ The lexicon holds whole words and word starts with the logarithm of how much
 more often toxic labelled documents have them. Phrases that only harmless
 documents have are exceptions: the longest match wins, so a term inside an
 exception does not count. The score is a logistic function of the weights of
-the distinct words matched less a share for every word of the text, so that a
-long text needs more of them.
+the distinct words matched less a price for every distinct word of the text, so
+that a long text needs more of them.
 """
 
 from __future__ import annotations
@@ -122,11 +122,11 @@ def _gain(a: Column, b: Column, toxic: int, harmless: int) -> Column:
     return part(a, total * share) + part(b, total * (1 - share)) + part(toxic - a, none * share) + part(harmless - b, none * (1 - share))
 
 
-def _counted(sample: DataFrame, features) -> DataFrame:
-    """(term, toxic, harmless): documents of the sample that have each feature of their folded words."""
+def _counted(sample: DataFrame, features_of_task) -> DataFrame:
+    """(term, toxic, harmless): documents of the sample that have each feature of their folded words; the argument makes a task's function of words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(fold_word, 50_000)
+        memo, features = Memo(fold_word, 50_000), features_of_task()
         for batch in slices(batches):
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -169,7 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, phrases: t
     if not toxic or not harmless:
         return Lexicon()
     a, b = F.col("toxic"), F.col("harmless")
-    counted = _counted(sample, lambda words: {t for w in set(words) for t in terms_of(w)}).where(a >= LEAST_DOCS).where(a / toxic > b / harmless)
+    counted = _counted(sample, lambda: lambda words: {t for w in set(words) for t in terms_of(w)}).where(a >= LEAST_DOCS).where(a / toxic > b / harmless)
     ranked = counted.withColumn("gain", _gain(a, b, toxic, harmless)).where(F.col("gain") >= LEAST_GAIN)
     best = ranked.orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(4 * MOST_TERMS).collect()
     terms: dict[str, float] = {}
@@ -179,53 +179,62 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, phrases: t
         if len(terms) < MOST_TERMS and term.strip() not in starts and not any(f" {term.strip()[:k]}" in terms for k in range(1, len(term))):
             terms[term] = math.log((row["toxic"] + 0.5) / (toxic + 1)) - math.log((row["harmless"] + 0.5) / (harmless + 1))
             starts.update(term.strip()[:k] for k in range(1, len(term)))
-    automaton_of = Lexicon(terms).matcher
 
-    def pairs(words: list[str]) -> set[str]:
-        found = matches(words, automaton_of())
-        return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in found or y in found} if found else set()
+    def pairs_of_task():
+        automaton = Lexicon(terms).matcher()
 
-    learned = _counted(sample, pairs).where((a == 0) & (b >= PHRASE_DOCS)).orderBy(F.desc("harmless"), "term").limit(MOST_PHRASES)
+        def pairs(words: list[str]) -> set[str]:
+            found = matches(words, automaton)
+            return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in found or y in found} if found else set()
+
+        return pairs
+
+    learned = _counted(sample, pairs_of_task).where((a == 0) & (b >= PHRASE_DOCS)).orderBy(F.desc("harmless"), "term").limit(MOST_PHRASES)
     harmless_phrases = tuple(dict.fromkeys([*phrases, *(r["term"] for r in learned.collect())]))
     start = Lexicon(terms, harmless_phrases)
-    rows = _matched(sample, start).select("toxic", "weight", "n_words").collect()  # three numbers for each row of the sample
-    w = _logistic(np.array([[r["weight"], r["n_words"]] for r in rows], float), np.array([r["toxic"] for r in rows], float))
-    return Lexicon(terms, harmless_phrases, float(w[0]), float(w[1]), float(-w[2]))
+    rows = _matched(sample, start).select("toxic", "weight", "n_distinct").collect()  # three numbers for each row of the sample
+    x, y = np.array([[r["weight"], r["n_distinct"]] for r in rows], float), np.array([r["toxic"] for r in rows], float)
+    w = _logistic(x, y)
+    if w[2] > 0:  # too few rows to see that length costs
+        w = np.r_[_logistic(x[:, :1], y), 0.0]
+    return Lexicon(terms, harmless_phrases, *map(float, (w[0], w[1], -w[2])))
 
 
 def _matched(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with n_words, the weight of the distinct words matched, and those words with their terms; a null text is empty."""
+    """``docs`` with the numbers of words and of distinct ones, the weight of the distinct words matched, and those with their terms; a null text is empty."""
     names = docs.columns
-    kinds = {"n_words": "long", "weight": "double", "matched": "array<struct<word: string, term: string>>"}
+    kinds = {"n_words": "long", "n_distinct": "long", "weight": "double", "matched": "array<struct<word: string, term: string>>"}
     kept = docs.select(*(c for c in names if c.lower() not in kinds))
-    at = kept.columns.index("text")
+    old = kept.columns
+    at = old.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, automaton = Memo(fold_word, 100_000), lexicon.matcher()
         kind = pa.list_(pa.struct([("word", pa.string()), ("term", pa.string())]))
         for batch in slices(batches):
-            sizes, weights, found = [], [], []
+            sizes, kinds_of, weights, found = [], [], [], []
             for text in batch.column(at).to_pylist():
                 words = fold(text, memo)
                 hits = matches(words, automaton)
                 sizes.append(len(words))
+                kinds_of.append(len(set(words)))
                 weights.append(sum(lexicon.terms[t] for t in hits.values()))
                 found.append([{"word": w, "term": t.strip()} for w, t in sorted(hits.items())])
-            new = [pa.array(sizes, pa.int64()), pa.array(weights, pa.float64()), pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*kept.columns, *kinds])
+            new = [pa.array(sizes, pa.int64()), pa.array(kinds_of, pa.int64()), pa.array(weights, pa.float64()), pa.array(found, kind)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*old, *kinds])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + "".join(f", {n} {k}" for n, k in kinds.items())
     return kept.mapInArrow(scan, schema)
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` (with a column ``text``) with n_words, weight, matched and score; columns of these names are replaced.
+    """``docs`` (with a column ``text``) with n_words, n_distinct, weight, matched and score; columns of these names are replaced.
 
     ``score`` is from 0 to 1 and the higher, the likelier a toxic label; an
     empty or null text has the score of no words. Rows are scored by their text
     alone, so repeated rows are scored alike, and an empty table stays empty.
     """
-    z = F.lit(lexicon.constant) + F.lit(lexicon.gain) * F.col("weight") - F.lit(lexicon.price) * F.col("n_words")
+    z = F.lit(lexicon.constant) + F.lit(lexicon.gain) * F.col("weight") - F.lit(lexicon.price) * F.col("n_distinct")
     scored = _matched(docs, lexicon)
     return scored.select(*(c for c in scored.columns if c.lower() != "score"), (1 / (1 + F.exp(-z))).alias("score"))
 
