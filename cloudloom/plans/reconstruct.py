@@ -25,7 +25,7 @@ def clean_cloud(points: DataFrame, config: Config) -> DataFrame:
     kept = cloud.finite_points(points)
     if not config.filter_outliers:
         return kept
-    return cloud.statistical_outliers(kept, config.outlier_neighbors, config.outlier_deviations)
+    return cloud.statistical_outliers(kept, config.sor_neighbors, config.sor_std_ratio)
 
 
 def registration_cloud(points: DataFrame, config: Config, edges: DataFrame | None = None) -> DataFrame:
@@ -37,8 +37,8 @@ def registration_cloud(points: DataFrame, config: Config, edges: DataFrame | Non
     voxels = settled(cloud.voxel_downsample(cleaned, config.voxel_size))
     parts = {0: dense_ids(voxels, ["ix", "iy", "iz"], "ordinal")}
     center = cloud.centroid(voxels).first()
-    if config.sphere_points and center.n:
-        parts[1] = cloud.sphere_points(points.sparkSession, config.sphere_points, config.sphere_radius, (center.cx, center.cy, center.cz))
+    if config.fill_background and config.sphere_num_points and center.n:
+        parts[1] = cloud.sphere_points(points.sparkSession, config.sphere_num_points, config.sphere_radius, (center.cx, center.cy, center.cz))
     if edges is not None:
         parts[2] = dense_ids(edges.select("point_id", "x", "y", "z"), ["point_id"], "ordinal")
     whole, begin = None, 0

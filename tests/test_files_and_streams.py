@@ -38,12 +38,72 @@ def test_tables_round_trip(spark, tmp_path):
         tables.read_image_index(spark, str(tmp_path / "bad.csv")).collect()
 
 
-def test_config(tmp_path):
-    (tmp_path / "c.yaml").write_text("f: 500\nimg_w: 100\nunknown: 1\n")
-    assert config.load_config(str(tmp_path / "c.yaml")).f == 500 and config.load_config(str(tmp_path / "none")) == config.Config()
-    (tmp_path / "bad.yaml").write_text("trans_mat: [1, 2]\n")
+SETTINGS = """# a camera of another make
+time_delay: 0.033 # seconds
+focal_length: 600.0
+image_width: 1280
+image_height: 720
+principal_x: 640
+principal_y: 360.0
+voxel_size: 2e-1
+max_depth: 200.0
+filter_outliers: true
+sor_neighbors: 12
+sor_std_ratio: 1.5
+edge_dilation_px: 1
+fill_background: false
+sphere_num_points: 700
+jbf_sigma_c: 12.5
+depth_render_hpr_radius: 30000.0
+depth_sphere_num_points: 9
+poses_file: other.csv
+"""
+
+
+def test_config_by_the_keys_of_the_files(tmp_path):
+    (tmp_path / "c.cfg").write_text(SETTINGS)
+    found = config.load_config(str(tmp_path / "c.cfg"))
+    lens = found.camera
+    assert (lens.focal, lens.width, lens.height, lens.center_x, lens.center_y, lens.max_depth) == (600.0, 1280, 720, 640.0, 360.0, 200.0)
+    assert (found.time_delay, found.voxel_size, found.sor_neighbors, found.sor_std_ratio, found.edge_dilation_px) == (0.033, 0.2, 12, 1.5, 1)
+    assert (found.fill_background, found.sphere_num_points, found.jbf_sigma_c, found.depth_render_hpr_radius, found.depth_sphere_num_points, found.poses_file) == (False, 700, 12.5, 30000.0, 9, "other.csv")
+    assert found.trans_mat == config.BODY_AXES == lens.body_to_camera and found.edge_voxel_size == 0.01 and found.hpr_radius == 20_000.0
+
+
+def test_config_defaults_of_each_step(tmp_path):
+    (tmp_path / "c.cfg").write_text("min_depth: 2\n")
+    assert config.load_config(str(tmp_path / "c.cfg"), "export").hpr_radius == 100_000.0
+    depth = config.load_config(str(tmp_path / "c.cfg"), "depth")
+    assert (depth.fill_background, depth.sphere_radius, depth.images_dir, depth.min_depth) == (False, 50.0, "distorted/images", 2.0)
+
+
+@pytest.mark.parametrize("text", [None, "a: [1", "- 1\n- 2\n", "just words"])
+def test_config_of_unreadable_files(tmp_path, text):
+    if text is not None:
+        (tmp_path / "c.cfg").write_text(text)
+    with pytest.warns(UserWarning):
+        assert config.load_config(str(tmp_path / "c.cfg")) == config.Config()
+
+
+def test_config_reports_what_it_does_not_take(tmp_path):
+    (tmp_path / "c.cfg").write_text("focal: 500\nimage_width: 12.5\nvoxel_size: wide\nfilter_outliers: 3\ntrans_mat: [1, 2]\n")
+    with pytest.warns(UserWarning) as told:
+        found = config.load_config(str(tmp_path / "c.cfg"))
+    assert len(told) == 4 and found == config.Config(trans_mat=config.IDENTITY)
+    (tmp_path / "d.cfg").write_text("")
+    assert config.load_config(str(tmp_path / "d.cfg")) == config.Config()
     with pytest.raises(ValueError):
-        config.load_config(str(tmp_path / "bad.yaml"))
+        config.Config(trans_mat=(1.0, 2.0))
+
+
+def test_capture_config(tmp_path):
+    names = {"output_dir": "/out", "image_save_interval": 10, "image_prefix": "frame", "odom_save_interval": 1, "leaf_size": 0.03, "max_path_length": 10000, "accumulator_max_points": 500000,
+             "accumulator_publish_interval": 0, "global_downsample_interval": 5, "global_max_points": 5000000, "lidar_topic": "/l", "odom_topic": "/o", "image_topic": "/i", "frame_id": "World"}
+    (tmp_path / "l.cfg").write_text("".join(f"{k}: {v}\n" for k, v in names.items()))
+    assert vars(config.load_capture_config(str(tmp_path / "l.cfg"))) == {**names, "bag_output_dir": ""}
+    (tmp_path / "m.cfg").write_text("output_dir: /out\n")
+    with pytest.raises(KeyError):
+        config.load_capture_config(str(tmp_path / "m.cfg"))
 
 
 def test_png_round_trip(spark, tmp_path):

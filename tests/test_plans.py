@@ -9,8 +9,9 @@ from cloudloom.sources.config import Config
 from cloudloom.streaming import capture
 
 SETTINGS = Config(
-    f=40.0, px=32.0, py=24.0, img_w=64, img_h=48, max_depth=60.0, voxel_size=0.5, sphere_points=30, outlier_neighbors=4,
-    outlier_deviations=3.0, poses_are_body_frame=False, edge_canny_low=50.0, edge_canny_high=120.0,
+    focal_length=40.0, principal_x=32.0, principal_y=24.0, image_width=64, image_height=48, max_depth=60.0, voxel_size=0.5, sphere_radius=50.0,
+    sphere_num_points=30, sor_neighbors=4, sor_std_ratio=3.0, poses_are_body_frame=False, edge_canny_low=50.0, edge_canny_high=120.0, edge_dilation_px=1,
+    edge_voxel_size=0.02,
 )
 LENS = SETTINGS.camera
 
