@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import color
 from .functions import geometry as geo
 from .functions.sequence import dense_ids
-from .operators import batches, camera, cloud, fusion, pose, raster, tracks, visibility
+from .operators import batches, camera, cloud, fusion, levels, pose, raster, tracks, visibility
 from .plans import reconstruct
 from .plans.fixtures import CAMERA, GAP, duckdb_with, view
 from .plans.fixtures import raster as images
@@ -252,6 +252,38 @@ def budget_cap(spark, d):
     return cloud.budget_cap(cloud.voxel_sums(view(spark, d, "fx_points"), 2.0), 1000).select("ix", "iy", "iz", "n")
 
 
+#: Epochs of the live map, and its budget of cells.
+EPOCHS, LIVE_CELLS = 4, 4000
+
+
+def _live_sql() -> str:
+    """The epochs one after the other: fold into covering cells, count, coarsen."""
+    shift = "cast(floor({c} / 2e0) as bigint)"
+    above = ", ".join(shift.format(c=f"b.{c}") for c in ("ix", "iy", "iz"))
+    parts = {"v": _V2, "m0": "select 0 as level, ix, iy, iz, 0::bigint n, 0e0 sx, 0e0 sy, 0e0 sz from v where false"}
+    sums = "sum(n)::bigint n, sum(sx) sx, sum(sy) sy, sum(sz) sz"
+    for k in range(EPOCHS):
+        parts[f"b{k}"] = f"select 0 as level, ix, iy, iz, count(*) n, sum(x) sx, sum(y) sy, sum(z) sz from v where point_id % {EPOCHS} = {k} group by ix, iy, iz"
+        joined = " and ".join(f"{x} = m.{c}" for x, c in zip(above.split(", "), ("ix", "iy", "iz")))
+        at = ", ".join(f"case when m.ix is null then b.{c} else m.{c} end {c}" for c in ("ix", "iy", "iz"))
+        parts[f"g{k}"] = f"select case when m.ix is null then 0 else 1 end as level, {at}, b.n, b.sx, b.sy, b.sz from b{k} b left join m{k} m on m.level = 1 and {joined}"
+        parts[f"u{k}"] = f"select level, ix, iy, iz, {sums} from (select * from m{k} union all select * from g{k}) z group by level, ix, iy, iz"
+        keys = ", ".join(f"case when level = 0 and big then {shift.format(c=c)} else {c} end {c}" for c in ("ix", "iy", "iz"))
+        parts[f"m{k + 1}"] = (f"select level, ix, iy, iz, {sums} from (select case when big then 1 else level end as level, {keys}, n, sx, sy, sz "
+                              f"from u{k}, (select count(*) > {LIVE_CELLS} big from u{k}) q) z group by level, ix, iy, iz")
+    mean = ", ".join(f"floor(s{a}/n*1e6+{OFF_GRID})/1e6 {a}" for a in "xyz")
+    return duckdb_with("fx_points", **parts) + f"select level, ix, iy, iz, n, {mean} from m{EPOCHS}"
+
+
+@query(_live_sql())
+def live_map(spark, d):
+    """A map under a budget after several epochs: cells of both sizes, later points in the cells that cover them."""
+    p = view(spark, d, "fx_points")
+    held = levels.replayed([p.where(F.col("point_id") % EPOCHS == k) for k in range(EPOCHS)], 2.0, LIVE_CELLS)
+    found = levels.cell_centroids(held)
+    return found.select(*levels.CELL, "n", *(_round(F.col(a), 6, OFF_GRID).alias(a) for a in "xyz"))
+
+
 @query(duckdb_with("fx_points") + f"select ix, iy, iz, sum(n)::bigint n, " + ", ".join(f"floor(sum(s{a})/sum(n)*1e6+{OFF_GRID})/1e6 {a}" for a in "xyz") + " from (select point_id%8 b, ix, iy, iz, count(*) n, sum(x) sx, sum(y) sy, sum(z) sz from (" + _V2 + ") v group by all) w group by ix, iy, iz")
 def incremental_voxel(spark, d):
     p = view(spark, d, "fx_points")

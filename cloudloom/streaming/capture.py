@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.cloud import budget_cap, centroids, merge_sums, voxel_sums
+from ..checkpoints import settled
+from ..operators import levels
+from ..operators.cloud import voxel_sums
 
 
 def stream_table(spark: SparkSession, path: str, schema: str, files: int = 1) -> DataFrame:
@@ -91,23 +93,68 @@ def global_map(stream: DataFrame, size: float) -> DataFrame:
 
 
 class MapTable:
-    """A global map kept as voxel sums in a table of snapshots, updated by ``foreachBatch``.
-
-    Each micro-batch writes snapshot ``epoch`` from snapshot ``epoch - 1``; a
-    repeated epoch overwrites its own snapshot, so results are exactly once.
+    """A global map under a budget (see :mod:`cloudloom.operators.levels`), updated by ``foreachBatch``.
+
+    Cells are dealt to ``buckets`` by a hash of the cell of level ``deepest``
+    that they lie in, so a cell and all that may cover it share a bucket. A
+    micro-batch reads and writes only the buckets that its points fall into; a
+    manifest, written last, says in which epoch each bucket was last written
+    and how many cells it has. Epochs that begin from a manifest never change
+    what it names, so a repeated epoch gives the same map once more.
     """
 
-    def __init__(self, path: str, size: float, most: int):
-        self.path, self.size, self.most = path, size, most
+    MANIFEST = "bucket int, epoch long, n long, lowest int, highest int"
+
+    def __init__(self, path: str, size: float, most: int, deepest: int = 1, buckets: int = 64):
+        self.path, self.size, self.most, self.deepest, self.buckets = path, size, most, deepest, buckets
+
+    def _bucket(self) -> Column:
+        over = [F.call_function("shiftright", F.col(c), F.lit(self.deepest) - F.col("level")) for c in levels.CELL[1:]]
+        return F.pmod(F.xxhash64(*over), F.lit(self.buckets)).cast("int")
+
+    def manifest(self, spark: SparkSession, epoch: int) -> list[Row]:
+        """One row for each bucket that holds cells; none before the first epoch."""
+        return spark.read.schema(self.MANIFEST).parquet(f"{self.path}/manifest/{epoch}").collect() if epoch >= 0 else []
+
+    def _cells(self, spark: SparkSession, rows: list[Row]) -> DataFrame | None:
+        paths = [f"{self.path}/cells/{r.epoch}/bucket={r.bucket}" for r in rows]
+        return spark.read.parquet(*paths).select(*levels.CELL, *levels.SUMS) if paths else None
 
     def update(self, batch: DataFrame, epoch: int) -> None:
-        sums = voxel_sums(batch, self.size)
-        if epoch:
-            sums = merge_sums(batch.sparkSession.read.parquet(f"{self.path}/{epoch - 1}"), sums)
-        budget_cap(sums, self.most).write.mode("overwrite").parquet(f"{self.path}/{epoch}")
+        spark = batch.sparkSession
+        before = self.manifest(spark, epoch - 1)
+        arrived = settled(levels.batch_sums(batch, self.size).withColumn("bucket", self._bucket()))
+        touched = {r.bucket for r in arrived.select("bucket").distinct().collect()}
+        old = self._cells(spark, [r for r in before if r.bucket in touched])
+        after = levels.folded(old, arrived.drop("bucket"), self.deepest)
+        after = settled(after.withColumn("bucket", self._bucket()))
+        known = {r.bucket: r for r in before} | {r.bucket: r for r in self._sizes(after, epoch)}
+        total = sum(r.n for r in known.values())
+        target = None
+        if total > self.most:
+            target = levels.next_level(min(r.lowest for r in known.values()), max(r.highest for r in known.values()), self.deepest)
+        if target is not None:
+            rest = self._cells(spark, [r for r in before if r.bucket not in touched])
+            whole = after.drop("bucket") if rest is None else after.drop("bucket").unionByName(rest)
+            after = settled(levels.coarser(whole, target).withColumn("bucket", self._bucket()))
+            known = {r.bucket: r for r in self._sizes(after, epoch)}
+        after.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/cells/{epoch}")
+        spark.createDataFrame(list(known.values()), self.MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{epoch}")
+
+    def _sizes(self, cells: DataFrame, epoch: int) -> list[Row]:
+        of = cells.groupBy("bucket").agg(F.count("*").alias("n"), F.min("level").alias("lowest"), F.max("level").alias("highest"))
+        return of.select("bucket", F.lit(epoch).cast("long").alias("epoch"), "n", "lowest", "highest").collect()
+
+    def cells(self, spark: SparkSession, epoch: int) -> DataFrame:
+        found = self._cells(spark, self.manifest(spark, epoch))
+        if found is None:
+            kinds = ["level int", *(f"{c} long" for c in levels.CELL[1:]), "n long", *(f"{c} double" for c in levels.SUMS[1:])]
+            return spark.createDataFrame([], ", ".join(kinds))
+        return found
 
     def snapshot(self, spark: SparkSession, epoch: int) -> DataFrame:
-        return centroids(spark.read.parquet(f"{self.path}/{epoch}"))
+        """The map after an epoch as a cloud."""
+        return levels.cell_centroids(self.cells(spark, epoch))
 
 
 def event_windows(events: DataFrame, width: str = "10 minutes", late: str = "5 minutes") -> DataFrame:

@@ -183,4 +183,4 @@ def test_streamed_map_is_the_batch_map(spark, tmp_path):
     table = capture.MapTable(str(tmp_path / "map"), 4.0, 1_000)
     query = stream.writeStream.foreachBatch(table.update).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination()
-    assert table.snapshot(spark, 2).select("ix", "iy", "iz", "n").exceptAll(batch.select("ix", "iy", "iz", "n")).count() == 0
+    assert table.snapshot(spark, 2).where("level = 0").select("ix", "iy", "iz", "n").exceptAll(batch.select("ix", "iy", "iz", "n")).count() == 0
