@@ -34,29 +34,41 @@ def path_history(poses: DataFrame, most: int, order: list[str], id_col: str) ->
     return held.select(id_col, F.col("history")[0][id_col].alias("first_id"), F.size("history").alias("n_poses"))
 
 
-def accumulate(scans: DataFrame, max_points: int, every: int, drop_tail: bool = False) -> DataFrame:
-    """(session_id, batch, first_index, last_index, n_points, by_size): scans gathered into batches.
+def scan_batches(scans: DataFrame, max_points: int, every: int, drop_tail: bool = False) -> DataFrame:
+    """(session_id, index, batch, first_index, last_index, n_points, by_size): the batch that each scan falls in.
 
     A batch closes at ``max_points`` points, tested first, or after ``every``
-    scans. The unfinished rest of a session is a last batch, unless
-    ``drop_tail``. Only the sizes of a session's scans meet in a task, not
-    their points.
+    scans (0: never by count). The unfinished rest of a session is a last
+    batch, unless ``drop_tail``. ``scans`` has session_id, index and n_points;
+    only these three numbers of a session's scans meet in a task, not their
+    points.
     """
-    if every < 1:
-        raise ValueError("every must be at least 1")
+    if every < 0:
+        raise ValueError("every must not be negative")
 
     def gather(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        out, first, count, points, last = [], None, 0, 0, None
-        ordered = part.sort_values("index")
-        for last, size in zip(ordered["index"].tolist(), ordered["n_points"].tolist()):
-            first = last if first is None else first
-            count, points = count + 1, points + size
-            if points >= max_points or count >= every:
-                out.append((key[0], len(out), first, last, points, points >= max_points))
-                first, count, points = None, 0, 0
-        if count and not drop_tail:
-            out.append((key[0], len(out), first, last, points, False))
-        return pd.DataFrame(out, columns=["session_id", "batch", "first_index", "last_index", "n_points", "by_size"])
-
-    kinds = "session_id long, batch long, first_index long, last_index long, n_points long, by_size boolean"
+        ordered = part.sort_values("index", kind="stable")
+        index, sizes = ordered["index"].tolist(), ordered["n_points"].tolist()
+        out, begin, points = [], 0, 0
+
+        def close(end: int, by_size: bool) -> None:
+            number = out[-1][2] + 1 if out else 0
+            out.extend((key[0], k, number, index[begin], index[end - 1], points, by_size) for k in index[begin:end])
+
+        for at, size in enumerate(sizes, 1):
+            points += size
+            if points >= max_points or (every and at - begin >= every):
+                close(at, points >= max_points)
+                begin, points = at, 0
+        if begin < len(index) and not drop_tail:
+            close(len(index), False)
+        return pd.DataFrame(out, columns=["session_id", "index", "batch", "first_index", "last_index", "n_points", "by_size"])
+
+    kinds = "session_id long, index long, batch long, first_index long, last_index long, n_points long, by_size boolean"
     return scans.select("session_id", "index", "n_points").groupBy("session_id").applyInPandas(gather, kinds)
+
+
+def accumulate(scans: DataFrame, max_points: int, every: int, drop_tail: bool = False) -> DataFrame:
+    """(session_id, batch, first_index, last_index, n_points, by_size): one row for each batch of :func:`scan_batches`."""
+    found = scan_batches(scans, max_points, every, drop_tail)
+    return found.groupBy("session_id", "batch").agg(*(F.first(c).alias(c) for c in ("first_index", "last_index", "n_points", "by_size")))

@@ -7,6 +7,7 @@ the same rows for the same input.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,7 +32,7 @@ def decimated(stream: DataFrame, n: int) -> DataFrame:
 
     def keep(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(parts)).sort_values("index")
+        rows = pd.concat([part[["index"]] for part in parts]).sort_values("index")
         count = seen + 1 + pd.RangeIndex(len(rows))
         taken = rows[count % n == 0]
         state.update((seen + len(rows),))
@@ -46,10 +47,11 @@ def accumulated(stream: DataFrame, max_points: int, every: int) -> DataFrame:
     """(session_id, batch, first_index, last_index, n_points, by_size): scans gathered into batches.
 
     ``stream`` has one row for each scan: session_id, index, n_points. A batch
-    closes when it holds ``max_points`` points, tested first, or ``every`` scans.
+    closes when it holds ``max_points`` points, tested first, or ``every`` scans
+    (0: never by count). :mod:`cloudloom.streaming.accumulate` gives the points.
     """
-    if every < 1:
-        raise ValueError("every must be at least 1")
+    if every < 0:
+        raise ValueError("every must not be negative")
 
     def gather(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         batch, first, scans, points = state.get if state.exists else (0, -1, 0, 0)
@@ -57,7 +59,7 @@ def accumulated(stream: DataFrame, max_points: int, every: int) -> DataFrame:
         for row in pd.concat(list(parts)).sort_values("at").itertuples(index=False):
             first = row.at if scans == 0 else first
             scans, points = scans + 1, points + row.n_points
-            if points >= max_points or scans >= every:
+            if points >= max_points or (every and scans >= every):
                 out.append((key[0], batch, first, row.at, points, points >= max_points))
                 batch, scans, points = batch + 1, 0, 0
         state.update((batch, int(first), scans, int(points)))
@@ -70,20 +72,34 @@ def accumulated(stream: DataFrame, max_points: int, every: int) -> DataFrame:
     )
 
 
-def paths(stream: DataFrame, most: int) -> DataFrame:
-    """(session_id, index, first_index, n_poses): at each pose, the bounded history that ends there."""
+POSE = "index long, px double, py double, pz double, qx double, qy double, qz double, qw double"
+
+
+def paths(stream: DataFrame, most: int, whole: bool = False) -> DataFrame:
+    """(session_id, index, first_index, n_poses): at each pose, the bounded history that ends there.
+
+    With ``whole`` the history itself comes too, as ``path``: structs of index,
+    position and quaternion, oldest first; ``stream`` then has these columns.
+    A session's state is its last ``most`` poses.
+    """
+    if most < 1:
+        raise ValueError("most must be at least 1")
+    names = [c.split()[0] for c in POSE.split(", ")] if whole else ["index"]
 
     def trace(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(state.get[0]) if state.exists else []
+        held = deque(map(tuple, state.get[0]) if state.exists else [], maxlen=most)
         out = []
-        for index in sorted(int(i) for part in parts for i in part["index"]):
-            held = [*held, index][-most:]
-            out.append((key[0], index, held[0], len(held)))
-        state.update((held,))
-        yield pd.DataFrame(out, columns=["session_id", "index", "first_index", "n_poses"])
-
-    return stream.groupBy("session_id").applyInPandasWithState(
-        trace, "session_id long, index long, first_index long, n_poses long", "held array<long>", "append", GroupStateTimeout.NoTimeout
+        arrived = pd.concat([part[names] for part in parts]).sort_values("index", kind="stable")
+        for pose in arrived.itertuples(index=False, name=None):
+            held.append((int(pose[0]), *map(float, pose[1:])))
+            row = (key[0], held[-1][0], held[0][0], len(held))
+            out.append((*row, [dict(zip(names, p)) for p in held]) if whole else row)
+        state.update(([tuple(p) for p in held],))
+        yield pd.DataFrame(out, columns=["session_id", "index", "first_index", "n_poses", *["path"] * whole])
+
+    kind = f"array<struct<{POSE.replace(' ', ':').replace(',:', ',')}>>" if whole else "array<struct<index:long>>"
+    return stream.select("session_id", *names).groupBy("session_id").applyInPandasWithState(
+        trace, "session_id long, index long, first_index long, n_poses long" + (f", path {kind}" if whole else ""), f"held {kind}", "append", GroupStateTimeout.NoTimeout
     )
 
 
