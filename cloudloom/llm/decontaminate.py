@@ -7,7 +7,13 @@ a leak if its slots are filled consistently: equal values of the question are
 equal in the document too. So a verbatim copy and a copy with other numbers or
 names are both found, and a text that merely shares a phrase is not. Windows
 that are mostly slots say little by their template: they count where their
-values are equal too, or in an alignment that is longer still.
+values are equal too, or in an alignment that is longer still. Windows without
+any literal are not joined.
+
+What a template makes of a word depends on its capital, so a copy in lower case
+or in capitals has other templates. Windows of as many words as an alignment
+must cover, without slots and in lower case, are joined beside those of the
+templates; where all words are equal, the item is leaked as it stands.
 """
 
 from __future__ import annotations
@@ -53,12 +59,14 @@ def template_tokens(text: Column) -> Column:
     """Lower-case tokens of a text; a slot is ``⟦`` + type (n, u or a) + value + ``⟧``.
 
     A name is a capitalised word that follows a word, a unit or a comma, so not
-    the first of a sentence; after an article or a number it is a noun.
-    Punctuation is dropped. A null text has no tokens.
+    the first of a sentence; after an article or a number it is a noun. Names
+    with nothing but a blank between them are one. Punctuation is dropped. A
+    null text has no tokens.
     """
     marked = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _NUMBER, "⟦n$0⟧")
     marked = F.regexp_replace(marked, _UNIT, " ⟦u$1⟧")
-    marked = F.regexp_replace(marked, _NAME, "⟦a$0⟧")
+    marked = F.regexp_replace(marked, _NAME, "⟦a$0⟩⟧")
+    marked = F.replace(F.replace(marked, F.lit("⟩⟧ ⟦a"), F.lit(" ")), F.lit("⟩⟧"), F.lit("⟧"))
     return F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
 
 
@@ -70,6 +78,11 @@ def _hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 2)).otherwise(t)))
 
 
+def _words(tokens: Column) -> Column:
+    """All words in lower case, slots or not; a slot of several names is several words."""
+    return F.flatten(F.transform(tokens, lambda t: F.when(_is_slot(t), F.split(t.substr(F.lit(3), F.length(t) - 3), " ")).otherwise(F.array(t))))
+
+
 def _windows(hashes: Column, size: int) -> Column:
     """Hash of each window of ``size`` tokens, in order."""
     places = F.when(F.size(hashes) >= size, F.sequence(F.lit(1), F.size(hashes) - (size - 1)))
@@ -94,7 +107,17 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     )
     second = F.when(F.size("hashes") == F.col("size"), F.array(F.struct(F.lit(1).alias("at"), F.xxhash64(named).alias("h"))))
     rows = hashed.select("item_id", "tokens", "size", F.explode(F.array_union(places, F.coalesce(second, F.slice(places, 1, 0)))).alias("w"))
-    return rows.select("item_id", "tokens", "size", "w.at", "w.h")
+    rows = rows.select("item_id", "tokens", "size", "w.at", "w.h")
+    return rows.where(_n_literal(F.slice("tokens", F.col("at"), F.col("size"))) > 0)
+
+
+def _verbatim_windows(items: DataFrame, id_col: str, text_col: str, cover: int) -> DataFrame:
+    """(item_id, words, at, size, h): windows of ``cover`` words of each item, or the whole shorter one."""
+    picked = items.select(F.col(id_col).cast("long").alias("item_id"), _words(template_tokens(F.col(text_col))).alias("words"))
+    sized = picked.where("item_id is not null and size(words) > 0").distinct().withColumn("size", F.least(F.size("words"), F.lit(cover)))
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    rows = sized.withColumn("hashes", hashes).withColumn("at", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)))
+    return rows.select("item_id", F.slice("words", F.col("at"), F.col("size")).alias("words"), "at", "size", F.xxhash64(F.slice("hashes", F.col("at"), F.col("size"))).alias("h"))
 
 
 def _covered(places: Column, size: Column) -> Column:
@@ -127,38 +150,57 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, cover: int = COVER, broadcast_windows: int = BROADCAST_WINDOWS, broadcast_docs: int = BROADCAST_DOCS,
 ) -> DataFrame:
-    """(doc_id, k1, k2, item_id, n_tokens): one row for each document and item that it leaks.
+    """(doc_id, k1, k2, item_id, n_tokens): one row for each document and item that it leaks, by its templates or word by word.
 
     k1 and k2 stand for the row's id and text; repeated rows give one row. Whole
     texts are searched. Null and empty texts and items leak nothing; documents
     with a null id are reported with it. Other columns are ignored.
     """
     bench = settled(benchmark_windows(items, item_id_col, item_text_col, window))
-    few = bench.count() <= broadcast_windows
-    sizes = [r[0] for r in bench.select("size").distinct().collect()]  # at most ``window`` values
+    exact = settled(_verbatim_windows(items, item_id_col, item_text_col, cover))
+    few = bench.count() + exact.count() <= broadcast_windows
+    sizes = [("template", r[0]) for r in bench.select("size").distinct().collect()]  # at most ``window`` values
+    sizes += [("words", r[0]) for r in exact.select("size").distinct().collect()]  # at most ``cover``
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keys(F.col(id_col).cast("long"), text), text.alias("text"))
-    hashed = rows.select("k1", "k2", _hashes(template_tokens(F.col("text"))).alias("hashes"))
-    hits = None
-    for size in sizes:
-        theirs = bench.where(F.col("size") == size).select("h", "item_id", "size", F.col("at").alias("item_at"))
-        ours = hashed.select("k1", "k2", F.posexplode(_windows(F.col("hashes"), size)).alias("p", "h"))
-        met = ours.join(F.broadcast(theirs) if few else theirs, "h")
-        met = met.select("k1", "k2", "item_id", "size", "item_at", (F.col("p") + 1 - F.col("item_at")).alias("shift"))
-        hits = met if hits is None else hits.union(met)
-    if hits is None:
+    if not sizes:
         return rows.where("false").select("doc_id", "k1", "k2", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("n_tokens"))
-    aligned = hits.groupBy("k1", "k2", "item_id", "size", "shift").agg(F.collect_set("item_at").alias("places"))
-    aligned = aligned.withColumn("n_tokens", _covered(F.col("places"), F.col("size")))
+    tokens = rows.select("k1", "k2", template_tokens(F.col("text")).alias("tokens"))
+    hashed = tokens.select("k1", "k2", _hashes(F.col("tokens")).alias("template"), F.transform(_words(F.col("tokens")), lambda w: F.xxhash64(w)).alias("words"))
+    # windows of every kind and size, one after the other, in one pass over the texts; ``begin`` is where each kind's begin
+    begin, before = [], F.lit(0)
+    for kind, size in sizes:
+        begin.append(before)
+        before = before + F.greatest(F.size(kind) - (size - 1), F.lit(0))
+    whole = hashed.select("k1", "k2", F.array(*begin).alias("begin"), F.posexplode(F.concat(*[_windows(F.col(kind), size) for kind, size in sizes])).alias("p", "h"))
+    which = sum((F.when(F.col("p") >= F.get("begin", k), 1).otherwise(0) for k in range(1, len(sizes))), F.lit(0))
+    ours = whole.select("k1", "k2", "h", which.alias("which"), (F.col("p") - F.get("begin", which) + 1).alias("p"))
+    numbers = {kind: F.create_map(*[x for k, (name, size) in enumerate(sizes) if name == kind for x in (F.lit(size), F.lit(k))]) for kind, _ in sizes}
+    theirs = None
+    for kind, table in (("template", bench), ("words", exact)):
+        if kind in numbers:
+            part = table.select(F.lit(kind).alias("kind"), numbers[kind][F.col("size")].alias("which"), "h", "item_id", "size", F.col("at").alias("item_at"))
+            theirs = part if theirs is None else theirs.unionByName(part)
+    met = ours.join(F.broadcast(theirs) if few else theirs, ["which", "h"])
+    alignments = met.groupBy("kind", "k1", "k2", "item_id", "size", (F.col("p") - F.col("item_at")).alias("shift")).agg(F.collect_set("item_at").alias("places"))
+    alignments = settled(alignments)
+    hits = alignments.where("kind = 'template'").drop("kind")
+    aligned = hits.withColumn("n_tokens", _covered(F.col("places"), F.col("size")))
     tokens = bench.select("item_id", F.col("tokens").alias("theirs")).distinct()
     long = settled(
         aligned.join(F.broadcast(tokens) if few else tokens, "item_id").where(
             F.col("n_tokens") >= F.least(F.lit(cover), F.greatest(F.col("size"), F.size("theirs") - 2))
         )
     )
-    met = long.select("k1", "k2").distinct()
-    near = rows.join(F.broadcast(met) if long.count() <= broadcast_docs else met, ["k1", "k2"], "left_semi")
-    near = near.dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", template_tokens(F.col("text")).alias("ours"))
+    copied = alignments.where("kind = 'words'").select("k1", "k2", "item_id", "shift", F.explode("places").alias("at"))
+    copied = copied.groupBy("k1", "k2", "item_id", "shift").agg(F.min("at").alias("at"))
+    met = long.select("k1", "k2").union(copied.select("k1", "k2")).distinct()
+    near = rows.join(F.broadcast(met) if long.count() + copied.count() <= broadcast_docs else met, ["k1", "k2"], "left_semi")
+    near = settled(near.dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", template_tokens(F.col("text")).alias("ours")))
+    asked = exact.select("item_id", "at", "size", F.col("words").alias("theirs"))
+    copies = copied.join(F.broadcast(asked) if few else asked, ["item_id", "at"]).join(near, ["k1", "k2"])
+    copies = copies.where(F.slice(_words(F.col("ours")), F.col("at") + F.col("shift"), F.col("size")) == F.col("theirs"))
+    copies = copies.select("doc_id", "k1", "k2", "item_id", F.col("size").alias("n_tokens"))
     judged = long.join(near, ["k1", "k2"]).withColumns({"our_values": _plain(F.col("ours")), "their_values": _plain(F.col("theirs"))})
     size, whole = F.col("size"), F.size("theirs")
     theirs_at = lambda p: F.slice("theirs", p, size)
@@ -188,7 +230,8 @@ def find_leaks(
 
     longer = F.when(whole > window, F.greatest(enough, F.least(F.lit(LONG), whole - 2)))
     found = F.greatest(*[tokens_of(p, enough) for p in ("firm", "same", "both")], tokens_of("places", longer, LITERAL))
-    leaks = judged.withColumn("n_tokens", found).groupBy("doc_id", "k1", "k2", "item_id").agg(F.max("n_tokens").alias("n_tokens"))
+    leaks = judged.withColumn("n_tokens", found).select("doc_id", "k1", "k2", "item_id", "n_tokens").unionByName(copies)
+    leaks = leaks.groupBy("doc_id", "k1", "k2", "item_id").agg(F.max("n_tokens").alias("n_tokens"))
     return leaks.where("n_tokens is not null")  # after the maximum, as a filter on ``found`` would repeat all its steps
 
 

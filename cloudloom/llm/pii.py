@@ -10,6 +10,7 @@ forms that the patterns miss.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from bisect import bisect_left
@@ -108,7 +109,12 @@ _ALIKE, _REPEAT = re.compile(rb"(.)\1{4,}", re.S), re.compile(rb"(.)\1+", re.S)
 
 def shape(word: bytes) -> bytes:
     """Classes of a word's characters: X, x, d, u for bytes beyond ASCII, others as they are; no more than four alike in a row."""
-    return _ALIKE.sub(rb"\1\1\1\1", word[:60].translate(_CLASSES))
+    return _ALIKE.sub(rb"\1\1\1\1", word.translate(_CLASSES))
+
+
+def _short(value: bytes) -> bytes:
+    """A long shape stands by its digest, so that looks of very long words stay small."""
+    return value if len(value) <= 60 else hashlib.blake2b(value, digest_size=16).digest()
 
 
 def _bucket(mark: bytes, value: bytes, most: int) -> int:
@@ -116,12 +122,13 @@ def _bucket(mark: bytes, value: bytes, most: int) -> int:
 
 
 def look(word: bytes, known: frozenset[bytes]) -> tuple[bytes, ...]:
-    """What the field sees of a word: shape, the word if it is known, its ending if that is known, digits, opening and closing mark."""
+    """What the field sees of a word: shape, shape without repetitions, the word if it is known, its ending if that is known, digits, opening and closing mark."""
     plain = word.strip(_MARKS).lower()
     end = b"-" + plain[-4:]
     digits = b"%d" % min(len(_digits(word)), 20) if _DIGIT.search(word) else b"0"
+    full = shape(word)
     return (
-        shape(word), plain if plain in known else b"", end if end in known else b"", digits, word[:1] if word[:1] in b"([+" else b"",
+        _short(full), _short(_REPEAT.sub(rb"\1", full)), plain if plain in known else b"", end if end in known else b"", digits, word[:1] if word[:1] in b"([+" else b"",
         word[-1:] if word[-1:] in b".,;:" else b"",
     )
 
@@ -131,8 +138,7 @@ def look_features(seen: tuple[bytes, ...] | None) -> tuple[list[int], list[int]]
     """The features of a look for the word itself, and those that it lends to its neighbours; None stands for a text's end."""
     if seen is None:
         return [_bucket(b"end", b"", OWN)], [_bucket(b"end", b"", NEAR)]
-    full, itself, end, digits, opening, closing = seen
-    short = _REPEAT.sub(rb"\1", full)
+    full, short, itself, end, digits, opening, closing = seen
     own = [(b"f", full), (b"c", short), (b"e", end), (b"d", digits), (b"p", opening), (b"q", closing), (b"w", itself)]
     lent = [(b"c", short), (b"q", closing), (b"w", itself)]
     return [_bucket(m, v, OWN) for m, v in own], [_bucket(m, v, NEAR) for m, v in lent]

@@ -69,3 +69,28 @@ def test_questions_with_other_values_are_found(spark, docs_of):
     missed = sorted({(k - 1_000) // 100 for k, _ in changed if k not in found}), sorted({(k - 10_000) // 100 for k, _ in broken if k in found})
     assert hits >= 0.9 * len(changed) and wrong <= 0.1 * len(broken), missed
     assert not any(k in found for k, _ in clean)
+
+
+def test_copies_in_other_letters_and_with_longer_names(spark, docs_of):
+    rng = random.Random(4)
+    items = [(k, fill(q, rng)) for k, q in enumerate(QUESTIONS)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    around = lambda text: f"{prose(rng)}. {text} {prose(rng)}"
+    longer = lambda text: " ".join(f"{w} Lopez" if w in NAMES else w for w in text.split(" "))
+    forms = {"lower": str.lower, "upper": lambda t: t.upper().replace("SS", "ß") if "ß" in t else t.upper(), "title": str.title, "names": longer}
+    docs = [(1_000 * j + k, around(f(text))) for j, f in enumerate(forms.values()) for k, text in items]
+    found = {r.doc_id: r["items"] for r in decontaminate.contaminated(docs_of(docs), bench).collect()}
+    for j, name in enumerate(forms):
+        hits = sum(found.get(1_000 * j + k) == str(k) for k, _ in items)
+        print(f"{name}: {hits} of {len(items)}")
+        assert hits >= 0.95 * len(items), name
+
+
+def test_tables_of_numbers(spark, docs_of):
+    rng = random.Random(6)
+    numbers = lambda n: " ".join(str(rng.randrange(10_000)) for _ in range(n))
+    bench = spark.createDataFrame([(1, numbers(30)), (2, f"the sum of {numbers(12)} is what")], "item_id long, text string")
+    text = {r.item_id: r.text for r in bench.collect()}
+    docs = [(1, f"see {text[1]} here"), (2, f"see {text[2]} here"), *((k, numbers(400)) for k in range(10, 20))]
+    found = {r.doc_id: r["items"] for r in decontaminate.contaminated(docs_of(docs), bench).collect()}
+    assert found == {1: "1", 2: "2"}
