@@ -150,7 +150,7 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, cover: int = COVER, broadcast_windows: int = BROADCAST_WINDOWS, broadcast_docs: int = BROADCAST_DOCS,
 ) -> DataFrame:
-    """(doc_id, k1, k2, item_id, n_tokens): one row for each document and item that it leaks, by its templates or word by word.
+    """(doc_id, k1, k2, item_id, n_tokens): one row for each document and item that it leaks, by its templates or else word by word.
 
     k1 and k2 stand for the row's id and text; repeated rows give one row. Whole
     texts are searched. Null and empty texts and items leak nothing; documents
@@ -230,8 +230,9 @@ def find_leaks(
 
     longer = F.when(whole > window, F.greatest(enough, F.least(F.lit(LONG), whole - 2)))
     found = F.greatest(*[tokens_of(p, enough) for p in ("firm", "same", "both")], tokens_of("places", longer, LITERAL))
-    leaks = judged.withColumn("n_tokens", found).select("doc_id", "k1", "k2", "item_id", "n_tokens").unionByName(copies)
-    leaks = leaks.groupBy("doc_id", "k1", "k2", "item_id").agg(F.max("n_tokens").alias("n_tokens"))
+    by_template = judged.withColumn("n_tokens", found).select("doc_id", "k1", "k2", "item_id", "n_tokens", F.lit(None).cast("int").alias("n_words"))
+    by_words = copies.select("doc_id", "k1", "k2", "item_id", F.lit(None).cast("int").alias("n_tokens"), F.col("n_tokens").alias("n_words"))
+    leaks = by_template.unionByName(by_words).groupBy("doc_id", "k1", "k2", "item_id").agg(F.coalesce(F.max("n_tokens"), F.max("n_words")).alias("n_tokens"))
     return leaks.where("n_tokens is not null")  # after the maximum, as a filter on ``found`` would repeat all its steps
 
 
