@@ -6,11 +6,11 @@ import math
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import settled
 from ..functions.color import file_stem, inverse_depth, quantize, rainbow
 
 
@@ -138,22 +138,33 @@ def ellipse_spans(size: int) -> dict[int, int]:
     return {dy: round(r * math.sqrt((r * r - dy * dy) / (r * r))) if r else 0 for dy in range(-r, r + 1)}
 
 
-def _windowed(rows: DataFrame, radius: int, work: Callable, schema: str, id_col: str) -> DataFrame:
+def _windowed(rows: DataFrame, radius: int, work: Callable, schema: str, id_col: str, tile: int = WINDOW_TILE) -> DataFrame:
     """``work`` (image id, first row, first column, rows) on square tiles with the rows around them; it returns rows of the tile alone.
 
     A row goes to its own tile and to those that it is near; so a task holds a
     tile and its rim, not an image.
     """
-    near = lambda a: F.sequence(F.floor((F.col(a) - radius) / WINDOW_TILE), F.floor((F.col(a) + radius) / WINDOW_TILE))
+    near = lambda a: F.sequence(F.floor((F.col(a) - radius) / tile), F.floor((F.col(a) + radius) / tile))
     sent = rows.withColumn("tv", F.explode(near("iv"))).withColumn("tu", F.explode(near("iu"))).where("tv >= 0 and tu >= 0")
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
         image, tv, tu = (k.as_py() for k in key)
-        return work(image, tv * WINDOW_TILE, tu * WINDOW_TILE, part)
+        return work(image, tv * tile, tu * tile, part)
 
     return sent.groupBy(id_col, "tv", "tu").applyInArrow(run, schema)
 
 
+def _crop(part: pa.Table, column: str, top: int, left: int, radius: int, tile: int, width: int, height: int) -> tuple[np.ndarray, int, int]:
+    """A tile with its rim, cut where the image ends, so that a kernel meets the image's borders as in the whole image; missing pixels are 0.
+
+    Returns the array and the place of the tile's first pixel in it.
+    """
+    begin_v, begin_u = max(0, top - radius), max(0, left - radius)
+    out = np.zeros((min(height, top + tile + radius) - begin_v, min(width, left + tile + radius) - begin_u))
+    out[part["iv"].to_numpy() - begin_v, part["iu"].to_numpy() - begin_u] = part[column].to_numpy()
+    return out, top - begin_v, left - begin_u
+
+
 def _grid(part: pa.Table, column: str, top: int, left: int, radius: int, fill: float, kind=np.float64) -> np.ndarray:
     """A tile with its rim as an array."""
     out = np.full((WINDOW_TILE + 2 * radius, WINDOW_TILE + 2 * radius), fill, kind)
@@ -258,59 +269,152 @@ def _blurred(image: np.ndarray, size: int, sigma: float) -> np.ndarray:
     return sum(k * rows[:, i : i + image.shape[1]] for i, k in enumerate(kernel))
 
 
-def _image(part: pd.DataFrame, width: int, height: int, value: str) -> np.ndarray:
-    out = np.zeros((height, width))
-    out[part["iv"].to_numpy(int), part["iu"].to_numpy(int)] = part[value]
-    return out
+#: Side of the tiles of kernels with wide rims.
+WIDE_TILE = 256
+#: Windows of the completion without a guide: two dilations, a closing, a blur and its deviation (fixed values).
+GROWN, CLOSED, BLURRED, DEVIATION = (5, 15), 61, 9, 3.0
+
 
+def completed(image: np.ndarray) -> np.ndarray:
+    """Two dilations, a wide closing and a blur of an array of depths, 0 where there is none."""
+    for size in GROWN:
+        image = _window(image, ellipse_spans(size), np.maximum, 0.0)
+    spans = ellipse_spans(CLOSED)
+    closed = _window(_window(image, spans, np.maximum, 0.0), spans, np.minimum, np.inf)
+    return _blurred(closed, BLURRED, DEVIATION)
 
-def _rows(image: np.ndarray, key, id_col: str, value: str) -> pd.DataFrame:
-    iv, iu = np.nonzero(image)
-    return pd.DataFrame({id_col: key[0], "iv": iv.astype(np.int32), "iu": iu.astype(np.int32), value: image[iv, iu]})
 
+def _positions(df: DataFrame, value: str, id_col: str) -> DataFrame:
+    """Image, row, column and value of the pixels inside the image's first quadrant, by one kind each."""
+    kinds = {id_col: "long", "iv": "int", "iu": "int", value: "double"}
+    return df.select(*(F.col(c).cast(k).alias(c) for c, k in kinds.items()))
 
-def densify_morphological(depths: DataFrame, width: int, height: int, id_col: str = "cam_id") -> DataFrame:
-    """Depth completed without a guide: two dilations, a wide closing, a blur; measured pixels stay. One image a group."""
 
-    def fill(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        image = _image(part[part["depth"] > 0], width, height, "depth")
-        for size in (5, 15):
-            image = _window(image, ellipse_spans(size), np.maximum, 0.0)
-        spans = ellipse_spans(61)
-        closed = _window(_window(image, spans, np.maximum, 0.0), spans, np.minimum, np.inf)
-        return _rows(_blurred(closed, 9, 3.0), key, id_col, "depth")
+def densify_morphological(depths: DataFrame, width: int, height: int, id_col: str = "cam_id", tile: int = WIDE_TILE) -> DataFrame:
+    """Depth completed without a guide: two dilations, a wide closing, a blur; measured pixels stay.
 
-    filled = depths.groupBy(id_col).applyInPandas(fill, f"{id_col} long, iv int, iu int, depth double")
+    The rim of a tile is as wide as all these windows together, so an image of
+    any size comes in tiles, and each is what the whole image would give.
+    """
+    radius = sum(size // 2 for size in GROWN) + 2 * (CLOSED // 2) + BLURRED // 2
+
+    def fill(image: int, top: int, left: int, part: pa.Table) -> pa.Table:
+        if top >= height or left >= width:
+            return _table(id_col, image, top, left, np.zeros((0, 0)), np.zeros((0, 0)), "depth")
+        whole, v, u = _crop(part, "depth", top, left, radius, tile, width, height)
+        found = completed(whole)[v : v + tile, u : u + tile]
+        return _table(id_col, image, top, left, found, found, "depth")
+
+    valid = _positions(depths.where("depth > 0"), "depth", id_col).where((F.col("iv") < height) & (F.col("iu") < width))
+    filled = _windowed(valid, radius, fill, f"{id_col} long, iv int, iu int, depth double", id_col, tile)
     return _restored(filled, depths, id_col)
 
 
-def canny_edges(pixels: DataFrame, width: int, height: int, low: float = 50.0, high: float = 150.0, id_col: str = "cam_id") -> DataFrame:
-    """(cam_id, iv, iu) of edge pixels of grey images (column ``grey``): gradient, thinning, hysteresis. One image a group."""
-
-    def edges(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        grey = np.pad(_image(part, width, height, "grey"), 1, mode="edge")
-        left, mid, right = (grey[:, k : k + width] for k in range(3))
-        down = left + 2 * mid + right
-        gy = down[2:] - down[:-2]
-        side = right - left
-        gx = side[:-2] + 2 * side[1:-1] + side[2:]
-        size = np.abs(gx) + np.abs(gy)
-        wide = np.pad(size, 1)
-        sector = np.round(np.arctan2(gy, gx) / (np.pi / 4)).astype(int) % 4
-        keep = np.zeros_like(size, bool)
-        for k, (dy, dx) in enumerate(((0, 1), (1, 1), (1, 0), (1, -1))):
-            ahead = wide[1 + dy : 1 + dy + height, 1 + dx : 1 + dx + width]
-            behind = wide[1 - dy : 1 - dy + height, 1 - dx : 1 - dx + width]
-            keep |= (sector == k) & (size > behind) & (size >= ahead)
-        weak, found = keep & (size > low), keep & (size > high)
-        while True:
-            grown = weak & (_window(found.astype(float), {-1: 1, 0: 1, 1: 1}, np.maximum, 0.0) > 0)
-            if (grown == found).all():
-                break
-            found = grown
-        return _rows(found.astype(float), key, id_col, "edge").drop(columns="edge")
-
-    return pixels.groupBy(id_col).applyInPandas(edges, f"{id_col} long, iv int, iu int")
+def thinned(grey: np.ndarray) -> np.ndarray:
+    """Size of the gradient where it is a ridge across its own direction, else 0."""
+    height, width = grey.shape
+    wide = np.pad(grey, 1, mode="edge")
+    left, mid, right = (wide[:, k : k + width] for k in range(3))
+    down = left + 2 * mid + right
+    gy = down[2:] - down[:-2]
+    side = right - left
+    gx = side[:-2] + 2 * side[1:-1] + side[2:]
+    size = np.abs(gx) + np.abs(gy)
+    around = np.pad(size, 1)
+    sector = np.round(np.arctan2(gy, gx) / (np.pi / 4)).astype(int) % 4
+    keep = np.zeros_like(size, bool)
+    for k, (dy, dx) in enumerate(((0, 1), (1, 1), (1, 0), (1, -1))):
+        ahead = around[1 + dy : 1 + dy + height, 1 + dx : 1 + dx + width]
+        behind = around[1 - dy : 1 - dy + height, 1 - dx : 1 - dx + width]
+        keep |= (sector == k) & (size > behind) & (size >= ahead)
+    return np.where(keep, size, 0.0)
+
+
+def _blobs(mask: np.ndarray) -> np.ndarray:
+    """For each set pixel the least flat place of those that it is connected with, also over corners."""
+    place = np.arange(mask.size).reshape(mask.shape)
+    label = np.arange(mask.size)
+    pairs = []
+    for dy, dx in ((0, 1), (1, 0), (1, 1), (1, -1)):
+        a = (slice(0, mask.shape[0] - dy), slice(max(0, -dx), mask.shape[1] - max(0, dx)))
+        b = (slice(dy, None), slice(max(0, dx), mask.shape[1] + min(0, dx)))
+        both = mask[a] & mask[b]
+        pairs.append(np.stack([place[a][both], place[b][both]]))
+    one, other = np.concatenate(pairs, axis=1)
+    while True:
+        low = np.minimum(label[one], label[other])
+        if (label[one] == low).all() and (label[other] == low).all():
+            return label.reshape(mask.shape)
+        np.minimum.at(label, label[one], low)
+        np.minimum.at(label, label[other], low)
+        for _ in range(2):
+            label = label[label]
+
+
+def edge_candidates(pixels: DataFrame, width: int, height: int, low: float, high: float, id_col: str = "cam_id", tile: int = WIDE_TILE) -> DataFrame:
+    """(cam_id, iv, iu, strong, blob): ridges of the gradient of grey images (column ``grey``) above ``low``, and whether they are above ``high``.
+
+    ``blob`` numbers what is connected inside a tile, by a pixel of the image.
+    """
+
+    def find(image: int, top: int, left: int, part: pa.Table) -> pa.Table:
+        if top >= height or left >= width:
+            sizes = np.zeros((0, 0))
+        else:
+            whole, v, u = _crop(part, "grey", top, left, 2, tile, width, height)
+            sizes = thinned(whole)[v : v + tile, u : u + tile]
+        iv, iu = np.nonzero(sizes > low)
+        blob = _blobs(sizes > low)[iv, iu] if len(iv) else np.zeros(0, int)
+        columns = max(sizes.shape[1], 1)
+        number = (blob // columns + top).astype(np.int64) * width + blob % columns + left
+        return pa.table({
+            id_col: pa.array(np.full(len(iv), image, np.int64)), "iv": pa.array((iv + top).astype(np.int32)), "iu": pa.array((iu + left).astype(np.int32)),
+            "strong": pa.array(sizes[iv, iu] > high), "blob": pa.array(number),
+        })
+
+    inside = _positions(pixels, "grey", id_col).where((F.col("iv") < height) & (F.col("iu") < width))
+    return _windowed(inside, 2, find, f"{id_col} long, iv int, iu int, strong boolean, blob long", id_col, tile)
+
+
+def _joined_blobs(blobs: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
+    """(cam_id, blob, root): blobs that are linked over the borders of tiles share a root.
+
+    Each round takes the least root among neighbours, then that root's own, so
+    the rounds grow with the logarithm of a chain's length.
+    """
+    both = settled(links.union(links.select(id_col, F.col("other").alias("blob"), F.col("blob").alias("other"))).distinct())
+    roots = blobs.select(id_col, "blob", F.col("blob").alias("root"))
+    while True:
+        of_other = roots.select(id_col, F.col("blob").alias("other"), F.col("root").alias("theirs"))
+        least = both.join(of_other, [id_col, "other"]).groupBy(id_col, "blob").agg(F.min("theirs").alias("theirs"))
+        lower = roots.join(least, [id_col, "blob"], "left").select(id_col, "blob", "root", F.least("root", "theirs").alias("now"))
+        lower = settled(lower)
+        beyond = lower.select(id_col, F.col("blob").alias("now"), F.col("now").alias("further"))
+        after = settled(lower.join(beyond, [id_col, "now"]).select(id_col, "blob", F.col("further").alias("root"), (F.col("further") != F.col("root")).alias("moved")))
+        if not after.where("moved").limit(1).count():
+            return after.select(id_col, "blob", "root")
+        roots = after.select(id_col, "blob", "root")
+
+
+def canny_edges(pixels: DataFrame, width: int, height: int, low: float = 50.0, high: float = 150.0, id_col: str = "cam_id", tile: int = WIDE_TILE) -> DataFrame:
+    """(cam_id, iv, iu) of edge pixels of grey images (column ``grey``): gradient, thinning, hysteresis.
+
+    Images of any size come in tiles. Weak pixels are connected inside tiles
+    first; pixels on the borders of tiles link their blobs, and a blob is an
+    edge if one that it is linked with holds a strong pixel.
+    """
+    found = settled(edge_candidates(pixels, width, height, low, high, id_col, tile))
+    blobs = found.groupBy(id_col, "blob").agg(F.max("strong").alias("strong"))
+    at_border = " or ".join(f"{a} % {tile} in (0, {tile - 1})" for a in ("iv", "iu"))
+    border = found.where(at_border).select(id_col, "iv", "iu", "blob")
+    steps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 1), (1, 0), (1, 1), (1, -1))])
+    ahead = border.withColumn("step", F.explode(steps)).select(id_col, (F.col("iv") + F.col("step.dy")).alias("iv"), (F.col("iu") + F.col("step.dx")).alias("iu"), F.col("blob").alias("other"))
+    links = border.join(ahead, [id_col, "iv", "iu"]).where("blob <> other").select(id_col, "blob", "other")
+    roots = _joined_blobs(blobs, links, id_col)
+    whole = blobs.join(roots, [id_col, "blob"])
+    strong = whole.groupBy(id_col, "root").agg(F.max("strong").alias("strong")).where("strong").select(id_col, "root")
+    kept = roots.join(strong, [id_col, "root"], "left_semi").select(id_col, "blob")
+    return found.join(kept, [id_col, "blob"], "left_semi").select(id_col, "iv", "iu")
 
 
 def keep_edges(edge_points: DataFrame, points: DataFrame, size: float, id_col: str = "cam_id") -> DataFrame:

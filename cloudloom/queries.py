@@ -489,10 +489,39 @@ def densify_morphological(spark, d):
     return raster.densify_morphological(_depths(spark, d), CAMERA.width, CAMERA.height).where("depth > 0")
 
 
+#: Grey images of depths, and the gradient's ridges: sums of rows and columns by look-back windows over the whole grid.
+_ROW, _COL = "(partition by cam_id, iv order by iu)", "(partition by cam_id, iu order by iv)"
+
+
+def _thin_sql() -> str:
+    side = lambda c, over, pad: f"coalesce(lag({c}) over {over}, {pad}) {c}_b, coalesce(lead({c}) over {over}, {pad}) {c}_a"
+    parts = {
+        "grid": "select c.cam_id, iv, iu, coalesce(least(cast(depth as double) * 3e0, 255e0), 0e0) g from (select distinct cam_id from zb) c, (select unnest(range(120)) iv) y, (select unnest(range(160)) iu) x left join zb using (cam_id, iv, iu)",
+        "h": f"select *, {side('g', _ROW, 'g')} from grid",
+        "h2": "select *, g_a - g_b s, g_b + 2e0 * g + g_a w from h",
+        "h3": f"select *, {side('s', _COL, 's')}, {side('w', _COL, 'w')} from h2",
+        "gr": "select cam_id, iv, iu, s_b + 2e0 * s + s_a gx, w_a - w_b gy from h3",
+        "m": "select *, abs(gx) + abs(gy) m, ((cast(round_even(atan2(gy, gx) / (pi() / 4e0), 0) as integer) % 4) + 4) % 4 sector from gr",
+        "m1": f"select *, {side('m', _ROW, '0e0')} from m",
+        "m2": f"select *, {side('m', _COL, '0e0').replace('m_', 'v_')}, {side('m_a', _COL, '0e0')}, {side('m_b', _COL, '0e0')} from m1",
+    }
+    rule = " or ".join(f"(sector = {k} and m > {b} and m >= {a})" for k, (b, a) in enumerate((("m_b", "m_a"), ("m_b_b", "m_a_a"), ("v_b", "v_a"), ("m_a_b", "m_b_a"))))
+    return duckdb_with("fx_camera", "fx_points", rot=_CAM_ROT, seen=_SEEN, uv=_UV, pix=_PIX, zb=_Z, **parts) + f"select cam_id, cast(iv as integer) iv, cast(iu as integer) iu, m > 15e1 strong from m2 where m > 5e1 and ({rule})"
+
+
+def _grey(spark, d):
+    return _depths(spark, d).select("cam_id", "iv", "iu", F.least(F.col("depth").cast("double") * 3.0, F.lit(255.0)).alias("grey"))
+
+
+@query(_thin_sql())
+def edge_candidates(spark, d):
+    """Thinned gradients above the lower threshold, before hysteresis."""
+    return raster.edge_candidates(_grey(spark, d), CAMERA.width, CAMERA.height, 50.0, 150.0).drop("blob")
+
+
 @query()
 def canny_edges(spark, d):
-    grey = _depths(spark, d).select("cam_id", "iv", "iu", F.least(F.col("depth").cast("double") * 3.0, F.lit(255.0)).alias("grey"))
-    return raster.canny_edges(grey, CAMERA.width, CAMERA.height)
+    return raster.canny_edges(_grey(spark, d), CAMERA.width, CAMERA.height)
 
 
 @query()
