@@ -78,9 +78,9 @@ def _hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 2)).otherwise(t)))
 
 
-def _words(tokens: Column) -> Column:
-    """All words in lower case, slots or not; a slot of several names is several words."""
-    return F.flatten(F.transform(tokens, lambda t: F.when(_is_slot(t), F.split(t.substr(F.lit(3), F.length(t) - 3), " ")).otherwise(F.array(t))))
+def _words(text: Column) -> Column:
+    """All words of a text in lower case, without slots."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def _windows(hashes: Column, size: int) -> Column:
@@ -113,7 +113,7 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
 
 def _verbatim_windows(items: DataFrame, id_col: str, text_col: str, cover: int) -> DataFrame:
     """(item_id, words, at, size, h): windows of ``cover`` words of each item, or the whole shorter one."""
-    picked = items.select(F.col(id_col).cast("long").alias("item_id"), _words(template_tokens(F.col(text_col))).alias("words"))
+    picked = items.select(F.col(id_col).cast("long").alias("item_id"), _words(F.col(text_col)).alias("words"))
     sized = picked.where("item_id is not null and size(words) > 0").distinct().withColumn("size", F.least(F.size("words"), F.lit(cover)))
     hashes = F.transform("words", lambda w: F.xxhash64(w))
     rows = sized.withColumn("hashes", hashes).withColumn("at", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)))
@@ -165,8 +165,7 @@ def find_leaks(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keys(F.col(id_col).cast("long"), text), text.alias("text"))
     if not sizes:
         return rows.where("false").select("doc_id", "k1", "k2", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("n_tokens"))
-    tokens = rows.select("k1", "k2", template_tokens(F.col("text")).alias("tokens"))
-    hashed = tokens.select("k1", "k2", _hashes(F.col("tokens")).alias("template"), F.transform(_words(F.col("tokens")), lambda w: F.xxhash64(w)).alias("words"))
+    hashed = rows.select("k1", "k2", _hashes(template_tokens(F.col("text"))).alias("template"), F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
     # windows of every kind and size, one after the other, in one pass over the texts; ``begin`` is where each kind's begin
     begin, before = [], F.lit(0)
     for kind, size in sizes:
@@ -196,10 +195,10 @@ def find_leaks(
     copied = copied.groupBy("k1", "k2", "item_id", "shift").agg(F.min("at").alias("at"))
     met = long.select("k1", "k2").union(copied.select("k1", "k2")).distinct()
     near = rows.join(F.broadcast(met) if long.count() + copied.count() <= broadcast_docs else met, ["k1", "k2"], "left_semi")
-    near = settled(near.dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", template_tokens(F.col("text")).alias("ours")))
+    near = settled(near.dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", template_tokens(F.col("text")).alias("ours"), _words(F.col("text")).alias("our_words")))
     asked = exact.select("item_id", "at", "size", F.col("words").alias("theirs"))
     copies = copied.join(F.broadcast(asked) if few else asked, ["item_id", "at"]).join(near, ["k1", "k2"])
-    copies = copies.where(F.slice(_words(F.col("ours")), F.col("at") + F.col("shift"), F.col("size")) == F.col("theirs"))
+    copies = copies.where(F.slice("our_words", F.col("at") + F.col("shift"), F.col("size")) == F.col("theirs"))
     copies = copies.select("doc_id", "k1", "k2", "item_id", F.col("size").alias("n_tokens"))
     judged = long.join(near, ["k1", "k2"]).withColumns({"our_values": _plain(F.col("ours")), "their_values": _plain(F.col("theirs"))})
     size, whole = F.col("size"), F.size("theirs")
