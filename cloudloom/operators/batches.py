@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.color import frame_name
-from ..functions.sequence import dense_ids, last_rows
+from ..functions.sequence import dense_ids
 
 
 def every_nth(messages: DataFrame, n: int, order: list[str], partition_by: list[str] | None = None, prefix: str = "frame") -> DataFrame:
@@ -28,10 +28,17 @@ def batch_id(messages: DataFrame, every: int, order: list[str], partition_by: li
 
 
 def path_history(poses: DataFrame, most: int, order: list[str], id_col: str) -> DataFrame:
-    """(id, first_id, n_poses): the bounded history that ends at each pose."""
+    """(id, first_id, n_poses): the bounded history that ends at each pose, by its first pose and its length.
+
+    The first pose is looked up by its number, so no history is built;
+    :func:`~cloudloom.functions.sequence.last_rows` builds them.
+    """
+    if most < 1:
+        raise ValueError("most must be at least 1")
     numbered = dense_ids(poses, order, "seq").select("seq", id_col)
-    held = last_rows(numbered, "seq", [id_col], most)
-    return held.select(id_col, F.col("history")[0][id_col].alias("first_id"), F.size("history").alias("n_poses"))
+    asked = numbered.withColumn("first", F.greatest(F.col("seq") - (most - 1), F.lit(0)))
+    firsts = numbered.select(F.col("seq").alias("first"), F.col(id_col).alias("first_id"))
+    return asked.join(firsts, "first").select(id_col, "first_id", F.least(F.col("seq") + 1, F.lit(most)).cast("int").alias("n_poses"))
 
 
 def scan_batches(scans: DataFrame, max_points: int, every: int, drop_tail: bool = False) -> DataFrame:

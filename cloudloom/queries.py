@@ -474,7 +474,7 @@ def weighted_depth(spark, d):
     return raster.weighted_depth(z, _guide(z)).select("cam_id", "iv", "iu", _round(F.col("depth"), 5).alias("depth"))
 
 
-@query(_PIXED + _WEIGHTED + ", o(dy, dx) as (values " + ", ".join(map(str, _ELLIPSE7)) + """),
+@query(_PIXED.replace("zb as (", "zb as materialized (") + _WEIGHTED + ", o(dy, dx) as (values " + ", ".join(map(str, _ELLIPSE7)) + """),
 dil as (select cam_id, iv+dy iv, iu+dx iu, max(depth) depth from wd, o where iv+dy between 0 and 119 and iu+dx between 0 and 159 group by all)
 select dil.cam_id, cast(dil.iv as integer) iv, cast(dil.iu as integer) iu, floor(coalesce(cast(zb.depth as double), dil.depth)*1e5+0.5)/1e5 depth
 from dil left join zb on dil.cam_id = zb.cam_id and dil.iv = zb.iv and dil.iu = zb.iu""")
@@ -494,16 +494,16 @@ _ROW, _COL = "(partition by cam_id, iv order by iu)", "(partition by cam_id, iu
 
 
 def _thin_sql() -> str:
-    side = lambda c, over, pad: f"coalesce(lag({c}) over {over}, {pad}) {c}_b, coalesce(lead({c}) over {over}, {pad}) {c}_a"
+    side = lambda c, over, pad, name=None: f"coalesce(lag({c}) over {over}, {pad}) {name or c}_b, coalesce(lead({c}) over {over}, {pad}) {name or c}_a"
     parts = {
-        "grid": "select c.cam_id, iv, iu, coalesce(least(cast(depth as double) * 3e0, 255e0), 0e0) g from (select distinct cam_id from zb) c, (select unnest(range(120)) iv) y, (select unnest(range(160)) iu) x left join zb using (cam_id, iv, iu)",
+        "grid": "select cam_id, iv, iu, case when depth is null then 0e0 else least(cast(depth as double) * 3e0, 255e0) end g from (select * from (select distinct cam_id from zb) i, (select unnest(range(120)) iv) y, (select unnest(range(160)) iu) x) c left join zb using (cam_id, iv, iu)",
         "h": f"select *, {side('g', _ROW, 'g')} from grid",
         "h2": "select *, g_a - g_b s, g_b + 2e0 * g + g_a w from h",
         "h3": f"select *, {side('s', _COL, 's')}, {side('w', _COL, 'w')} from h2",
         "gr": "select cam_id, iv, iu, s_b + 2e0 * s + s_a gx, w_a - w_b gy from h3",
         "m": "select *, abs(gx) + abs(gy) m, ((cast(round_even(atan2(gy, gx) / (pi() / 4e0), 0) as integer) % 4) + 4) % 4 sector from gr",
         "m1": f"select *, {side('m', _ROW, '0e0')} from m",
-        "m2": f"select *, {side('m', _COL, '0e0').replace('m_', 'v_')}, {side('m_a', _COL, '0e0')}, {side('m_b', _COL, '0e0')} from m1",
+        "m2": f"select *, {side('m', _COL, '0e0', 'v')}, {side('m_a', _COL, '0e0')}, {side('m_b', _COL, '0e0')} from m1",
     }
     rule = " or ".join(f"(sector = {k} and m > {b} and m >= {a})" for k, (b, a) in enumerate((("m_b", "m_a"), ("m_b_b", "m_a_a"), ("v_b", "v_a"), ("m_a_b", "m_b_a"))))
     return duckdb_with("fx_camera", "fx_points", rot=_CAM_ROT, seen=_SEEN, uv=_UV, pix=_PIX, zb=_Z, **parts) + f"select cam_id, cast(iv as integer) iv, cast(iu as integer) iu, m > 15e1 strong from m2 where m > 5e1 and ({rule})"
