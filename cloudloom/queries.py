@@ -15,6 +15,7 @@ from .plans import reconstruct
 from .plans.fixtures import CAMERA, GAP, duckdb_with, view
 from .plans.fixtures import raster as images
 from .sources import png
+from .streaming.accumulate import gathered_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -627,14 +628,16 @@ def path_history(spark, d):
 _SCANS = "select user_id session_id, event_id, cast(floor(\"value\") as bigint) n, row_number() over (partition by user_id order by event_id) k from events"
 
 
-@query(f"""with recursive s as ({_SCANS}), walk as (
+_WALK = f"""with recursive s as ({_SCANS}), walk as (
   select session_id, k, event_id, n, 0::bigint batch, 1 cnt, n points, event_id first_index, n >= 500 or 1 >= 20 closed from s where k = 1
   union all
   select s.session_id, s.k, s.event_id, s.n, w.batch + case when w.closed then 1 else 0 end, case when w.closed then 1 else w.cnt + 1 end,
     case when w.closed then s.n else w.points + s.n end, case when w.closed then s.event_id else w.first_index end,
     case when w.closed then s.n >= 500 or 1 >= 20 else w.points + s.n >= 500 or w.cnt + 1 >= 20 end
-  from walk w join s on s.session_id = w.session_id and s.k = w.k + 1)
-select session_id, batch, max(first_index) first_index, max(event_id) last_index, max(points)::bigint n_points, max(points) >= 500 by_size
+  from walk w join s on s.session_id = w.session_id and s.k = w.k + 1)"""
+
+
+@query(_WALK + """ select session_id, batch, max(first_index) first_index, max(event_id) last_index, max(points)::bigint n_points, max(points) >= 500 by_size
 from walk group by session_id, batch""")
 def accumulate_scans(spark, d):
     """Events of a user as scans of a session, their values as sizes."""
@@ -642,6 +645,21 @@ def accumulate_scans(spark, d):
     return batches.accumulate(scans, 500, 20)
 
 
+_PLACE = {"x": "(event_id * 7 + k * 3) % 40 / 4e0 - 5e0", "y": "(k * 5 + event_id) % 24 / 4e0", "z": "event_id % 8 / 2e0"}
+
+
+@query(_WALK + f""", b as (select *, max(event_id) over (partition by session_id, batch) last_index, max(points) over (partition by session_id, batch) >= 500 by_size from walk),
+p as (select session_id, batch, last_index, by_size, {", ".join(f"{v} {a}" for a, v in _PLACE.items())} from (select session_id, batch, last_index, by_size, event_id, unnest(range(n)) k from b) u)
+select session_id, batch, last_index, by_size, 1::bigint n, x, y, z from p where not by_size
+union all select session_id, batch, last_index, by_size, count(*) n, avg(x), avg(y), avg(z) from p where by_size group by session_id, batch, last_index, by_size, floor(x), floor(y), floor(z)""")
+def accumulated_points(spark, d):
+    """The points of the batches themselves: one centroid a voxel where the size closed them, else as they came."""
+    scans = spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").alias("session_id"), F.col("event_id").alias("index"), F.floor("value").alias("size"), F.lit(False).alias("ends"))
+    numbers = F.when(F.col("size") > 0, F.sequence(F.lit(0).cast("long"), F.col("size") - 1)).otherwise(F.array().cast("array<long>"))
+    place = {a: F.expr(f"transform(ks, k -> cast({v.replace('event_id', 'index')} as float))") for a, v in _PLACE.items()}
+    return gathered_batch(scans.withColumn("ks", numbers).select("session_id", "index", *(c.alias(a) for a, c in place.items()), "ends"), 500, 20, 1.0)
+
+
 _PAIRS = _PIXED + "select cam_id, iv, iu, cast(floor(greatest(least(r*255e0, 255e0), 0e0)) as integer) r, cast(floor(greatest(least(g*255e0, 255e0), 0e0)) as integer) g, cast(floor(greatest(least(b*255e0, 255e0), 0e0)) as integer) b from (select *, case when h<1 then 1e0 when h<2 then x when h<4 then 0e0 else x end r, case when h<1 then x when h<3 then 1e0 when h<4 then x else 0e0 end g, case when h<2 then 0e0 when h<3 then x else 1e0 end b from (select *, 1e0 - abs(h - floor(h/2e0)*2e0 - 1e0) x from (select *, (1e0 - greatest(least(case when hi > lo then (cz-lo)/(hi-lo) else 0e0 end, 1e0), 0e0))*27e1/6e1 h from (select *, min(cz) over (partition by cam_id) lo, max(cz) over (partition by cam_id) hi from pix) a) b) c) d"
 
 
