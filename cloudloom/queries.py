@@ -379,6 +379,12 @@ def encode_inverse_depth(spark, d):
     return raster.encoded(_depths(spark, d)).select("cam_id", "iv", "iu", "code")
 
 
+@query(_PIXED + f"select cam_id, iv, iu, code from (select cam_id, iv, iu, {_CODE} code from zb) c where code > 0")
+def depth_png_pixels(spark, d):
+    """The codes once more, written into 16-bit images and read from them."""
+    return png.grey_pixels(png.depth_pngs(raster.encoded(_depths(spark, d)), CAMERA.width, CAMERA.height))
+
+
 _SUMMARY = "select cam_id, count(*) n_valid, min(depth) d_min, max(depth) d_max, count(*)*1e2/19200 coverage from zb where depth > 0 group by cam_id"
 
 

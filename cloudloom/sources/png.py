@@ -119,3 +119,17 @@ def write_files(blobs: DataFrame, folder: str, name_col: str, data_col: str) ->
             yield pd.DataFrame({"name": part[name_col], "size": sizes})
 
     return blobs.select(F.col(name_col), F.col(data_col)).mapInPandas(put, "name string, size long")
+
+
+def grey_pixels(images: DataFrame, id_col: str = "cam_id", value: str = "code") -> DataFrame:
+    """(cam_id, iv, iu, code): pixels of one-channel images (column ``png``) that are not 0; unreadable images have none."""
+
+    def read(batches):
+        for part in batches:
+            for key, data in zip(part[id_col], part["png"]):
+                image = decode_png(bytes(data))
+                if image is not None and image.ndim == 2:
+                    iv, iu = np.nonzero(image)
+                    yield pd.DataFrame({id_col: key, "iv": iv.astype(np.int32), "iu": iu.astype(np.int32), value: image[iv, iu].astype(np.int32)})
+
+    return images.select(id_col, "png").mapInPandas(read, f"{id_col} long, iv int, iu int, {value} int")
