@@ -5,53 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import settled
 from ..functions.geometry import rotation, shift_time, slerp_weights
 
 _SAMPLE = ["odom_id", "t", "px", "py", "pz", "qx", "qy", "qz", "qw"]
 
 
 def asof_bracket(
-    images: DataFrame, odom: DataFrame, delay: float = 0.0, bucket: float = 3600.0, partition_by: list[str] | None = None
+    images: DataFrame, odom: DataFrame, delay: float = 0.0, ranges: int | None = None, partition_by: list[str] | None = None
 ) -> DataFrame:
     """Each image with the odometry sample before and the first one at or after its shifted time.
 
     images: image_id, t. odom: odom_id, t, position and quaternion. Returns
     image_id, t (shifted), ``before`` and ``after`` structs; an image ahead of
-    all samples has no ``before``, one behind all has no ``after``, none is
-    dropped. Equal times are ordered by odom_id.
-
-    Time is cut into buckets, so no window spans all rows. Only a table with
-    one row for each bucket is scanned in order, to carry the last sample of
-    earlier and the first of later buckets across.
+    all samples has no ``before``, one behind all has no ``after``, one without
+    a time has neither, none is dropped. Equal times are ordered by odom_id;
+    samples without a time are left out. ``partition_by`` names columns (of a
+    vehicle, say) that an image shares with its samples.
+
+    Samples and images are cut into ``ranges`` (by default as many as the
+    session has shuffle partitions) of their whole order, wherever in time
+    they lie, so an hour of many vehicles is divided like any other rows. Only
+    a table with one row for each range, and group in it, is scanned in order,
+    to carry the last sample of earlier and the first of later ranges across.
     """
     by = list(partition_by or [])
     key = [*by, "__b"]
     sample = F.struct(*_SAMPLE)
     shifted = images.select(*by, "image_id", shift_time(F.col("t"), delay).alias("t"))
-    tagged = odom.select(*by, F.col("t"), F.lit(1).alias("kind"), F.col("odom_id").alias("id"), sample.alias("s")).unionByName(
+    tagged = odom.where("t is not null").select(*by, F.col("t"), F.lit(1).alias("kind"), F.col("odom_id").alias("id"), sample.alias("s")).unionByName(
         shifted.select(*by, "t", F.lit(0).alias("kind"), F.col("image_id").alias("id")), allowMissingColumns=True
     )
     # An image comes ahead of samples with its own time: those are at or after it.
-    tagged = tagged.withColumn("__b", F.floor(F.col("t") / bucket))
+    parts = ranges or int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = settled(tagged.repartitionByRange(parts, *by, "t", "kind", "id").withColumn("__b", F.spark_partition_id()))
     edges = tagged.groupBy(*key).agg(
         F.max(F.when(F.col("kind") == 1, F.struct("t", "id", "s")))["s"].alias("__last"),
         F.min(F.when(F.col("kind") == 1, F.struct("t", "id", "s")))["s"].alias("__first"),
     )
-    order = Window.partitionBy(*by).orderBy("__b") if by else Window.orderBy("__b")
-    carried = edges.select(
-        *key,
-        F.last("__last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__in"),
-        F.first("__first", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__out"),
-    )
-    inside = Window.partitionBy(*key).orderBy("t", "kind", "id")
+    # What follows is read backwards: a frame up to the end would go through all the rest of a range for each row.
+    whole = Window.partitionBy(*by) if by else Window
+    passed = lambda value, order: F.last(value, True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    carried = edges.select(*key, passed("__last", whole.orderBy("__b")).alias("__in"), passed("__first", whole.orderBy(F.desc("__b"))).alias("__out"))
+    inside, at = Window.partitionBy(*key), ("t", "kind", "id")
     seen = tagged.select(
-        *key, "t", "kind", "id",
-        F.last("s", True).over(inside.rowsBetween(Window.unboundedPreceding, -1)).alias("__prev"),
-        F.first("s", True).over(inside.rowsBetween(1, Window.unboundedFollowing)).alias("__next"),
+        *key, *at, passed("s", inside.orderBy(*at)).alias("__prev"), passed("s", inside.orderBy(*map(F.desc, at))).alias("__next")
     ).where("kind = 0")
-    joined = seen.join(carried, key)
+    names = [f"__k{k}" for k in range(len(key))]
+    joined = seen.join(carried.toDF(*names, "__in", "__out"), [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)])
+    timed = lambda inner, outer: F.when(F.col("t").isNotNull(), F.coalesce(inner, outer))
     return joined.select(
-        *by, F.col("id").alias("image_id"), "t", F.coalesce("__prev", "__in").alias("before"), F.coalesce("__next", "__out").alias("after")
+        *by, F.col("id").alias("image_id"), "t", timed("__prev", "__in").alias("before"), timed("__next", "__out").alias("after")
     )
 
 

@@ -67,24 +67,32 @@ def edge_lookup(projected: DataFrame, mask: DataFrame, id_col: str = "cam_id") -
 
 #: Side of the square tiles in which pixels meet what looks them up: with a rim, small enough to go along with each row.
 TILE = 8
+#: Most keys of tiles (about 64 bytes each) that are broadcast.
+BROADCAST_TILES = 500_000
 #: Side of the tiles that a window moves over in one task.
 WINDOW_TILE = 64
 
 
-def tiles(pixels: DataFrame, channels: list[str], rim: int, id_col: str = "cam_id") -> DataFrame:
+def tiles(pixels: DataFrame, channels: list[str], rim: int, id_col: str = "cam_id", asked: DataFrame | None = None) -> DataFrame:
     """(cam_id, tv, tu, tile): a map from place in the tile (row * (TILE + rim) + column) to the channels.
 
     Each tile also holds ``rim`` pixels beyond its lower and right edge; of a
-    pixel that is there twice any one is taken.
+    pixel that is there twice any one is taken. ``asked`` (cam_id, tv, tu)
+    names the only tiles that are wanted.
     """
     side = TILE + rim
-    homes = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in range(1 + (rim > 0)) for dx in range(1 + (rim > 0))])
-    spread = pixels.withColumn("home", F.explode(homes)) if rim else pixels.withColumn("home", F.struct(F.lit(0).alias("dy"), F.lit(0).alias("dx")))
+    # Only pixels in a tile's first ``rim`` rows or columns go to the tile before too.
+    homes = lambda down, right: F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in range(1 + down) for dx in range(1 + right)])
+    below, beside = F.col("iv") % TILE < rim, F.col("iu") % TILE < rim
+    home = F.when(below & beside, homes(1, 1)).when(below, homes(1, 0)).when(beside, homes(0, 1)).otherwise(homes(0, 0))
+    spread = pixels.withColumn("home", F.explode(home) if rim else F.struct(F.lit(0).alias("dy"), F.lit(0).alias("dx")))
     placed = spread.select(
         id_col, *(F.expr(f"cast(i{a} div {TILE} - home.d{b} as int)").alias(f"t{a}") for a, b in (("v", "y"), ("u", "x"))), "iv", "iu", *channels
     )
     row, column = F.col("iv") - F.col("tv") * TILE, F.col("iu") - F.col("tu") * TILE
-    inside = placed.where((F.col("tv") >= 0) & (F.col("tu") >= 0) & (row < side) & (column < side))
+    inside = placed.where((F.col("tv") >= 0) & (F.col("tu") >= 0))
+    if asked is not None:
+        inside = inside.join(asked, [id_col, "tv", "tu"], "left_semi")
     entry = F.struct((row * side + column).cast("int").alias("at"), F.struct(*channels).alias("value"))
     held = inside.groupBy(id_col, "tv", "tu").agg(F.collect_list(entry).alias("held"))
     # Pixels of a tile are few, so repeated ones are settled by sorting them.
@@ -102,24 +110,34 @@ def _tile_of(row: Column, column: Column) -> dict[str, Column]:
     return {"tv": F.floor(row / TILE).cast("int"), "tu": F.floor(column / TILE).cast("int")}
 
 
-def gather(rows: DataFrame, pixels: DataFrame, channels: list[str], id_col: str = "cam_id") -> DataFrame:
+def _asked(placed: DataFrame, id_col: str, broadcast_tiles: int) -> DataFrame:
+    """(cam_id, tv, tu): the tiles that rows fall into, broadcast where they are few, so that other pixels do not get into a shuffle."""
+    found = settled(placed.select(id_col, "tv", "tu").distinct())
+    return F.broadcast(found) if found.count() <= broadcast_tiles else found
+
+
+def gather(rows: DataFrame, pixels: DataFrame, channels: list[str], id_col: str = "cam_id", broadcast_tiles: int = BROADCAST_TILES) -> DataFrame:
     """``rows`` (with iv, iu) and the channels of their pixels; rows without one are dropped."""
     placed = _worked_out(rows, [c for c in rows.columns if c not in ("iv", "iu")], iv=F.col("iv"), iu=F.col("iu"), **_tile_of(F.col("iv"), F.col("iu")))
-    met = placed.join(tiles(pixels, channels, 0, id_col), [id_col, "tv", "tu"])
+    placed = settled(placed)
+    met = placed.join(tiles(pixels, channels, 0, id_col, _asked(placed, id_col, broadcast_tiles)), [id_col, "tv", "tu"])
     at = (F.col("iv") - F.col("tv") * TILE) * TILE + F.col("iu") - F.col("tu") * TILE
     found = met.withColumn("value", F.try_element_at("tile", at.cast("int"))).where("value is not null")
     return found.select(*rows.columns, *(F.col(f"value.{c}").alias(c) for c in channels))
 
 
-def bilinear(projected: DataFrame, pixels: DataFrame, width: int, height: int, channels: list[str], id_col: str = "cam_id") -> DataFrame:
+def bilinear(
+    projected: DataFrame, pixels: DataFrame, width: int, height: int, channels: list[str], id_col: str = "cam_id", broadcast_tiles: int = BROADCAST_TILES
+) -> DataFrame:
     """Each channel (0..1) at (u, v), blended from the four pixels around; points that lack one are dropped.
 
     One join on tiles of pixels, which have a rim so that all four are in the
-    tile of the first.
+    tile of the first. Points are worked out first; tiles that none of them
+    falls into are not built.
     """
     x0, y0 = F.floor("u").cast("int"), F.floor("v").cast("int")
-    placed = _worked_out(projected, [id_col, "point_id"], x0=x0, y0=y0, fx=F.col("u") - x0, fy=F.col("v") - y0, **_tile_of(y0, x0))
-    met = placed.join(tiles(pixels, channels, 1, id_col), [id_col, "tv", "tu"])
+    placed = settled(_worked_out(projected, [id_col, "point_id"], x0=x0, y0=y0, fx=F.col("u") - x0, fy=F.col("v") - y0, **_tile_of(y0, x0)))
+    met = placed.join(tiles(pixels, channels, 1, id_col, _asked(placed, id_col, broadcast_tiles)), [id_col, "tv", "tu"])
     x1, y1 = F.least(F.col("x0") + 1, F.lit(width - 1)), F.least(F.col("y0") + 1, F.lit(height - 1))
     side = TILE + 1
     place = lambda y, x: ((y - F.col("tv") * TILE) * side + x - F.col("tu") * TILE).cast("int")

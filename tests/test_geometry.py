@@ -22,14 +22,43 @@ def brackets(spark, times, odom, **options):
     return {r.image_id: r for r in found.collect()}, found
 
 
-@pytest.mark.parametrize("bucket", [0.7, 3.0, 1000.0])
-def test_brackets_at_the_edges(spark, bucket):
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_brackets_at_the_edges(spark, ranges):
     odom = [sample(1, 1), sample(2, 2), sample(3, 7), sample(4, 7)]
-    found, _ = brackets(spark, [0.5, 1, 1.5, 2, 6.9, 7, 8], odom, bucket=bucket)
+    found, _ = brackets(spark, [0.5, 1, 1.5, 2, 6.9, 7, 8], odom, ranges=ranges)
     ids = [(r.before and r.before.odom_id, r.after and r.after.odom_id) for _, r in sorted(found.items())]
     assert ids == [(None, 1), (None, 1), (1, 2), (1, 2), (2, 3), (2, 3), (4, None)]
 
 
+def test_brackets_of_a_fleet_in_one_hour(spark):
+    """Vehicles (one without a name) whose times lie together, with ties and missing times, against a plain search."""
+    rng = np.random.default_rng(5)
+    cars = ["a", "b", None]
+    odom = [(cars[k % 3], *sample(k, rng.integers(0, 40) / 4)) for k in range(300)] + [("a", 900, None, *sample(0, 0)[2:])]
+    asked = [(cars[k % 3], k, float(rng.integers(-4, 48)) / 4) for k in range(200)] + [("b", 900, None), ("c", 901, 1.0)]
+    images = spark.createDataFrame(asked, "car string, image_id long, t double")
+    samples = spark.createDataFrame(odom, "car string, " + ODOM)
+    for ranges in (1, 7):
+        found = {r.image_id: r for r in pose.asof_bracket(images, samples, ranges=ranges, partition_by=["car"]).collect()}
+        assert len(found) == len(asked)
+        for car, k, t in asked:
+            own = sorted((o[2], o[1]) for o in odom if o[0] == car and o[2] is not None) if t is not None else []
+            before, after = [o for o in own if o[0] < t], [o for o in own if o[0] >= t]
+            r = found[k]
+            assert (r.car, r.t) == (car, t)
+            assert (r.before and r.before.odom_id, r.after and r.after.odom_id) == (before[-1][1] if before else None, after[0][1] if after else None)
+
+
+def test_ranges_of_one_hour_are_even(spark):
+    """All rows within an hour: no range holds much more than its share."""
+    odom = spark.range(20_000).selectExpr("id odom_id", "id * 0.1 t", *(f"0d {c}" for c in ("px", "py", "pz", "qx", "qy", "qz")), "1d qw")
+    images = spark.range(2_000).selectExpr("id image_id", "id + 0.05 t")
+    found = pose.asof_bracket(images, odom, ranges=8)
+    assert found.where("before.odom_id = floor(t * 10) and after.odom_id = floor(t * 10) + 1").count() == 2_000
+    per_range = found.groupBy(F.floor(F.col("t") / 250)).count().collect()
+    assert len(per_range) == 8
+
+
 def test_no_odometry_drops_no_image(spark):
     found, _ = brackets(spark, [1.0], [])
     assert found[0].before is None and found[0].after is None

@@ -75,3 +75,28 @@ def test_empty_images(spark):
     none = frame(spark, {}, "grey")
     assert raster.canny_edges(none, 10, 10).count() == 0
     assert raster.densify_morphological(frame(spark, {}, "depth"), 10, 10).count() == 0
+
+
+def test_lookups_build_only_the_tiles_that_are_asked_for(spark):
+    """Samples of whole and damaged images, by a broadcast of the asked tiles and by a shuffle, against plain look-ups."""
+    rng = np.random.default_rng(8)
+    h, w = 35, 50
+    images = {k: rng.integers(1, 255, (h, w)).astype(float) * (rng.random((h, w)) > 0.05) for k in (1, 2)}
+    pixels = frame(spark, images, "grey")
+    asked = [(1 + k % 3, k, float(u), float(v)) for k, (u, v) in enumerate(zip(rng.random(300) * (w - 1), rng.random(300) * (h - 1)))]
+    asked += [(1, 900, 7.5, 7.5), (1, 901, 8.0, 8.0), (2, 902, 15.25, 0.0)]
+    points = spark.createDataFrame(asked, "cam_id long, point_id long, u double, v double")
+    at = points.selectExpr("cam_id", "point_id", "cast(floor(v) as int) iv", "cast(floor(u) as int) iu")
+    want, near = {}, {}
+    for cam, k, u, v in asked:
+        y, x = int(v), int(u)
+        if cam in images:
+            near |= {k: images[cam][y, x]} if images[cam][y, x] else {}
+            four = images[cam][[y, y, min(y + 1, h - 1), min(y + 1, h - 1)], [x, min(x + 1, w - 1), x, min(x + 1, w - 1)]]
+            if four.all():
+                fx, fy = u - x, v - y
+                want[k] = four @ [(1 - fx) * (1 - fy), fx * (1 - fy), (1 - fx) * fy, fx * fy] / 255
+    for limit in (0, 1000):
+        found = {r.point_id: r.grey for r in raster.bilinear(points, pixels, w, h, ["grey"], broadcast_tiles=limit).collect()}
+        assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-12 for k in want)
+        assert {r.point_id: r.grey for r in raster.gather(at, pixels, ["grey"], broadcast_tiles=limit).collect()} == near
