@@ -15,11 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructField, StructType
 
+from ..functions.sequence import dense_ids
+
 #: Bytes of one task's range.
 RANGE = 64 << 20
+#: Points that a task writes at once.
+BLOCK = 1 << 18
 _KINDS = {("F", 4): FloatType(), ("F", 8): DoubleType(), ("I", 4): IntegerType(), ("U", 4): LongType(), ("U", 1): IntegerType(), ("U", 2): IntegerType(), ("I", 1): IntegerType(), ("I", 2): IntegerType(), ("I", 8): LongType()}
 _CODES = {("F", 4): "<f4", ("F", 8): "<f8", ("I", 1): "<i1", ("I", 2): "<i2", ("I", 4): "<i4", ("I", 8): "<i8", ("U", 1): "<u1", ("U", 2): "<u2", ("U", 4): "<u4", ("U", 8): "<u8"}
 
@@ -104,6 +110,79 @@ class PcdReader(DataSourceReader):
         yield pa.record_batch(arrays, [f.name for f in self.wanted])
 
 
+def _header(n: int, color: bool, text: bool) -> bytes:
+    names, more = "x y z" + " rgb" * color, int(color)
+    return (
+        f"# .PCD v0.7\nVERSION 0.7\nFIELDS {names}\nSIZE 4 4 4{' 4' * more}\nTYPE F F F{' U' * more}\nCOUNT 1 1 1{' 1' * more}\n"
+        f"WIDTH {n}\nHEIGHT 1\nVIEWPOINT 0 0 0 1 0 0 0\nPOINTS {n}\nDATA {'ascii' if text else 'binary'}\n"
+    ).encode()
+
+
+def _kind(color: bool, text: bool) -> np.dtype:
+    """A row of a file; in text each number is padded to the longest, so that rows have one length."""
+    if not text:
+        return np.dtype([(a, "<f4") for a in "xyz"] + [("rgb", "<u4")] * color)
+    names = ["x", "y", "z", *["rgb"] * color]
+    return np.dtype([f for k, a in enumerate(names) for f in ((a, "S10" if a == "rgb" else "S15"), (f"end{k}", "S1"))])
+
+
+def _rows(columns: dict[str, np.ndarray], color: bool, text: bool) -> np.ndarray:
+    """Rows as they stand in a file; a missing number is NaN."""
+    rows = np.zeros(len(columns["x"]), _kind(color, text))
+    values = {a: columns[a].astype(np.float32) for a in "xyz"}
+    if color:
+        r, g, b = (columns[c].astype(np.uint32) for c in "rgb")
+        values["rgb"] = r << 16 | g << 8 | b
+    for k, (name, value) in enumerate(values.items()):
+        if text:
+            form = "%10d" if name == "rgb" else "%15.9g"
+            rows[name] = [(form % v).encode() for v in value.tolist()]
+            rows[f"end{k}"] = b"\n" if k == len(values) - 1 else b" "
+        else:
+            rows[name] = value
+    return rows
+
+
+def write_cloud(points: DataFrame, path: str, text: bool = False, overwrite: bool = False, block: int = BLOCK) -> int:
+    """Writes ``points`` (point_id, x, y, z and perhaps r, g, b) as one file in order of ``point_id``; returns their number.
+
+    All rows of a file have one length, so a point's number tells its place:
+    each task writes blocks of points into one file on shared storage, and none
+    pass through the driver. A task that runs again writes the same bytes at
+    the same place. The file gets its name when every block is in it; after a
+    failure nothing is left. Null coordinates become NaN, null colours 0;
+    points of equal ``point_id`` are all written; no points give a file without
+    any; other columns are ignored.
+    """
+    if os.path.exists(path) and not overwrite:
+        raise FileExistsError(path)
+    color = all(c in points.columns for c in "rgb")
+    picked = points.select("point_id", *(F.col(a).cast("float").alias(a) for a in "xyz"), *(F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in "rgb" * color))
+    numbered = dense_ids(picked, ["point_id"], "place")
+    n, width, target = numbered.count(), _kind(color, text).itemsize, f"{path}.{uuid.uuid4().hex}.part"
+    head = _header(n, color, text)
+
+    def put(part: pa.Table) -> pa.Table:
+        part = part.sort_by("place")
+        with open(target, "r+b") as file:
+            file.seek(len(head) + part["place"][0].as_py() * width)
+            file.write(_rows({c: part[c].to_numpy() for c in part.column_names}, color, text).tobytes())
+        return pa.table({"n": [part.num_rows]})
+
+    try:
+        with open(target, "wb") as file:
+            file.write(head)
+            file.truncate(len(head) + n * width)
+        written = numbered.groupBy(F.floor(F.col("place") / block)).applyInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
+        if written != n:
+            raise OSError(f"{path}: {written} of {n} points written")
+        os.replace(target, path)
+    finally:
+        if os.path.exists(target):
+            os.remove(target)
+    return n
+
+
 class _Part(WriterCommitMessage):
     def __init__(self, path: str, first: float, n: int):
         self.path, self.first, self.n = path, first, n
@@ -129,29 +208,15 @@ class PcdWriter(DataSourceArrowWriter):
                 columns = {name: batch.column(k).to_numpy(zero_copy_only=False) for k, name in enumerate(batch.schema.names)}
                 if batch.num_rows and "point_id" in columns:
                     first = min(first, float(columns["point_id"][0]))
-                rows = np.zeros(batch.num_rows, [(a, "<f4") for a in "xyz"] + [("rgb", "<u4")] * self.color)
-                for a in "xyz":
-                    rows[a] = columns[a]
-                if self.color:
-                    rows["rgb"] = columns["r"].astype(np.uint32) << 16 | columns["g"].astype(np.uint32) << 8 | columns["b"].astype(np.uint32)
-                n += len(rows)
-                if self.ascii:
-                    file.writelines((" ".join(f"{v:.9g}" if k < 3 else str(v) for k, v in enumerate(r)) + "\n").encode() for r in rows.tolist())
-                else:
-                    file.write(rows.tobytes())
+                n += batch.num_rows
+                file.write(_rows(columns, self.color, self.ascii).tobytes())
         return _Part(part, first, n)
 
     def commit(self, messages) -> None:
         parts = sorted((m for m in messages if m), key=lambda m: m.first)
         n = sum(m.n for m in parts)
-        names = "x y z" + " rgb" * self.color
-        extra = self.color
-        head = (
-            f"# .PCD v0.7\nVERSION 0.7\nFIELDS {names}\nSIZE 4 4 4{' 4' * extra}\nTYPE F F F{' U' * extra}\nCOUNT 1 1 1{' 1' * extra}\n"
-            f"WIDTH {n}\nHEIGHT 1\nVIEWPOINT 0 0 0 1 0 0 0\nPOINTS {n}\nDATA {'ascii' if self.ascii else 'binary'}\n"
-        )
         with open(self.path, "wb") as out:
-            out.write(head.encode())
+            out.write(_header(n, self.color, self.ascii))
             for m in parts:
                 with open(m.path, "rb") as file:
                     shutil.copyfileobj(file, out)

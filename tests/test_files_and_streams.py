@@ -26,6 +26,27 @@ def test_pcd_round_trip(spark, tmp_path):
     assert [f for f in os.listdir(tmp_path) if f.endswith(".part")] == []
 
 
+@pytest.mark.parametrize("text", [False, True])
+def test_cloud_written_by_tasks_at_their_places(spark, tmp_path, text):
+    """Unordered rows in small blocks come back in order; a failing task leaves no file behind."""
+    spark.dataSource.register(pcd.PcdDataSource)
+    ids = spark.range(0, 3000, 3, 5).orderBy(F.xxhash64("id")).withColumnRenamed("id", "point_id")
+    points = ids.select("point_id", (F.col("point_id") / -7).cast("float").alias("x"), F.when(F.col("point_id") > 0, F.col("point_id") * 1e-30).alias("y"), F.lit(2.5).alias("z"), *((F.col("point_id") % 256).alias(c) for c in "rgb"), F.lit(1).alias("place"))
+    path = str(tmp_path / "c.pcd")
+    assert pcd.write_cloud(points, path, text=text, block=64) == 1000
+    back = spark.read.format("pcd").load(path).orderBy("point_id").collect()
+    want = points.orderBy("point_id").collect()
+    assert [(r.point_id, r.x, r.z, r.r, r.b) for r in back] == [(k, w.x, 2.5, w.r, w.b) for k, w in enumerate(want)]
+    assert np.isnan(back[0].y) and all(r.y == np.float32(w.y) for r, w in zip(back[1:], want[1:]))
+    with pytest.raises(FileExistsError):
+        pcd.write_cloud(points, path)
+    broken = points.withColumn("x", F.when(F.col("point_id") == 30, F.raise_error(F.lit("no"))).otherwise(F.col("x")))
+    with pytest.raises(Exception):
+        pcd.write_cloud(broken, path, overwrite=True)
+    assert pcd.write_cloud(points.where("false").drop("r"), str(tmp_path / "none.pcd"), text=text) == 0
+    assert sorted(os.listdir(tmp_path)) == ["c.pcd", "none.pcd"] and spark.read.format("pcd").load(path).count() == 1000
+
+
 def test_tables_round_trip(spark, tmp_path):
     poses = spark.createDataFrame([(0, "a.png", 1.5, *[k / 8 for k in range(7)])], tables.POSES)
     tables.write_poses(poses, str(tmp_path / "poses"))
