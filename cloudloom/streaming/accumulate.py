@@ -107,7 +107,8 @@ def gathered_batch(scans: DataFrame, max_points: int, every: int, size: float, d
     of_scans = scan_batches(sizes, max_points, every, drop_tail).select("session_id", "index", "batch", "last_index", "by_size")
     points = kept.select("session_id", "index", F.explode(F.arrays_zip("x", "y", "z")).alias("p"))
     points = points.select("session_id", "index", *(F.col(f"p.{a}").cast("double").alias(a) for a in "xyz"))
-    met = points.join(of_scans, ["session_id", "index"])
+    # Both sides look smaller than they are (lists of points, groups of scans), so neither may be broadcast on an estimate.
+    met = points.join(of_scans.hint("merge"), ["session_id", "index"])
     raw = met.where("not by_size").select("session_id", "batch", "last_index", "by_size", F.lit(1).cast("long").alias("n"), "x", "y", "z")
     cells = met.where("by_size").where(finite(F.col("x"), F.col("y"), F.col("z"))).withColumns({f"i{a}": voxel_index(F.col(a), size) for a in "xyz"})
     means = cells.groupBy("session_id", "batch", "last_index", "by_size", "ix", "iy", "iz").agg(F.count("*").alias("n"), *(F.avg(a).alias(a) for a in "xyz"))
