@@ -245,9 +245,11 @@ def _node_links(fps: DataFrame, blocks: int, search, node_limit: int, levels: in
         last = level == levels - 1
         sizes = sizes if last else settled(sizes)
         full = sizes if last else sizes.where(F.col("count") <= node_limit)
+        # By a hash of the node, not by the columns of the join: Spark leaves out a repartition that the join's own shuffle
+        # gives already, and then may read that shuffle by map tasks or split its large partitions, which tears nodes apart.
         edges = (
             nodes.join(full.drop("count"), ["mask", "pattern"])
-            .repartition("mask", "pattern")
+            .repartition(F.xxhash64("mask", "pattern"))
             .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fp")))
             .mapInArrow(_linked(search), "a long, b long")
         )

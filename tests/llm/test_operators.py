@@ -392,6 +392,42 @@ def test_no_link_is_lost(spark, limit):
     assert {v: found.get(v, v) for v in prints} == {v: sets.find(v) for v in prints}
 
 
+AS_PLANNED_FOR_LARGE = {
+    "read by map tasks": {"spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"},
+    "split partitions": {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    },
+}
+
+
+@pytest.mark.parametrize("how", AS_PLANNED_FOR_LARGE)
+def test_nodes_stay_whole_however_their_join_is_read(spark, how):
+    rng = random.Random(4)
+    prints = set()
+    for _ in range(1500):
+        base = rng.getrandbits(63)
+        prints |= {base, base ^ 1 << rng.randrange(63), base ^ 1 << rng.randrange(63) ^ 1 << rng.randrange(63)}
+    prints = sorted(prints)
+    rng.shuffle(prints)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"} | AS_PLANNED_FOR_LARGE[how]
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        table = spark.createDataFrame([(v,) for v in prints], "fp long").repartition(8)
+        found = {r.node: r.root for r in connected_components(simhash.hamming_links(table, 2)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    fps = np.array(prints, np.uint64)
+    sets = Sets(prints)
+    for k, v in enumerate(prints):
+        for other in fps[np.bitwise_count(fps ^ fps[k]) <= 2].tolist():
+            sets.join(v, other)
+    assert {v: found.get(v, v) for v in prints} == {v: sets.find(v) for v in prints}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (7, 7)], "a long, b long")
     found = {r.node: r.root for r in connected_components(edges).collect()}
