@@ -48,10 +48,11 @@ BEFORE_NOUNS = (
     "jede|jeder|jedes|jeden|jedem|diese|dieser|dieses|diesen|diesem|alle|viele|wenige|einige|mehrere|mehr|sein|seine|seinen|seinem|seiner|"
     "ihr|ihre|ihren|ihrem|ihrer|wie"
 )
-_NUMBER = r"(?<![\p{L}\p{N}])\p{N}(?:[\p{N}.,:/]*\p{N})?(?![\p{L}\p{N}])"
+# The look-aheads at their beginnings ask nothing new; they spare most places the looks behind.
+_NUMBER = r"(?=\p{N})(?<![\p{L}\p{N}])\p{N}(?:[\p{N}.,:/]*\p{N})?(?![\p{L}\p{N}])"
 _UNIT = rf"(?<=⟧) ?((?i:{UNITS}))(?![\p{{L}}\p{{N}}])"
 # Not after an article either, nor right after a number, where a noun that is counted stands.
-_NAME = rf"(?<=[\p{{L}}\p{{N}},;⟧] )(?<!(?<!\p{{L}})(?i:{BEFORE_NOUNS}) )(?<!⟦n[^⟧]{{1,40}}⟧ )\p{{Lu}}\p{{L}}*"
+_NAME = rf"(?=\p{{Lu}})(?<=[\p{{L}}\p{{N}},;⟧] )(?<!(?<!\p{{L}})(?i:{BEFORE_NOUNS}) )(?<!⟦n[^⟧]{{1,40}}⟧ )\p{{Lu}}\p{{L}}*"
 _TOKEN = r"⟦[^⟧]*⟧|[\p{L}\p{N}]+"
 
 
@@ -83,10 +84,28 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def _paired(hashes: Column, step: int) -> Column:
+    """Hash of each element and the one ``step`` places on, in order."""
+
+    def pairs(held: Column) -> Column:
+        n = F.greatest(F.size(held) - step, F.lit(0))
+        return F.zip_with(F.slice(held, 1, n), F.slice(held, step + 1, n), lambda a, b: F.xxhash64(a, b))
+
+    return F.get(F.transform(F.array(hashes), pairs), 0)  # so the elements are computed once, not for each of their uses
+
+
 def _windows(hashes: Column, size: int) -> Column:
-    """Hash of each window of ``size`` tokens, in order."""
-    places = F.when(F.size(hashes) >= size, F.sequence(F.lit(1), F.size(hashes) - (size - 1)))
-    return F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.xxhash64(F.slice(hashes, i, size)))
+    """Hash of each window of ``size`` tokens, in order, by pairs of shorter windows; the last two may overlap."""
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        hashes, width = _paired(hashes, step), width + step
+    return hashes
+
+
+def _sized_windows(hashes: Column, size: Column, most: int) -> Column:
+    """The same, for a size of 1 to ``most`` that a column holds."""
+    return F.coalesce(*[F.when(size == k, _windows(hashes, k)) for k in range(1, most + 1)])
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -101,11 +120,9 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     sized = picked.where("item_id is not null and size(tokens) > 0").distinct().withColumn("size", F.least(F.size("tokens"), F.lit(window)))
     hashed = sized.withColumn("hashes", _hashes(F.col("tokens")))
     named = F.concat(F.array(F.xxhash64(F.lit("⟦a"))), F.slice("hashes", 2, window))
-    places = F.transform(
-        F.sequence(F.lit(1), F.size("hashes") - F.col("size") + 1),
-        lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("hashes", i, F.col("size"))).alias("h")),
-    )
-    second = F.when(F.size("hashes") == F.col("size"), F.array(F.struct(F.lit(1).alias("at"), F.xxhash64(named).alias("h"))))
+    places = F.transform(_sized_windows(F.col("hashes"), F.col("size"), window), lambda h, i: F.struct((i + 1).alias("at"), h.alias("h")))
+    renamed = F.get(_sized_windows(named, F.col("size"), window), 0)
+    second = F.when(F.size("hashes") == F.col("size"), F.array(F.struct(F.lit(1).alias("at"), renamed.alias("h"))))
     rows = hashed.select("item_id", "tokens", "size", F.explode(F.array_union(places, F.coalesce(second, F.slice(places, 1, 0)))).alias("w"))
     rows = rows.select("item_id", "tokens", "size", "w.at", "w.h")
     return rows.where(_n_literal(F.slice("tokens", F.col("at"), F.col("size"))) > 0)
@@ -116,8 +133,9 @@ def _verbatim_windows(items: DataFrame, id_col: str, text_col: str, cover: int)
     picked = items.select(F.col(id_col).cast("long").alias("item_id"), _words(F.col(text_col)).alias("words"))
     sized = picked.where("item_id is not null and size(words) > 0").distinct().withColumn("size", F.least(F.size("words"), F.lit(cover)))
     hashes = F.transform("words", lambda w: F.xxhash64(w))
-    rows = sized.withColumn("hashes", hashes).withColumn("at", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)))
-    return rows.select("item_id", F.slice("words", F.col("at"), F.col("size")).alias("words"), "at", "size", F.xxhash64(F.slice("hashes", F.col("at"), F.col("size"))).alias("h"))
+    found = F.posexplode(_sized_windows(F.col("hashes"), F.col("size"), cover)).alias("p", "h")
+    rows = sized.withColumn("hashes", hashes).select("item_id", "words", "size", found).withColumn("at", F.col("p") + 1)
+    return rows.select("item_id", F.slice("words", F.col("at"), F.col("size")).alias("words"), "at", "size", "h")
 
 
 def _covered(places: Column, size: Column) -> Column:
@@ -166,22 +184,26 @@ def find_leaks(
     if not sizes:
         return rows.where("false").select("doc_id", "k1", "k2", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("n_tokens"))
     hashed = rows.select("k1", "k2", _hashes(template_tokens(F.col("text"))).alias("template"), F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
-    # windows of every kind and size, one after the other, in one pass over the texts; ``begin`` is where each kind's begin
-    begin, before = [], F.lit(0)
+    # windows of every kind and size, one after the other, in one pass over the texts; ``begin`` is where each kind's begin, and their end
+    begin, before = [F.lit(0)], F.lit(0)
     for kind, size in sizes:
-        begin.append(before)
         before = before + F.greatest(F.size(kind) - (size - 1), F.lit(0))
-    whole = hashed.select("k1", "k2", F.array(*begin).alias("begin"), F.posexplode(F.concat(*[_windows(F.col(kind), size) for kind, size in sizes])).alias("p", "h"))
-    which = sum((F.when(F.col("p") >= F.get("begin", k), 1).otherwise(0) for k in range(1, len(sizes))), F.lit(0))
-    ours = whole.select("k1", "k2", "h", which.alias("which"), (F.col("p") - F.get("begin", which) + 1).alias("p"))
+        begin.append(before)
+    hashed = hashed.select("k1", "k2", "template", "words", F.array(*begin).alias("begin"))
+    ours = hashed.select("k1", "k2", "begin", F.posexplode(F.concat(*[_windows(F.col(kind), size) for kind, size in sizes])).alias("p", "h"))
     numbers = {kind: F.create_map(*[x for k, (name, size) in enumerate(sizes) if name == kind for x in (F.lit(size), F.lit(k))]) for kind, _ in sizes}
     theirs = None
     for kind, table in (("template", bench), ("words", exact)):
         if kind in numbers:
             part = table.select(F.lit(kind).alias("kind"), numbers[kind][F.col("size")].alias("which"), "h", "item_id", "size", F.col("at").alias("item_at"))
             theirs = part if theirs is None else theirs.unionByName(part)
-    met = ours.join(F.broadcast(theirs) if few else theirs, ["which", "h"])
-    alignments = met.groupBy("kind", "k1", "k2", "item_id", "size", (F.col("p") - F.col("item_at")).alias("shift")).agg(F.collect_set("item_at").alias("places"))
+    if few:  # by the hash alone, a single number; whether the window is of the same kind and size is asked only where hashes are equal
+        begins, ends = F.get("begin", "which"), F.get("begin", F.col("which") + 1)
+        met = ours.join(F.broadcast(theirs), "h").where((F.col("p") >= begins) & (F.col("p") < ends)).withColumn("at", F.col("p") - begins + 1)
+    else:  # ``begin`` is not shuffled
+        which = sum((F.when(F.col("p") >= F.get("begin", k), 1).otherwise(0) for k in range(1, len(sizes))), F.lit(0))
+        met = ours.select("k1", "k2", "h", which.alias("which"), (F.col("p") - F.get("begin", which) + 1).alias("at")).join(theirs, ["which", "h"])
+    alignments = met.groupBy("kind", "k1", "k2", "item_id", "size", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("item_at").alias("places"))
     alignments = settled(alignments)
     hits = alignments.where("kind = 'template'").drop("kind")
     aligned = hits.withColumn("n_tokens", _covered(F.col("places"), F.col("size")))

@@ -210,6 +210,18 @@ def test_items_rich_in_slots_are_found(spark, docs_of):
         assert {(r.doc_id, r["items"]) for r in decontaminate.contaminated(docs_of(docs), bench, **options).collect()} == want
 
 
+def test_windows_are_hashed_by_pairs_of_shorter_ones(spark):
+    rng = random.Random(3)
+    rows = [[rng.randrange(2) for _ in range(n)] for n in [*range(20), 60, 200]]
+    table = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, h array<long>")
+    for size in (1, 2, 5, 8, 13):
+        found = table.select("k", decontaminate._windows(table.h, size).alias("w"))
+        assert found._jdf.queryExecution().optimizedPlan().toString().split("\n")[0].count("h#") == 1  # no work that is done for each use
+        windows = [(tuple(rows[r.k][i : i + size]), h) for r in found.collect() for i, h in enumerate(r.w)]
+        assert len(windows) == sum(max(0, len(r) - size + 1) for r in rows)
+        assert len(set(windows)) == len({w for w, _ in windows}) == len({h for _, h in windows})
+
+
 def test_leaks_of_the_table(spark, sf_dir, rows):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
     words = {i.item_id: re.findall(r"\w+", i.text.lower()) for i in bench}
