@@ -11,18 +11,21 @@ differences on the way down and drops a whole subtree when they exceed ``d``.
 
 :func:`one_of_each` keeps one document of each group of near copies by the
 similarity of their word shingles: the same index gives candidates at a wider
-distance, and each is checked by the exact Jaccard similarity.
+distance, and each is checked by the exact Jaccard similarity. What the index
+leaves out, as fingerprints are no measure of that similarity, is found by a
+prefix join: similar sets share one of their rarest shingles.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keys, raw, settled, slices, unused
@@ -41,8 +44,11 @@ SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, REACH, SECOND = 10, 14, 16
 #: Pairs that a node's search looks at together.
 PAIRS = 1 << 20
-#: Most texts of candidates whose keys are broadcast (16 bytes each).
+#: Most texts whose keys or roots are broadcast (16 bytes each).
 BROADCAST_TEXTS = 1_000_000
+#: Shingles that ``COMMON_DOCS`` documents of one in ``SAMPLE`` hold count as common, the ``COMMON`` most frequent ones (16 bytes
+#: each). They come last in the order of all shingles; any such choice gives the same links, it only keeps groups small.
+SAMPLE, COMMON_DOCS, COMMON = 32, 3, 1_000_000
 
 
 def shingles(text: bytes, size: int) -> Iterator[bytes]:
@@ -301,28 +307,94 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(uid, k1, k2, best, fp, second, n): one row for each different word sequence.
+def _digests(text: bytes, shingle: int) -> np.ndarray:
+    """128-bit hashes of the shingles of a text, repeats included, as rows of bytes."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, shingles(text, shingle))), np.uint8).reshape(-1, 16)
+
+
+def _distinct(digests: np.ndarray) -> np.ndarray:
+    """The different shingles by 64 bits of their hashes, ascending."""
+    return np.unique(np.ascontiguousarray(digests[:, :8]).view(np.int64))
+
+
+def _common(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a sample of the documents, ascending, and how often they are there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            held = [_distinct(_digests(t, shingle)) for t in raw(batch.column(0))]
+            yield pa.record_batch([pa.array(np.concatenate([np.zeros(0, np.int64), *held]))], ["h"])
+
+    text = F.col(text_col).cast("string")
+    some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("long"), text), F.lit(SAMPLE)) == 0).select(text.alias("text"))
+    found = some.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= COMMON_DOCS)
+    table = found.orderBy(F.desc("count"), "h").limit(COMMON).toArrow()
+    h, count = (table[c].to_numpy() for c in ("h", "count"))
+    order = np.argsort(h)
+    return h[order], count[order]
+
+
+def _rarest(held: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """As many of a text's different shingles, the rarest first, that every text of this similarity has one of them among its own."""
+    size = len(held) - math.ceil(similarity * len(held) - 1e-9) + 1 if len(held) else 0
+    known, counts = common
+    if len(known):
+        at = np.minimum(np.searchsorted(known, held), len(known) - 1)
+        held = held[np.argsort(np.where(known[at] == held, counts[at], 0), kind="stable")]
+    return held[:size]
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(uid, k1, k2, best, fp, second, n, rare): one row for each different word sequence.
 
     k1 and k2 stand for id and text of one of its rows, the one with the least
-    id (``best`` orders them); n counts the different shingles.
+    id (``best`` orders them); n counts the different shingles, rare are the
+    rarest of them.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(_common(docs, id_col, text_col, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = np.zeros((batch.num_rows, 5), np.int64)
+            rows, rare = np.zeros((batch.num_rows, 5), np.int64), []
             for k, text in enumerate(raw(batch.column(3))):
-                hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, shingles(text, shingle))), np.uint8).reshape(-1, 16)
+                hashes = _digests(text, shingle)
+                held = _distinct(hashes)
                 whole = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(text.lower().split())), np.int64)
-                rows[k] = (*whole, *majority(hashes), len(np.unique(np.ascontiguousarray(hashes[:, :8]).view(np.int64))))
-            yield pa.record_batch([*batch.columns[:3], *map(pa.array, rows.T)], ["doc_id", "k1", "k2", "t1", "t2", "fp", "second", "n"])
+                rows[k] = (*whole, *majority(hashes), len(held))
+                rare.append(_rarest(held, similarity, sent.value))
+            lists = pa.array(rare, pa.list_(pa.int64()))
+            yield pa.record_batch([*batch.columns[:3], *map(pa.array, rows.T), lists], ["doc_id", "k1", "k2", "t1", "t2", "fp", "second", "n", "rare"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     keyed = picked.select("doc_id", *keys(F.col("doc_id"), F.col("text")), "text")
-    rows = keyed.mapInArrow(run, "doc_id long, k1 long, k2 long, t1 long, t2 long, fp long, second long, n long")
+    rows = keyed.mapInArrow(run, "doc_id long, k1 long, k2 long, t1 long, t2 long, fp long, second long, n long, rare array<long>")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("best")
-    each = rows.groupBy("t1", "t2").agg(best, *(F.min(c).alias(c) for c in ("fp", "second", "n")))
-    return settled(each.select(F.monotonically_increasing_id().alias("uid"), "best.k1", "best.k2", "best", "fp", "second", "n"))
+    each = rows.groupBy("t1", "t2").agg(best, *(F.min(c).alias(c) for c in ("fp", "second", "n")), F.any_value("rare").alias("rare"))
+    return settled(each.select(F.monotonically_increasing_id().alias("uid"), "best.k1", "best.k2", "best", "fp", "second", "n", "rare"))
+
+
+def _apart(rooted: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b: uids) that can be so similar, of texts (uid, root, n, rare) with different roots: no such pair is left out.
+
+    Of two sets in one order of shingles, the first that both hold is among
+    the rarest of each. The k-th that they share bounds all: k, and the
+    shorter rest that follows. So do all that are shared among the rarest, and
+    what either holds beyond those. Shingles of texts with one root, most of
+    all those of a single text, go before rows are joined.
+    """
+    rows = rooted.select("uid", "root", "n", F.posexplode("rare").alias("at", "h"))
+    whole = Window.partitionBy("h")
+    met = rows.withColumns({"lo": F.min("root").over(whole), "hi": F.max("root").over(whole)}).where("lo <> hi").drop("lo", "hi")
+    met = settled(met.withColumn("rest", F.col("n") - F.col("at") - 1))
+    ours, theirs = (met.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("uid", "root", "n", "rest"))) for x in "ab")
+    pairs = ours.join(theirs, "h").where((F.col("uid_a") < F.col("uid_b")) & (F.col("root_a") != F.col("root_b")))
+    rest, beyond = F.least("rest_a", "rest_b"), F.ceil(similarity * F.greatest("n_a", "n_b") - 1e-9) - 1
+    found = pairs.groupBy("uid_a", "uid_b").agg(
+        F.count("*").alias("k"), F.max(rest).alias("first"), F.min(rest).alias("last"), F.min(beyond).alias("beyond"),
+        F.min((F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6).alias("least"),
+    )
+    likely = found.where("first + 1 >= least and k + last >= least and k + beyond >= least")
+    return likely.select(F.col("uid_a").alias("a"), F.col("uid_b").alias("b"))
 
 
 def _similar(docs: DataFrame, texts: DataFrame, edges: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
@@ -355,21 +427,28 @@ def one_of_each(
     similarity of ``similarity`` or more; groups are connected by such links.
     Equal word sequences (A-Z lower-cased) always are; so are all texts without
     words, null or empty. Candidates come from the index over fingerprints of
-    the same shingles, which finds nearly all links (tested), and every one is
-    checked exactly, so no row goes without a link. Within a node candidates
-    are a forest of closest pairs, never all pairs. Rows with a null id stay
-    only where their group has no other; among equal ids the text decides,
-    among equal rows any one stays.
+    the same shingles, which finds nearly all links, and every one is checked
+    exactly, so no row goes without a link. Within a node candidates are a
+    forest of closest pairs, never all pairs. Texts that the index leaves in
+    different groups then meet under their rarest shingles, and what can be
+    similar is checked in the same way, so that no link is lost. Rows with a
+    null id stay only where their group has no other; among equal ids the text
+    decides, among equal rows any one stays.
     """
-    texts = _texts(docs, id_col, text_col, shingle)
+    texts = _texts(docs, id_col, text_col, shingle, similarity)
     prints = texts.groupBy("fp").agg(F.min(F.struct("uid", "second", "n")).alias("least")).select("fp", "least.*")
     found = _node_links(prints.select("fp", "second", "n"), BLOCKS, _likely(similarity), node_limit, 3).distinct()
     uids = prints.select("fp", "uid")
     far = found.join(uids.toDF("a", "ua"), "a").join(uids.toDF("b", "ub"), "b").select(F.col("ua").alias("a"), F.col("ub").alias("b"))
     same = texts.select("fp", F.col("uid").alias("b")).join(uids.withColumnRenamed("uid", "a"), "fp").where("a <> b").select("a", "b")
     links = _similar(docs, texts, settled(far.union(same)), id_col, text_col, shingle, similarity)
-    roots = connected_components(links)
-    rooted = texts.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(F.coalesce("root", "uid").alias("root"), "best")
+    roots = connected_components(links).withColumnRenamed("node", "uid")
+    few = roots.count() <= BROADCAST_TEXTS  # else the rarest shingles are shuffled once more
+    rooted = texts.join(F.broadcast(roots) if few else roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    more = _similar(docs, texts, settled(_apart(rooted, similarity)), id_col, text_col, shingle, similarity)
+    of = rooted.select("uid", "root")
+    joined = connected_components(more.join(of.toDF("a", "ra"), "a").join(of.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    rooted = rooted.join(joined.toDF("root", "top"), "root", "left").select(F.coalesce("top", "root").alias("root"), "best")
     return _rows_of(docs, rooted.groupBy("root").agg(F.min("best").alias("best")).select("best.k1", "best.k2"), id_col, text_col)
 
 

@@ -491,6 +491,25 @@ def test_near_copies_against_all_pairs(docs_of, limit):
     assert want <= kept and len(kept - want) <= 0.1 * (len(texts) - len(want))
 
 
+@pytest.mark.parametrize("sample", [simhash.SAMPLE, 1])
+def test_no_near_copy_is_left_out(docs_of, monkeypatch, sample):
+    """Links at the least similarity, that fingerprints may not show, in nodes that are divided, and under shingles that all texts share."""
+    monkeypatch.setattr(simhash, "SAMPLE", sample)
+    rng, texts = random.Random(5), []
+    for k in range(120):
+        base = own(k, rng.randint(12, 120)).split()
+        copy = list(base)
+        for _ in range(rng.randint(1, 2 + len(base) // 40)):
+            copy[rng.randrange(len(copy))] = f"new{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(copy)]
+    shared = own(900, 60)
+    texts += [shared + " " + own(901 + k, 12) for k in range(30)] + [shared + " " + own(940 + k, 40) for k in range(20)] + [shared]
+    want = plain_kept(texts)
+    assert 20 < len(texts) - len(want) < len(texts) - 20
+    for limit in (simhash.NODE_LIMIT, 4):
+        assert {r.doc_id for r in simhash.one_of_each(docs_of(list(enumerate(texts))), node_limit=limit).collect()} == want
+
+
 # --- 7: byte-pair encoding
 
 
