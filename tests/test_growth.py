@@ -91,3 +91,40 @@ def test_names_of_long_numbers_are_those_of_the_sql(spark, tmp_path):
     duck.sql(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     want = sorted(map(tuple, duck.sql(ORACLE_SQL["frame_name"]).fetchall()))
     assert sorted(map(tuple, QUERIES["frame_name"](spark, str(tmp_path)).collect())) == want
+
+
+def shuffled_rows(df):
+    """Rows that each shuffle of a query writes, as its plan counts them."""
+    df.collect()
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        todo += [kids.apply(k) for k in range(kids.size())]
+        todo += [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else []
+    return out
+
+
+def test_pixels_are_packed_before_they_are_shuffled(spark):
+    """Some 49,000 pixels of three images, of which a tile's go as one row, and a few points that look them up."""
+    every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(c) for n, c in ((128, "iv"), (128, "iu"))]
+    pixels = spark.range(3).select(F.col("id").alias("cam_id"), every[0]).select("cam_id", "iv", every[1]).withColumn("grey", (F.col("iv") * 3 + F.col("iu")) % 256)
+    rows = spark.createDataFrame([(k % 3, k, k * 3, k * 2) for k in range(40)], "cam_id long, point_id long, iv int, iu int")
+    found = raster.gather(rows, pixels, ["grey"])
+    assert "Exchange" in plan(found) and sum(shuffled_rows(found)) < 1000
+    assert sorted((r.point_id, r.grey) for r in found.collect()) == [(k, (k * 9 + k * 2) % 256) for k in range(40)]
+
+
+@pytest.mark.parametrize("kind, value", [("tinyint", -7), ("int", 70_000), ("bigint", 2**40 + 1), ("float", 0.1), ("double", 1 / 3), ("decimal(10,2)", 4.25), ("string", "blue"), ("boolean", True)])
+def test_packed_channels_are_as_they_were(spark, kind, value):
+    """Of any type, with nulls, over the borders of tiles and in several batches of rows."""
+    places = [(0, 0), (0, 255), (0, 256), (255, 255), (256, 0), (256, 256), (700, 3)]
+    pixels = spark.createDataFrame([(1, v, u) for v, u in places] + [(1, 9, 9)], "cam_id long, iv int, iu int").withColumn("c", F.when(F.col("iv") != 9, F.lit(value)).cast(kind))
+    rows = spark.createDataFrame([(1, k, v, u) for k, (v, u) in enumerate([*places, (9, 9), (8, 8)])], "cam_id long, point_id long, iv int, iu int")
+    want = spark.range(1).select(F.lit(value).cast(kind)).first()[0]
+    found = raster.gather(rows, pixels, ["c"])
+    assert found.schema["c"].dataType.simpleString() == kind
+    assert sorted((r.point_id, r.c) for r in found.collect()) == [*((k, want) for k in range(len(places))), (len(places), None)]
