@@ -128,3 +128,18 @@ def test_packed_channels_are_as_they_were(spark, kind, value):
     found = raster.gather(rows, pixels, ["c"])
     assert found.schema["c"].dataType.simpleString() == kind
     assert sorted((r.point_id, r.c) for r in found.collect()) == [*((k, want) for k in range(len(places))), (len(places), None)]
+
+
+def test_colours_are_shuffled_before_their_medians(spark, monkeypatch):
+    """Buffers of medians are larger than the colours themselves, of which hardly two are equal."""
+    from cloudloom.plans import reconstruct
+
+    monkeypatch.setattr(reconstruct.fusion, "dense_reid", lambda rows: rows)
+    points = spark.createDataFrame([(1, 0.0, 0.0, 0.0)], "point_id long, x double, y double, z double")
+    seen = spark.createDataFrame([(7, 1, 0.1, 0.2, 0.3), (8, 1, 0.3, 0.4, 0.5)], "cam_id long, point_id long, r double, g double, b double")
+    found = reconstruct.colored_cloud(points, seen)
+    (row,) = found.collect()
+    assert (row.r, row.g, row.b) == (51, 76, 102)
+    lines = plan(found).splitlines()
+    partial = [k for k, line in enumerate(lines) if "partial_median" in line or "partial_percentile" in line]
+    assert partial and not any("Exchange" in lines[k - 1] for k in partial)
